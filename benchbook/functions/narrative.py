@@ -166,7 +166,10 @@ def result_from_tail(text: Column) -> Column:
     def told(tail: Column, low: Column) -> Column:
         return _first_label(
             [
-                (F.contains(low, F.lit(word)) & found(tail, pattern, "i"), label)
+                (
+                    F.contains(low, F.lit(word)) & found(tail, f"(?={word})(?:{pattern})", "i"),
+                    label,
+                )
                 for word, pattern, label in V.RESULT_TAIL
             ]
         ).otherwise(V.RESULT_UNKNOWN)
