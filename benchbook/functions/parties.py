@@ -1,4 +1,7 @@
-"""Petitioner, respondent and title, read from the first lines of a judgment."""
+"""Petitioner, respondent and title, read from the first lines of a judgment.
+
+Each strategy gives the raw names it finds, or NULL where it does not apply.
+"""
 
 from __future__ import annotations
 
@@ -11,9 +14,17 @@ from benchbook.functions.regex import collapse, first_where, found, halves, let
 
 
 def _sides(petitioner: Column, respondent: Column) -> Column:
-    return F.struct(
-        clean_party_name(petitioner).alias("petitioner"),
-        clean_party_name(respondent).alias("respondent"),
+    return F.struct(petitioner.alias("petitioner"), respondent.alias("respondent"))
+
+
+def cleaned(sides: Column) -> Column:
+    """Both names of a pair of sides cleaned; NULL stays NULL."""
+    return let(
+        sides,
+        lambda s: F.when(
+            s.isNotNull(),
+            _sides(clean_party_name(s["petitioner"]), clean_party_name(s["respondent"])),
+        ),
     )
 
 
@@ -26,13 +37,7 @@ def in_re(lines: Column) -> Column:
 
     def sides(line: Column) -> Column:
         subject = F.coalesce(F.get(halves(line, r"[:\-]"), F.lit(1)), line)
-        return F.when(
-            line.isNotNull(),
-            F.struct(
-                F.lit(V.IN_RE_NAME).alias("petitioner"),
-                clean_party_name(subject).alias("respondent"),
-            ),
-        )
+        return F.when(line.isNotNull(), _sides(F.lit(V.IN_RE_NAME), subject))
 
     candidates = F.filter(
         F.slice(lines, 1, V.IN_RE_LINES), lambda line: found(line, V.IN_RE_LINE, "i")
@@ -85,15 +90,20 @@ def outer_lines(block: Column) -> Column:
 
 
 def sides(lines: Column) -> Column:
-    """The strategies above, in order of trust."""
-    return F.coalesce(
-        in_re(lines),
-        let(
-            title_block(lines),
-            lambda block: F.coalesce(
-                versus_line(block), versus_inline(block), outer_lines(block)
+    """The strategies above, in order of trust; the names are cleaned once, at the end.
+
+    A strategy that applies decides, even if nothing is left of its names.
+    """
+    return cleaned(
+        F.coalesce(
+            in_re(lines),
+            let(
+                title_block(lines),
+                lambda block: F.coalesce(
+                    versus_line(block), versus_inline(block), outer_lines(block)
+                ),
             ),
-        ),
+        )
     )
 
 

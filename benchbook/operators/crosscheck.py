@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from benchbook.operators.store import stored_value
+
 STORED_FIELDS = (
     "title", "case_number", "year", "judgment_date", "bench", "result", "quality_score",
 )
@@ -38,9 +40,10 @@ def cross_check(keys: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def cross_check_diff(records: DataFrame, stored: DataFrame) -> DataFrame:
-    """Keys on both sides with the names of the fields that differ."""
+    """Keys on both sides with the names of the fields whose stored form differs."""
     fresh = records.select(
-        F.col("pdf_s3_key").alias("key"), F.struct(*STORED_FIELDS).alias("fresh")
+        F.col("pdf_s3_key").alias("key"),
+        F.struct(*[stored_value(records.schema[f]).alias(f) for f in STORED_FIELDS]).alias("fresh"),
     )
     both = fresh.join(_one_row_per_key(stored), "key")
     differing = [

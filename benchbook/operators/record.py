@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from benchbook import schema
 from benchbook.functions import bench, caseline, citations, narrative, normalize, parties, quality
 from benchbook.functions.regex import folded
+from benchbook.session import once_per_session
 
 
 def with_lower(df: DataFrame, text: str = "full_text") -> DataFrame:
@@ -15,18 +16,61 @@ def with_lower(df: DataFrame, text: str = "full_text") -> DataFrame:
     return df.withColumn("_lower", F.lower(F.col(text)))
 
 
+def compute_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that a later filter reads instead of computing again.
+
+    A filter on a plain projected column is moved below the projection together with the whole
+    expression, which for texts means doing the work twice; it stays above a generator.
+    """
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
+@once_per_session
+def _quality_columns(text: str) -> dict[str, Column]:
+    return {
+        "content_hash": quality.content_hash(F.col(text)),
+        "quality_score": quality.quality_score(F.col(text), F.col("_lower")),
+    }
+
+
 def with_quality(df: DataFrame, text: str = "full_text") -> DataFrame:
     """Add ``content_hash`` and ``quality_score``: all the gate and the dedup need."""
-    return (
-        with_lower(df, text)
-        .withColumns(
-            {
-                "content_hash": quality.content_hash(F.col(text)),
-                "quality_score": quality.quality_score(F.col(text), F.col("_lower")),
-            }
-        )
-        .drop("_lower")
-    )
+    return compute_once(with_lower(df, text), _quality_columns(text)).drop("_lower")
+
+
+@once_per_session
+def _metadata_steps(text: str, key: str) -> tuple[dict[str, Column], ...]:
+    body, end, low = F.col(text), F.col("_span")["end"], F.col("_low")
+    windows = {
+        "_low": folded(F.col("_lower")),
+        "_header": normalize.collapsed_header(body),
+        "_span": bench.bench_span(body),
+        "_sides": parties.sides(normalize.header_lines(body)),
+    }
+    independent = {
+        "_case": caseline.case_line(F.col("_header")),
+        "judgment_date": caseline.judgment_date(F.col("_header")),
+        "bench": bench.bench_names(body, F.col("_span")),
+    }
+    dependent = {
+        "case_type": F.col("_case")["case_type"],
+        "case_number": F.col("_case")["case_number"],
+        "year": caseline.resolved_year(
+            F.col("judgment_date"), F.col(key), F.col("_case")["case_year"]
+        ),
+        "petitioner": parties.petitioner(F.col("_sides")),
+        "respondent": parties.respondent(F.col("_sides")),
+        "title": parties.title(F.col("_sides")),
+        "cases_cited": citations.cases_cited(body, low),
+        "acts_cited": citations.acts_cited(body),
+        "result": narrative.result(body, low),
+        "summary": narrative.summary(body, end),
+        "tags": narrative.tags(body, low, end),
+        "holding": narrative.holding(body, low),
+        "applicability": bench.applicability(F.col("bench")),
+    }
+    return windows, independent, dependent
 
 
 def with_metadata(df: DataFrame, text: str = "full_text", key: str = "key") -> DataFrame:
@@ -36,41 +80,10 @@ def with_metadata(df: DataFrame, text: str = "full_text", key: str = "key") -> D
     the fields that read other fields. A column used more than once is its own step, so that it
     is computed once.
     """
-    body = F.col(text)
-    staged = with_lower(df, text).withColumns(
-        {
-            "_low": folded(F.col("_lower")),
-            "_header": normalize.collapsed_header(body),
-            "_span": bench.bench_span(body),
-            "_sides": parties.sides(normalize.header_lines(body)),
-        }
-    ).withColumns(
-        {
-            "_case": caseline.case_line(F.col("_header")),
-            "judgment_date": caseline.judgment_date(F.col("_header")),
-            "bench": bench.bench_names(body, F.col("_span")),
-        }
-    )
-    end, low = F.col("_span")["end"], F.col("_low")
-    return staged.withColumns(
-        {
-            "case_type": F.col("_case")["case_type"],
-            "case_number": F.col("_case")["case_number"],
-            "year": caseline.resolved_year(
-                F.col("judgment_date"), F.col(key), F.col("_case")["case_year"]
-            ),
-            "petitioner": parties.petitioner(F.col("_sides")),
-            "respondent": parties.respondent(F.col("_sides")),
-            "title": parties.title(F.col("_sides")),
-            "cases_cited": citations.cases_cited(body, low),
-            "acts_cited": citations.acts_cited(body),
-            "result": narrative.result(body, low),
-            "summary": narrative.summary(body, end),
-            "tags": narrative.tags(body, low, end),
-            "holding": narrative.holding(body, low),
-            "applicability": bench.applicability(F.col("bench")),
-        }
-    ).drop("_lower", "_low", "_header", "_span", "_sides", "_case")
+    df = with_lower(df, text)
+    for step in _metadata_steps(text, key):
+        df = df.withColumns(step)
+    return df.drop("_lower", "_low", "_header", "_span", "_sides", "_case")
 
 
 def extract_record(df: DataFrame, text: str = "full_text", key: str = "key") -> DataFrame:

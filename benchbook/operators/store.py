@@ -7,7 +7,7 @@ same time: nothing here locks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,23 +31,30 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(_TABLES[name][0]).parquet(f"{root}/{name}")
 
 
-def storable(records: DataFrame) -> DataFrame:
-    """Stored form: NULL texts become empty, NULL lists become empty, a NULL year stays."""
+def stored_value(field: T.StructField) -> Column:
+    """Stored form of a field: NULL text is empty, NULL list is empty, other NULLs stay."""
+    value = F.col(field.name)
+    if field.dataType == T.StringType():
+        return F.coalesce(value, F.lit(""))
+    if isinstance(field.dataType, T.ArrayType):
+        return F.coalesce(value, F.array().cast(field.dataType))
+    return value
 
-    def value(field: T.StructField):
-        if field.dataType == T.StringType():
-            return F.coalesce(F.col(field.name), F.lit(""))
-        if isinstance(field.dataType, T.ArrayType):
-            return F.coalesce(F.col(field.name), F.array().cast(field.dataType))
-        return F.col(field.name)
 
+def storable(records: DataFrame) -> DataFrame:
     fields = [f for f in schema.JUDGMENTS if f.name != "batch_id"]
-    return records.select(*[value(f).alias(f.name) for f in fields])
+    return records.select(*[stored_value(f).alias(f.name) for f in fields])
 
 
 def append_judgments(records: DataFrame, root: str, batch_id: str) -> None:
+    """Write one load, laid out by year.
+
+    Without the rebalance every task would write a file per year. It is sized at run time: small
+    years share a task, and a year with most of the rows is split over many.
+    """
     path = f"{root}/judgments/batch_id={batch_id}"
-    storable(records).write.mode("overwrite").partitionBy("year").parquet(path)
+    laid_out = storable(records).hint("rebalance", "year")
+    laid_out.write.mode("overwrite").partitionBy("year").parquet(path)
 
 
 def append_log(entries: DataFrame, root: str, batch_id: str) -> None:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from benchbook.sources.texts import read_texts
+
 NL = "chr(10)"
 _QUOTE = "chr(39)"
 
@@ -43,8 +45,8 @@ def _t(text: str) -> str:
     return "concat(" + ", ".join(out or ["''"]) + ")"
 
 
-_N = "cast(n_chars % 900 + 1 AS varchar(10))"
-_YEAR = "cast(1950 + n_chars % 70 AS varchar(10))"
+_N = "cast(n_chars % 900 + 1 AS string)"
+_YEAR = "cast(1950 + n_chars % 70 AS string)"
 
 
 def _with_number(text: str) -> str:
@@ -201,16 +203,16 @@ RAW_TEXT = "concat(" + ", ".join(
      CITES, ACTS, "text", HOLDING, RESULT]
 ) + ")"
 JUDGMENT_KEY = (
-    "concat('data/pdf/year=', cast(1950 + doc_id % 76 AS varchar(10)), '/english/', "
-    "lpad(cast(doc_id AS varchar(12)), 9, '0'), '_EN.pdf')"
+    "concat('data/pdf/year=', cast(1950 + doc_id % 76 AS string), '/english/', "
+    "lpad(cast(doc_id AS string), 9, '0'), '_EN.pdf')"
 )
 KEY_YEAR = "cast(1950 + doc_id % 76 AS int)"
 
 # object keys: one per order
 ORDER_KEY = (
-    "concat('data/pdf/year=', cast(year(o_orderdate) AS varchar(4)), "
+    "concat('data/pdf/year=', cast(year(o_orderdate) AS string), "
     "CASE WHEN o_orderkey % 11 = 3 THEN '/hindi/' ELSE '/english/' END, "
-    "lpad(cast(o_orderkey AS varchar(12)), 9, '0'), "
+    "lpad(cast(o_orderkey AS string), 9, '0'), "
     "CASE WHEN o_orderkey % 7 = 0 THEN '_EN.txt' WHEN o_orderkey % 5 = 0 THEN '_EN.PDF' "
     "ELSE '_EN.pdf' END)"
 )
@@ -218,7 +220,8 @@ ORDER_KEY = (
 
 def raw_judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``key, key_year, raw_text``: one judgment per document, before clean-up."""
-    return table(spark, sf_dir, "documents").select(
+    documents = read_texts(spark, f"{sf_dir}/documents.parquet", "doc_id")
+    return documents.select(
         F.expr(JUDGMENT_KEY).alias("key"),
         F.expr(KEY_YEAR).alias("key_year"),
         F.expr(RAW_TEXT).alias("raw_text"),
@@ -250,9 +253,29 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``source, key, status, error_msg, processed_at``: the events as log entries."""
     return table(spark, sf_dir, "events").select(
-        F.expr("concat('s', cast(event_id % 3 AS varchar(2)))").alias("source"),
-        F.expr("cast(user_id AS varchar(12))").alias("key"),
+        F.expr("concat('s', cast(event_id % 3 AS string))").alias("source"),
+        F.expr("cast(user_id AS string)").alias("key"),
         F.expr("CASE WHEN event_type = 'purchase' THEN 'done' ELSE event_type END").alias("status"),
         F.expr("CASE WHEN event_type = 'error' THEN props END").alias("error_msg"),
         F.col("ts").alias("processed_at"),
     )
+
+
+def party_names(number: str, name: str) -> str:
+    """SQL expression: a customer's name with the residue party names come with."""
+    return f"""(CASE {number} % 11
+        WHEN 0 THEN concat('A b  ', {name}) WHEN 1 THEN concat('CASE DETAILS ', {name})
+        WHEN 2 THEN concat('Digital Supreme Court Reports ', {name})
+        WHEN 3 THEN concat('[2017] 12 S.C.R. 674 ', {name})
+        WHEN 4 THEN concat('2024 INSC 789 ', {name}) WHEN 5 THEN concat('-- ', {name}, ' & ;')
+        WHEN 6 THEN concat('Mr. Scrope of ', {name}, '   Ltd.') WHEN 7 THEN concat('"', {name}, '" (Dead)')
+        WHEN 8 THEN NULL WHEN 9 THEN concat('A. B. ', {name}) ELSE {name} END)"""
+
+
+def act_names(number: str, name: str) -> str:
+    """SQL expression: spellings of statutes before a part's name."""
+    return f"""concat((CASE {number} % 13
+        WHEN 0 THEN 'I.P.C.' WHEN 1 THEN 'i.p.c' WHEN 2 THEN 'Cr.P.C.' WHEN 3 THEN 'Code of  Criminal Procedure'
+        WHEN 4 THEN 'C.P.C.' WHEN 5 THEN 'code of civil procedure' WHEN 6 THEN 'N.I. Act'
+        WHEN 7 THEN 'M.V.   Act' WHEN 8 THEN 'Constitution of India' WHEN 9 THEN 'Indian Penal Code'
+        WHEN 10 THEN 'IPC' WHEN 11 THEN 'CrPC' ELSE 'Evidence Act' END), '  ', {name})"""

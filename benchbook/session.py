@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,3 +60,21 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = fresh_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def once_per_session(build: Callable) -> Callable:
+    """Keep what ``build`` returns for the running session.
+
+    For large column expressions: making them costs many calls to the JVM, and they name their
+    inputs only, so every load and micro-batch can use the same ones.
+    """
+    made: dict[tuple, object] = {}
+
+    @functools.wraps(build)
+    def get(*args: str) -> object:
+        session = SparkSession.active().sparkContext.applicationId
+        if (session, *args) not in made:
+            made[(session, *args)] = build(*args)
+        return made[(session, *args)]
+
+    return get
