@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from benchbook.functions import fixed_values as V
 from benchbook.functions.regex import found, jvm, let
 
-_SCALE = 1 << 60
+_SCALE = 1 << 62
 
 
 def word_count(text: Column) -> Column:
@@ -39,11 +39,11 @@ def legal_word_hits(lower: Column) -> Column:
 def round3(x: Column) -> Column:
     """Round a double in [0, 1] to 3 places by its exact binary value, ties to even.
 
-    ``x * 2**60`` is a whole number for every double from 2**-8 up, so the distance to the
+    ``x * 2**62`` is a whole number for every double from 2**-10 up, so the distance to the
     lower thousandth is known exactly.
     """
     unit = F.lit(_SCALE).cast("decimal(20,0)")
-    exact = (x * F.lit(float(_SCALE))).cast("long").cast("decimal(20,0)")
+    exact = F.ceil(x * F.lit(float(_SCALE))).cast("decimal(20,0)")
     whole = F.floor(x * 1000.0)
     rest = exact * F.lit(1000).cast("decimal(4,0)") - whole.cast("decimal(10,0)") * unit
     twice = rest * F.lit(2).cast("decimal(1,0)")
