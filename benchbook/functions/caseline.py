@@ -29,19 +29,16 @@ def case_line(header: Column) -> Column:
             ),
         )
 
-    return let(F.regexp_extract(header, jvm(V.CASE_NUMBER, "i"), 0), parts)
-
-
-# what each date pattern starts with; tells most positions apart at once
-_DIGIT, _MONTH = r"(?=\d)", "(?=[JFMASOND\u017f])"
-_STARTS = (_DIGIT, _MONTH, _DIGIT, _DIGIT)
+    return let(
+        F.regexp_extract(header, jvm(V.CASE_NUMBER_START + V.CASE_NUMBER, "i"), 0), parts
+    )
 
 
 def judgment_date(header: Column) -> Column:
     """Date text as found; the first pattern that occurs anywhere wins."""
     return strip(
         F.coalesce(
-            *[first_group(header, ahead + p, flags="i") for p, ahead in zip(V.DATES, _STARTS)]
+            *[first_group(header, ahead + p, flags="i") for p, ahead in zip(V.DATES, V.DATE_STARTS)]
         )
     )
 

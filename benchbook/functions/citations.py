@@ -21,7 +21,8 @@ def _cites(text: Column, low: Column, kind: str) -> Column:
     # the long text is searched once; only the short hits are searched again for their parts
     pattern, form = V.CITATIONS[kind]
     hits = F.when(
-        holds_any(low, V.CITATION_WORDS[kind]), all_groups(text, pattern, flags="i")
+        holds_any(low, V.CITATION_WORDS[kind]),
+        all_groups(text, V.CITATION_STARTS[kind] + pattern, flags="i"),
     ).otherwise(F.array().cast("array<string>"))
     return F.transform(hits, lambda hit: replace_all(hit, pattern, form, "i"))
 

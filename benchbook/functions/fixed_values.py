@@ -39,6 +39,10 @@ DATES = (
     r"\b(\d{4}[\s\.,\-]*" + MONTH + r"[\s\.,\-]*\d{1,2})\b",
     r"\b(\d{1,2}[\-\/]\d{1,2}[\-\/]\d{4})\b",
 )
+# how a match of these patterns begins (any case); put before the pattern as a look-ahead it
+# turns most positions down at once
+CASE_NUMBER_START = "(?=[cwstroap][irlpeua][viepasrft])"
+DATE_STARTS = (r"(?=\d)", "(?=[jfmasond][aceopu][bcglnprtvy])", r"(?=\d)", r"(?=\d)")
 YEAR_WORD = r"\b(\d{4})\b"
 YEAR_IN_KEY = r"year=(\d{4})|/(\d{4})/"
 
@@ -80,6 +84,8 @@ CITATION_WORDS = {
     "insc": ("insc",),
 }
 
+CITATION_STARTS = {"scc": "", "air": "", "scr": "", "insc": r"(?=\d)"}
+
 # ---- statutes ------------------------------------------------------------------------
 ACT_NAMES = (
     r"(?:Indian Penal Code|IPC|I\.?P\.?C\.?|Code of Criminal Procedure|CrPC|Cr\.?P\.?C\.?|"
@@ -136,6 +142,7 @@ SUMMARY_STOP = (
     r"\b(?:Case Law Reference|CIVIL ORIGINAL JURISDICTION|CRIMINAL APPELLATE JURISDICTION|JUDGMENT|"
     r"O\s*R\s*D\s*E\s*R|J\s*U\s*D\s*G\s*M\s*E\s*N\s*T|For Appellant|For Respondent)\b"
 )
+SUMMARY_STOP_START = "(?=[cjof])"
 SUMMARY_POST_BENCH_MIN = 30
 KEYWORD_SECTION = r"List of Keywords\s*\n(.*?)\nCase Arising From"
 KEYWORD_WORDS = ("list of keywords",)

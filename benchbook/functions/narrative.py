@@ -63,7 +63,7 @@ def summary_after_bench(text: Column, bench_end: Column) -> Column:
         )
 
     rest = _after(head(text, V.HEADER_CHARS), bench_end, V.HEADER_CHARS)
-    return let(halves(rest, V.SUMMARY_STOP, "i"), tidy)
+    return let(halves(rest, V.SUMMARY_STOP_START + V.SUMMARY_STOP, "i"), tidy)
 
 
 def summary(text: Column, bench_end: Column) -> Column:

@@ -23,7 +23,8 @@ _TABLES = {
 def init_store(spark: SparkSession, root: str) -> None:
     """Create the tables that do not exist yet; safe to repeat."""
     for name, (columns, partitions) in _TABLES.items():
-        empty = spark.createDataFrame([], columns)
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in columns]
+        empty = spark.range(0).select(*nothing)
         empty.write.mode("ignore").partitionBy(*partitions).parquet(f"{root}/{name}")
 
 

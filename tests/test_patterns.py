@@ -6,7 +6,17 @@ import re
 from pyspark.sql import functions as F
 
 from benchbook.functions import fixed_values as V
-from benchbook.functions.regex import WHITESPACE, all_groups, collapse, halves, replace_all, strip
+from benchbook.functions.regex import (
+    WHITESPACE,
+    all_groups,
+    collapse,
+    folded,
+    found,
+    halves,
+    holds_any,
+    replace_all,
+    strip,
+)
 
 FRAGMENTS = [
     " ", "  ", "\n", "\n\n", "\t", "\xa0", "\x1c", "\x0b", "\r\n", " ", ".", ",", "-", "/", ":",
@@ -83,6 +93,27 @@ def test_patterns_agree(spark):
                 assert row[f"{name}_half"] == text[: hits[0].start()], (name, text)
 
 
+def test_starts_lose_no_match(spark):
+    """The look-aheads put before some patterns accept every place where a match begins."""
+    texts = _texts(1500)
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, x string")
+    pairs = [(V.CASE_NUMBER_START, V.CASE_NUMBER), (V.SUMMARY_STOP_START, V.SUMMARY_STOP)]
+    pairs += list(zip(V.DATE_STARTS, V.DATES))
+    pairs += [(V.CITATION_STARTS[kind], p) for kind, (p, _) in V.CITATIONS.items()]
+    pairs += [(f"(?={word})", f"(?:{p})") for word, p, _ in V.RESULT_TAIL]
+    same = [
+        all_groups(F.col("x"), start + p, 0, "i") == all_groups(F.col("x"), p, 0, "i")
+        for start, p in pairs
+    ]
+    assert df.filter(~F.forall(F.array(*same), lambda ok: ok)).count() == 0
+    words = {**{k: (p, V.CITATION_WORDS[k]) for k, (p, _) in V.CITATIONS.items()},
+             "held": (V.HELD, V.HELD_WORDS), "kw": (V.KEYWORD_SECTION, V.KEYWORD_WORDS),
+             "hn": (V.HEADNOTE_LINE, V.HEADNOTE_WORDS)}
+    low = folded(F.lower("x"))
+    missed = [found(F.col("x"), p, "ims") & ~holds_any(low, w) for p, w in words.values()]
+    assert df.filter(F.exists(F.array(*missed), lambda bad: bad)).count() == 0
+
+
 def test_white_space(values):
     every = [chr(c) for c in range(0x3100) if chr(c).isspace()]
     assert sorted(WHITESPACE) == every
