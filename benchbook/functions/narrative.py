@@ -132,7 +132,10 @@ def holding(text: Column, low: Column) -> Column:
     """All held passages over the whole text, joined by blank lines; NULL if none."""
     passages = F.filter(
         F.transform(
-            F.when(holds_any(low, V.HELD_WORDS), all_groups(text, V.HELD, 1, "ims")), strip
+            F.when(
+                holds_any(low, V.HELD_WORDS), all_groups(text, V.HELD_START + V.HELD, 1, "ims")
+            ),
+            strip,
         ),
         lambda p: F.length(p) > V.HELD_MIN,
     )

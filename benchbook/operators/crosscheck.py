@@ -21,17 +21,21 @@ def lookup_by_key(stored: DataFrame, key: str, fields: tuple[str, ...] = STORED_
     return stored.filter(F.col("pdf_s3_key") == key).select("pdf_s3_key", *fields)
 
 
-def _one_row_per_key(stored: DataFrame) -> DataFrame:
-    # a key may be stored again after its object changed; the smallest hash speaks for it
-    row = F.struct(*STORED_FIELDS)
-    return stored.groupBy(F.col("pdf_s3_key").alias("key")).agg(
-        F.min_by(row, "content_hash").alias("stored")
+def _stored_of(keys: DataFrame, stored: DataFrame) -> DataFrame:
+    """One stored row for each of the keys that has any.
+
+    A key may be stored again after its object changed; the smallest hash speaks for it.
+    """
+    asked = stored.withColumn("key", F.col("pdf_s3_key")).join(
+        keys.select("key"), "key", "left_semi"
     )
+    row = F.struct(*STORED_FIELDS)
+    return asked.groupBy("key").agg(F.min_by(row, "content_hash").alias("stored"))
 
 
 def cross_check(keys: DataFrame, stored: DataFrame) -> DataFrame:
     """Every processed key, whether it is stored, and what is stored for it."""
-    found = keys.select("key").join(_one_row_per_key(stored), "key", "left")
+    found = keys.select("key").join(_stored_of(keys, stored), "key", "left")
     return found.select(
         "key",
         F.when(F.col("stored").isNull(), "NOT IN DB").otherwise("IN DB").alias("state"),
@@ -45,7 +49,7 @@ def cross_check_diff(records: DataFrame, stored: DataFrame) -> DataFrame:
         F.col("pdf_s3_key").alias("key"),
         F.struct(*[stored_value(records.schema[f]).alias(f) for f in STORED_FIELDS]).alias("fresh"),
     )
-    both = fresh.join(_one_row_per_key(stored), "key")
+    both = fresh.join(_stored_of(fresh, stored), "key")
     differing = [
         F.when(~F.col("fresh")[f].eqNullSafe(F.col("stored")[f]), F.lit(f)) for f in STORED_FIELDS
     ]

@@ -20,8 +20,15 @@ def first_of_each_hash(hashed: DataFrame) -> DataFrame:
 
 
 def absent(hashed: DataFrame, stored: DataFrame) -> DataFrame:
-    """Rows whose hash the store does not hold."""
-    return hashed.join(stored.select("content_hash"), "content_hash", "left_anti")
+    """Rows whose hash the store does not hold.
+
+    The store is first cut down to the hashes asked for. A small load can be broadcast for that,
+    and then the hashes of a store of any size are only read, not shuffled.
+    """
+    known = stored.select("content_hash").join(
+        hashed.select("content_hash"), "content_hash", "left_semi"
+    )
+    return hashed.join(known, "content_hash", "left_anti")
 
 
 def new_keys(hashed: DataFrame, stored: DataFrame) -> DataFrame:

@@ -32,9 +32,14 @@ def retry_candidates(log: DataFrame, done: str = V.DONE) -> DataFrame:
     return latest_state(log).filter(F.col("status") != done)
 
 
+def entries_of(log: DataFrame, keys: DataFrame) -> DataFrame:
+    """Entries of some keys: what a small load asks of a long log needs no shuffle of it."""
+    return log.join(keys.select("key"), "key", "left_semi")
+
+
 def not_done(keys: DataFrame, log: DataFrame, done: str = V.DONE) -> DataFrame:
-    """Listed keys still to process. The join type is left to the measured sizes."""
-    return keys.join(done_keys(log, done), "key", "left_anti")
+    """Listed keys still to process. All join types are left to the measured sizes."""
+    return keys.join(done_keys(entries_of(log, keys), done), "key", "left_anti")
 
 
 def run_summary(outcomes: DataFrame) -> DataFrame:

@@ -33,7 +33,8 @@ def ingest(
     store.init_store(spark, root)
     # what this load itself wrote in an earlier, failed attempt does not count
     others = F.col("batch_id") != batch_id
-    history = log.latest_state(store.read_table(spark, root, "ingest_log").filter(others))
+    entries = store.read_table(spark, root, "ingest_log").filter(others)
+    history = log.latest_state(log.entries_of(entries, documents))
     settled = history.filter(F.col("status").isin(*skip)).select("key")
     stored = store.read_table(spark, root, "judgments").filter(others)
 

@@ -137,7 +137,9 @@ def limit_keys(spark, sf_dir):
     f"FROM keys WHERE {_ENGLISH}) SELECT key, year, rank FROM r WHERE rank <= 9 AND {_PDF}",
 )
 def sample_keys_per_year(spark, sf_dir):
-    return keys.sample_keys_per_year(corpus.listing(spark, sf_dir), 9, keys.parse_years("1995-2001"))
+    years = keys.parse_years("1995-2001")
+    sampled = keys.sample_keys_per_year(corpus.listing(spark, sf_dir), 9, years)
+    return sampled.withColumn("rank", F.col("rank").cast("long"))
 
 
 @query(

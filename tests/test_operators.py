@@ -55,6 +55,32 @@ def test_one_hash_for_most_documents(spark):
     assert plan.index("partial_min") > plan.index("Exchange")
 
 
+def test_small_load_does_not_shuffle_the_store(spark, tmp_path):
+    """Hashes and log entries of a large store are scanned against a broadcast load."""
+    spark.range(200000).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("content_hash"),
+        F.col("id").cast("string").alias("key"), F.lit("done").alias("status"),
+        F.lit("s3").alias("source"), F.lit(None).cast("string").alias("error_msg"),
+        F.current_timestamp().alias("processed_at"),
+    ).write.parquet(str(tmp_path / "big"))
+    big = spark.read.parquet(str(tmp_path / "big"))
+    small = spark.range(3).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("content_hash"),
+        F.col("id").cast("string").alias("key"),
+    )
+    for result in (dedup.absent(small, big), log.not_done(small, big)):
+        assert result.count() == 0
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        semi = [line for line in plan.splitlines() if "LeftSemi" in line]
+        assert semi and all("BroadcastHashJoin" in line for line in semi)
+
+
+def test_sample_is_cut_before_the_shuffle(spark):
+    plan = keys.sample_keys_per_year(_listing(spark), 2, [1996])._jdf.queryExecution()
+    shown = plan.executedPlan().toString()
+    assert shown.rindex("WindowGroupLimit") > shown.index("Exchange hashpartitioning(position")
+
+
 def test_latest_state(spark):
     entries = spark.createDataFrame(
         [

@@ -2,9 +2,11 @@
 
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
+from benchbook.functions import citations, narrative, normalize, quality
 from benchbook.functions import fixed_values as V
 from benchbook.functions.regex import (
     WHITESPACE,
@@ -114,6 +116,37 @@ def test_starts_lose_no_match(spark):
     assert df.filter(F.exists(F.array(*missed), lambda bad: bad)).count() == 0
 
 
+BLANKS = ["\n", "\n", "\n", " ", "  ", "\n ", "12", "7", "123456", "a", "-", "Held:", "Held, ", "Ab:", "held: x"]
+
+
+def test_blank_runs(spark):
+    """Trying only the first line break of a blank run changes nothing."""
+    pick = random.Random(3)
+    texts = ["".join(pick.choices(BLANKS, k=pick.randrange(1, 30))) for _ in range(4000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, x string")
+    page = replace_all(F.col("x"), V.PAGE_NUMBER_START + V.PAGE_NUMBER_LINE, "\n")
+    held = all_groups(F.col("x"), V.HELD_START + V.HELD, 1, "ims")
+    plain_held = re.compile(V.HELD, _flags("ims"))
+    for i, a, b in df.select("i", page, held).collect():
+        assert a == re.sub(V.PAGE_NUMBER_LINE, "\n", texts[i]), texts[i]
+        assert b == [m.group(1) for m in plain_held.finditer(texts[i])], texts[i]
+
+
+def test_long_runs_take_linear_time(spark):
+    """A text of nothing but blank lines, letters or hyphens must not hold up a task."""
+    n = 300_000
+    texts = ["\n" * n + "x", "\n " * n + "held", "a " * n + "held", "-" * n + "held", "x" * n]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(5)
+    low = folded(F.lower("t"))
+    start = time.time()
+    df.select(
+        normalize.clean_text(F.col("t")), narrative.holding(F.col("t"), low),
+        citations.cases_cited(F.col("t"), low), citations.acts_cited(F.col("t")),
+        quality.quality_score(F.col("t"), F.lower("t")), narrative.tags_from_keywords(F.col("t"), low),
+    ).write.format("noop").mode("overwrite").save()
+    assert time.time() - start < 60
+
+
 def test_white_space(values):
     every = [chr(c) for c in range(0x3100) if chr(c).isspace()]
     assert sorted(WHITESPACE) == every
