@@ -10,7 +10,7 @@ REPORTABLE = r"not\s+reportable\s*|reportable\s*"
 PAGE_NUMBER_LINE = r"\n\s*\d{1,4}\s*\n"
 # a match never begins after another line break of the same blank run, so only the first one is
 # tried; long blank runs would cost the square of their length otherwise
-PAGE_NUMBER_START = r"(?<!\n\s{0,99})"
+PAGE_NUMBER_START = r"(?=\n)(?<!\n\s{0,99})"
 MARGIN_LETTER_LINE = r"\n\s*[A-H]\s*\n"
 LONE_LETTERS = r"^(?:\b[a-zA-Z]\b\s*)+"
 EDGE_PUNCTUATION = r"^[^\w]+|[^\w]+$"
@@ -157,7 +157,7 @@ CATCHLINE = r"^(.+?\.)\s"
 CATCHLINE_LENGTH = (15, 250)  # both ends excluded
 CATCHLINE_TAGS = (2, 8)  # both ends included
 HELD = r"(?:^|[\n\-])\s*Held\s*[:,]\s*(.*?)(?=\n[A-Z][a-z]+:|\Z)"
-HELD_START = r"(?:\G|(?=-)|(?<!\n\s{0,99}))"  # as for page numbers; a passage may end inside a run
+HELD_START = r"(?:(?=-)|(?:^|(?=\n))(?:\G|(?<!\n\s{0,99})))"  # as for page numbers; a passage may end inside a run
 HELD_MIN = 20
 PARA_NOTE = r"\[Para.*?\]"
 

@@ -8,9 +8,10 @@ the checking engine read, one projection over one scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from benchbook.session import once_per_session
 from benchbook.sources.texts import read_texts
 
 NL = "chr(10)"
@@ -218,14 +219,19 @@ ORDER_KEY = (
 )
 
 
-def raw_judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``key, key_year, raw_text``: one judgment per document, before clean-up."""
-    documents = read_texts(spark, f"{sf_dir}/documents.parquet", "doc_id")
-    return documents.select(
+@once_per_session
+def _raw_columns() -> list[Column]:
+    return [
         F.expr(JUDGMENT_KEY).alias("key"),
         F.expr(KEY_YEAR).alias("key_year"),
         F.expr(RAW_TEXT).alias("raw_text"),
-    )
+    ]
+
+
+def raw_judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``key, key_year, raw_text``: one judgment per document, before clean-up."""
+    documents = read_texts(spark, f"{sf_dir}/documents.parquet", "doc_id")
+    return documents.select(*_raw_columns())
 
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:

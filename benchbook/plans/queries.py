@@ -18,7 +18,7 @@ from benchbook.operators import coverage, crosscheck, dedup, log, record, store
 from benchbook.plans import check_sql as S
 from benchbook.plans import corpus
 from benchbook.plans.ingest import ingest
-from benchbook.session import fresh_folder, stage
+from benchbook.session import fresh_folder, once_per_session, stage
 from benchbook.sources import keys, objects, pages
 from benchbook.streaming.ingest import read_documents, stream_ingest
 
@@ -44,24 +44,30 @@ def _join(c: Column | str) -> Column:
 # ---- inputs ----------------------------------------------------------------------------
 
 
+@once_per_session
+def _clean_column() -> Column:
+    return normalize.clean_text(F.col("raw_text")).alias("full_text")
+
+
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``key, key_year, full_text``."""
-    return corpus.raw_judgments(spark, sf_dir).select(
-        "key", "key_year", normalize.clean_text(F.col("raw_text")).alias("full_text")
-    )
+    return corpus.raw_judgments(spark, sf_dir).select("key", "key_year", _clean_column())
+
+
+@once_per_session
+def _window_columns() -> dict[str, Column]:
+    body = F.col("full_text")
+    return {
+        "low": folded(F.col("_lower")),
+        "header": normalize.collapsed_header(body),
+        "span": bench.bench_span(body),
+        "lines": normalize.header_lines(body),
+    }
 
 
 def _windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with the shared steps every derived field starts from."""
-    body = F.col("full_text")
-    return record.with_lower(texts(spark, sf_dir)).withColumns(
-        {
-            "low": folded(F.col("_lower")),
-            "header": normalize.collapsed_header(body),
-            "span": bench.bench_span(body),
-            "lines": normalize.header_lines(body),
-        }
-    )
+    return record.with_lower(texts(spark, sf_dir)).withColumns(_window_columns())
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,10 +95,13 @@ def _end() -> Column:
 def field_query(name: str, check: str, **columns: Callable[[], Column]) -> None:
     """Register a query that shows column functions of each text."""
 
+    @once_per_session
+    def made() -> list[Column]:
+        return [make().alias(c) for c, make in columns.items()]
+
     @query(name, check)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = _windows(spark, sf_dir)
-        return df.select("key", *[make().alias(c) for c, make in columns.items()])
+        return _windows(spark, sf_dir).select("key", *made())
 
 
 # ---- sources ---------------------------------------------------------------------------
