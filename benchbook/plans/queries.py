@@ -20,6 +20,7 @@ from benchbook.plans import corpus
 from benchbook.plans.ingest import ingest
 from benchbook.session import fresh_folder, once_per_session, stage
 from benchbook.sources import keys, objects, pages
+from benchbook.sources.texts import spread
 from benchbook.streaming.ingest import read_documents, stream_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -879,7 +880,7 @@ def cross_check_diff(spark, sf_dir):
 
 
 def _prepare(batch: DataFrame) -> DataFrame:
-    return batch.select(
+    return spread(batch, "doc_id").select(
         F.expr(corpus.JUDGMENT_KEY).alias("key"),
         normalize.clean_text(F.expr(corpus.RAW_TEXT)).alias("full_text"),
     )

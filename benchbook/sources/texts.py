@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_texts(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """A parquet table with one heavy text per row.
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread rows with heavy texts over all cores, if there are too few splits for that.
 
-    Work per row is large here, so a table of few files or row groups is spread by its key over
-    all cores. A table that already has a split per core, as any large one does, is left alone.
+    Work per row is large here, so a table of few files or row groups is moved by its key. A
+    table that already has a split per core, as any large one does, is left alone.
     """
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
+    cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
+def read_texts(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """A parquet table with one heavy text per row."""
+    return spread(spark.read.parquet(path), key)
