@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from benchbook.llm import packing, secret_scan
-from benchbook.llm.common import table
+from benchbook.llm import compression, packing, secret_scan
+from benchbook.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -19,6 +19,14 @@ def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return f
 
 
+@_query
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    held_out = remainder("doc_id", 3) == 1
+    model = compression.fit_quality(documents, labels, learn=~held_out)
+    return compression.quality_report(documents, model, held_out)
+
+
 @_query
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(table(spark, sf_dir, "documents"))
