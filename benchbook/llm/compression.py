@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from benchbook.llm.common import ready, slices, text_of
-from benchbook.llm.sampling import labelled_sample
+from benchbook.llm.sampling import labelled_sample, logistic
 
 
 def pieces(text: str, size: int) -> list[bytes]:
@@ -84,34 +84,6 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1e-4) -> np.ndarray:
-    """Weighted logistic regression by damped Newton steps; column 0 is the constant."""
-    mean, spread = x.mean(axis=0), x.std(axis=0)
-    mean[0], spread[spread == 0], spread[0] = 0, 1, 1
-    z, w = (x - mean) / spread, w / w.sum()
-    keep = np.full(x.shape[1], ridge)
-    keep[0] = 0
-
-    def loss(beta: np.ndarray) -> float:
-        sign = np.where(y > 0.5, 1, -1)
-        return float(w @ np.logaddexp(0, -sign * (z @ beta)) + 0.5 * keep @ beta**2)
-
-    beta = np.zeros(x.shape[1])
-    for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
-        slope = z.T @ (w * (y - p)) - keep * beta
-        bend = (z * (w * p * (1 - p))[:, None]).T @ z + np.diag(keep + 1e-9)
-        step, size = np.linalg.solve(bend, slope), 1.0
-        while loss(beta + size * step) > loss(beta) and size > 1e-6:
-            size /= 2
-        beta = beta + size * step
-        if np.abs(size * step).max() < 1e-7:
-            break
-    out = beta / spread
-    out[0] = beta[0] - (beta[1:] * mean[1:] / spread[1:]).sum()
-    return out
-
-
 def fit_quality(
     docs: DataFrame,
     labels: DataFrame,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from benchbook.llm import compression, packing, secret_scan
+from benchbook.llm import compression, crf, packing, secret_scan
 from benchbook.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,11 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return packing.pack_documents(documents, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    held_out = remainder("doc_id", 5) == 0
+    model = crf.fit_toxicity(documents, labels, learn=~held_out)
+    return crf.toxicity_report(documents, model, held_out)
