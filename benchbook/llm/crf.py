@@ -20,6 +20,8 @@ from benchbook.llm.sampling import labelled_sample, logistic
 #: A chain ends at a sentence's last token, or after so many tokens.
 CHAIN = 64
 BUCKETS = 1 << 18
+#: Beginnings of words, in bytes, that are features and may mark toxic documents like words do.
+STEMS = (5, 6, 7)
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _EDGE = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 SPANS = "array<struct<start:long,end:long,probability:double>>"
@@ -28,7 +30,10 @@ SPANS = "array<struct<start:long,end:long,probability:double>>"
 def _own(word: bytes) -> tuple[int, ...]:
     """Hashed features of a lower-cased token itself."""
     core = word.strip(_EDGE)
-    parts = (b"w" + core, b"t" + word[-3:], b"h" + core[:4], b"l%d" % min(len(core), 9), b"bias")
+    parts = (
+        b"bias", b"w" + core, b"t" + word[-3:], b"l%d" % min(len(core), 9),
+        *[b"h%d" % n + core[:n] for n in STEMS],
+    )
     return tuple(zlib.crc32(p) % BUCKETS for p in parts)
 
 
@@ -168,24 +173,37 @@ class Tagger:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def _units(core: bytes) -> list[bytes]:
+    """A word itself and its beginnings."""
+    return [b"=" + core, *[b"^" + core[:n] for n in STEMS if len(core) > n]]
+
+
 def seed_words(sample: list[tuple[str, int]], least: int = 3, ratio: float = 8.0,
                z: float = 5.0) -> set[bytes]:
-    """Words that mark toxic documents: in at least ``least`` of them, ``ratio`` times as often
-    as in the others, and by ``z`` standard errors."""
+    """Words and beginnings of words (``_units``) that mark toxic documents.
+
+    Those that are in at least ``least`` of them, ``ratio`` times as often as in the others, and
+    by ``z`` standard errors.
+    """
     seen = {0: Counter(), 1: Counter()}
     n = Counter(y for _, y in sample)
     for text, y in sample:
-        seen[y].update({w.strip(_EDGE) for w in text.encode().lower().split()} - {b""})
+        cores = {w.strip(_EDGE) for w in text.encode().lower().split()} - {b""}
+        seen[y].update({u for core in cores for u in _units(core)})
     found = set()
-    for word, k in seen[1].items():
-        p, q = k / n[1], (seen[0][word] + 0.5) / (n[0] + 1)
-        pooled = (k + seen[0][word] + 0.5) / (n[0] + n[1] + 1)
+    for unit, k in seen[1].items():
+        p, q = k / n[1], (seen[0][unit] + 0.5) / (n[0] + 1)
+        pooled = (k + seen[0][unit] + 0.5) / (n[0] + n[1] + 1)
         error = (pooled * (1 - pooled) * (1 / n[1] + 1 / max(n[0], 1))) ** 0.5
         if k >= least and p >= ratio * q and p - q >= z * error:
-            found.add(word)
+            found.add(unit)
     return found
 
 
+def _is_seed(word: bytes, seeds: set[bytes]) -> bool:
+    return not seeds.isdisjoint(_units(word.strip(_EDGE)))
+
+
 def train_crf(
     tokens: list[list[bytes]], tags: list[np.ndarray], rounds: int = 80, ridge: float = 2e-3
 ) -> tuple[np.ndarray, float, float]:
@@ -204,12 +222,12 @@ def train_crf(
     rows = np.array(table, dtype=np.int64)[words]
     inner = np.ones(n, dtype=bool)
     inner[starts] = False
-    own = rows[:, :5]
+    own = rows[:, :-2]
     spare = BUCKETS  # a feature that counts for nothing
     after = np.full(n, spare)
-    after[1:] = np.where(inner[1:], rows[:-1, 5], spare)
+    after[1:] = np.where(inner[1:], rows[:-1, -2], spare)
     before = np.full(n, spare)
-    before[:-1] = np.where(inner[1:], rows[1:, 6], spare)
+    before[:-1] = np.where(inner[1:], rows[1:, -1], spare)
     features = np.column_stack([own, after, before])
     pairs = np.flatnonzero(np.append(inner[1:], False))
     seen = np.array(
@@ -217,7 +235,7 @@ def train_crf(
     )
     weights, moves = np.zeros(BUCKETS + 1), np.zeros(2)
     state = [np.zeros(BUCKETS + 3), np.zeros(BUCKETS + 3)]
-    bias = int(own[0, 4])
+    bias = int(own[0, 0])
     weights[bias] = np.log((truth.sum() + 1) / (n - truth.sum() + 1))
     for step in range(1, rounds + 1):
         odds = np.exp(np.clip(weights[features].sum(axis=1), -30, 30))
@@ -244,10 +262,10 @@ def _labelled_chains(sample, seeds, most_clean: int):
         starts, lengths = chains(ends, np.array([len(words)])) if words else ((), ())
         for a, n in zip(starts, lengths):
             part = words[a : a + n]
-            tag = np.array([y == 1 and w.strip(_EDGE) in seeds for w in part], dtype=float)
-            if tag.any() or any(w.strip(_EDGE) in seeds for w in part):
+            marked = np.array([_is_seed(w, seeds) for w in part], dtype=float)
+            if marked.any():
                 tokens.append(part)
-                tags.append(tag)
+                tags.append(marked * y)
             else:
                 clean.append(part)
     step = max(1, -(-len(clean) // most_clean))
