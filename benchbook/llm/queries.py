@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from benchbook.llm import compression, crf, packing, secret_scan
+from benchbook.llm import compression, crf, packing, reputation, secret_scan
 from benchbook.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +28,23 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.quality_report(documents, model, held_out)
 
 
+#: Verdict and host/path of the fixed rules.
+URL_RULES = [
+    ("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"),
+    ("allow", "org/fr/"),
+]
+
+
+@_query
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, labels = (table(spark, sf_dir, name) for name in ("pages", "labels"))
+    outcomes = labels.select(F.col("doc_id").alias("page_id"), (1 - F.col("quality")).alias("bad"))
+    return reputation.judge_urls(pages, outcomes, URL_RULES)
+
+
+CHECKS["op4_url_filters"] = reputation.check_sql(URL_RULES, most_bad=0.5)
+
+
 @_query
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(table(spark, sf_dir, "documents"))
