@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from benchbook.llm import compression, crf, mixing, packing, reputation, secret_scan
+from benchbook.llm import compression, crf, mixing, packing, projections, reputation, secret_scan
 from benchbook.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "source", "lang", "tokens", "weight", "probability", "kept"
     )
+
+
+@_query
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projections.near_vectors(table(spark, sf_dir, "embeddings"))
