@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from benchbook.llm import compression, crf, mixing, packing, projections, reputation, secret_scan
+from benchbook.llm import (
+    compression, crf, jaccard, mixing, packing, projections, reputation, secret_scan,
+)
 from benchbook.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +92,9 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projections.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.near_documents(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "kept")
