@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benchbook.llm import (
-    compression, crf, jaccard, mixing, packing, projections, reputation, secret_scan,
+    brown, compression, crf, jaccard, mixing, packing, projections, reputation, secret_scan,
 )
 from benchbook.llm.common import remainder, table
 
@@ -30,6 +30,17 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.quality_report(documents, model, held_out)
 
 
+@_query
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", 10) == 0
+    found = brown.score_texts(documents, learn=~held_out)
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score",
+    )
+
+
 #: Verdict and host/path of the fixed rules.
 URL_RULES = [
     ("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"),
