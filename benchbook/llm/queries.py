@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benchbook.llm import (
-    brown, compression, crf, jaccard, mixing, packing, projections, reputation, secret_scan,
+    brown, compression, crf, iblt, jaccard, mixing, packing, projections, reputation, secret_scan,
 )
 from benchbook.llm.common import remainder, table
 
@@ -22,6 +22,11 @@ def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return f
 
 
+@_query
+def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iblt.fingerprint_versions(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
