@@ -20,6 +20,8 @@ from benchbook.llm.common import stage, text_of
 
 #: Below this many lines a text is also cut at sentences, below as many sentences at words.
 FEW = 8
+#: A sentence of a line, or its next sixteen words.
+SENTENCE = r"(?:\\S*[^\\s.!?][ \\t]+){0,15}\\S+"
 #: Digests of one version that a block is meant for, and the cells of a table in each attempt.
 BLOCK, ATTEMPTS = 3, (4, 8, 16, 32, 64, 256, 1024)
 #: Cells of a table of the fingerprint, and rounds of peeling.
@@ -36,7 +38,7 @@ def grains(text: str) -> Column:
     Sentences are null unless the text has few lines, words unless it has few sentences.
     """
     lines = f"transform(split({text}, '\\n'), p -> trim(p))"
-    sentences = f"split({text}, '[ \\t]*\\n|(?<=[.!?])[ \\t]+')"
+    sentences = f"regexp_extract_all({text}, '{SENTENCE}', 0)"
     words = f"split({text}, '[ \\t\\n]+')"
     return F.expr(
         f"""element_at(transform(array({_distinct(lines)}), l ->
