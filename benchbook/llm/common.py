@@ -51,6 +51,14 @@ def text_of(text: str) -> Column:
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores after it a name that no column of the frame has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each part holds at most ``limit`` bytes of text, or one row."""
     if batch.num_rows == 0:

@@ -10,6 +10,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from benchbook.llm.common import ready, slices, text_of
 from benchbook.llm.sampling import labelled_sample, logistic
@@ -138,8 +139,8 @@ def score_quality(df: DataFrame, model: QualityModel, text: str = "text",
     """
     ready(df.sparkSession)
     fields = [f for f in df.schema.fields if f.name != score]
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     names = [f.name for f in fields]
+    schema = T.StructType([*fields, T.StructField(score, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -148,7 +149,7 @@ def score_quality(df: DataFrame, model: QualityModel, text: str = "text",
                 columns = [*batch.columns, pa.array(found, type=pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*names, score])
 
-    return df.select(*names).mapInArrow(run, f"{kinds}, `{score}` double")
+    return df.select(*[F.col(f"`{n}`") for n in names]).mapInArrow(run, schema)
 
 
 def quality_report(docs: DataFrame, model: QualityModel, held_out: Column) -> DataFrame:

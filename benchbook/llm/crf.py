@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from benchbook.llm.common import ready, slices, text_of
 from benchbook.llm.sampling import labelled_sample, logistic
@@ -24,7 +25,6 @@ BUCKETS = 1 << 18
 STEMS = (5, 6, 7)
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _EDGE = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-SPANS = "array<struct<start:long,end:long,probability:double>>"
 
 
 def _own(word: bytes) -> tuple[int, ...]:
@@ -350,7 +350,15 @@ def score_toxicity(df: DataFrame, model: ToxicityModel, text: str = "text", scor
     spark = ready(df.sparkSession)
     fields = [f for f in df.schema.fields if f.name not in (score, spans)]
     names = [f.name for f in fields]
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    span = T.StructType(
+        [
+            T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
+            T.StructField("probability", T.DoubleType()),
+        ]
+    )
+    schema = T.StructType(
+        [*fields, T.StructField(score, T.DoubleType()), T.StructField(spans, T.ArrayType(span))]
+    )
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -369,7 +377,7 @@ def score_toxicity(df: DataFrame, model: ToxicityModel, text: str = "text", scor
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=[*names, score, spans])
 
-    return df.select(*names).mapInArrow(run, f"{kinds}, `{score}` double, `{spans}` {SPANS}")
+    return df.select(*[F.col(f"`{n}`") for n in names]).mapInArrow(run, schema)
 
 
 def toxicity_report(docs: DataFrame, model: ToxicityModel, held_out: Column) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from benchbook.llm.blocks import chunk_pairs, count_links
-from benchbook.llm.common import components, ready, slices, stage, text_of
+from benchbook.llm.common import components, ready, slices, stage, text_of, unused
 from benchbook.llm.words import Hashes, mixed, shingles
 
 
@@ -211,10 +211,12 @@ def one_of_each(docs: DataFrame, **how) -> DataFrame:
 
     All columns of ``docs`` stay. Of rows that repeat with their id and text one stays.
     """
+    doc_id, text = how.get("doc_id", "doc_id"), how.get("text", "text")
+    own, id_, copy = (unused(docs, name) for name in ("md5", "kept_id", "kept_copy"))
     found = near_documents(docs, **how).filter("kept").select(
-        F.col("doc_id").alias("_id"), F.col("copy").alias("_copy")
+        F.col("doc_id").alias(id_), F.col("copy").alias(copy)
     ).distinct()
-    own = docs.withColumn("_md5", F.md5(text_of(how.get("text", "text"))))
-    doc_id = how.get("doc_id", "doc_id")
-    same = own[doc_id].cast("long").eqNullSafe(F.col("_id")) & (F.col("_md5") == F.col("_copy"))
-    return own.join(found, same, "left_semi").dropDuplicates([doc_id, "_md5"]).drop("_md5")
+    marked = docs.withColumn(own, F.md5(text_of(text)))
+    same = marked[doc_id].cast("long").eqNullSafe(found[id_]) & (marked[own] == found[copy])
+    chosen = marked.join(found, same, "left_semi").dropDuplicates([doc_id, own])
+    return chosen.select(*[F.col(f"`{c}`") for c in docs.columns])

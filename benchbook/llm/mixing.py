@@ -190,3 +190,25 @@ def mix_documents(
         chance.alias("probability"),
         (draw < chance).alias("kept"),
     )
+
+
+#: Target shares of the tokens in the standard mix; what is not named keeps its share.
+SOURCE_TARGETS = {"src0": 0.24} | {f"src{i}": 0.04 for i in range(1, 20)}
+LANG_TARGETS = {"en": 0.6, "de": 0.15, "fr": 0.15, "es": 0.1}
+TOPIC_TARGETS = {"article": 0.75, "note": 0.25}
+
+
+def standard_mix(docs: DataFrame) -> DataFrame:
+    """``mix_documents`` of a table like ``documents`` to the standard targets."""
+    words = word_count("text")
+    targets = [
+        (F.col("source"), SOURCE_TARGETS), (F.col("lang"), LANG_TARGETS),
+        (layout_topic("text", words), TOPIC_TARGETS),
+    ]
+    return mix_documents(docs, targets, words)
+
+
+def sampled(docs: DataFrame) -> DataFrame:
+    """The documents that the standard mix keeps, with their own columns only."""
+    inner = docs.select("doc_id", "text", "source", "lang", F.struct("*").alias("row"))
+    return standard_mix(inner).filter("kept").select("row.*")

@@ -82,24 +82,9 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf.toxicity_report(documents, model, held_out)
 
 
-#: Target shares of the tokens; what is not named keeps its share.
-SOURCE_TARGETS = {"src0": 0.24} | {f"src{i}": 0.04 for i in range(1, 20)}
-LANG_TARGETS = {"en": 0.6, "de": 0.15, "fr": 0.15, "es": 0.1}
-TOPIC_TARGETS = {"article": 0.75, "note": 0.25}
-
-
-def mixed(documents: DataFrame) -> DataFrame:
-    words = mixing.word_count("text")
-    targets = [
-        (F.col("source"), SOURCE_TARGETS), (F.col("lang"), LANG_TARGETS),
-        (mixing.layout_topic("text", words), TOPIC_TARGETS),
-    ]
-    return mixing.mix_documents(documents, targets, words)
-
-
 @_query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = mixed(table(spark, sf_dir, "documents"))
+    found = mixing.standard_mix(table(spark, sf_dir, "documents"))
     return found.select(
         "doc_id", "source", "lang", "tokens", "weight", "probability", "kept"
     )

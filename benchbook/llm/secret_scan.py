@@ -12,8 +12,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from benchbook.llm.common import ready, slices, text_of
+from benchbook.llm.common import ready, slices, text_of, unused
 
 #: Order of kinds where two spans start at one place; the first three are the base patterns.
 KINDS = ("assign", "access", "hex", "token", "key")
@@ -31,8 +32,6 @@ _BLOCK = re.compile(
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 _SIGNED = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 
-SPAN = "array<struct<kind:string,start:long,end:long,confirmed:boolean,evidence:string>>"
-
 
 def _decoded(run: str) -> bytes | None:
     """Bytes of a base64 run in either alphabet, padded or not."""
@@ -213,17 +212,25 @@ def scan_secrets(df: DataFrame, text: str = "text", spans: str = "spans",
     """
     ready(df.sparkSession)
     added = [spans] + ([redacted] if redacted else [])
-    fields = [f for f in df.schema.fields if f.name not in added or f.name == text]
-    kept = [f.name for f in fields if f.name not in added]
-    kinds = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields if f.name in kept]
-                      + [f"`{spans}` {SPAN}"] + [f"`{redacted}` string"] * bool(redacted))
+    kept = [f for f in df.schema.fields if f.name not in added]
+    names = [f.name for f in kept]
+    span = T.StructType(
+        [
+            T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()),
+            T.StructField("end", T.LongType()), T.StructField("confirmed", T.BooleanType()),
+            T.StructField("evidence", T.StringType()),
+        ]
+    )
+    clean = [T.StructField(redacted, T.StringType())] if redacted else []
+    schema = T.StructType([*kept, T.StructField(spans, T.ArrayType(span)), *clean])
+    read = names if text in names else [*names, text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, text):
                 texts = batch.column(text).to_pylist()
                 found = [scan(t) if t else [] for t in texts]
-                columns = [batch.column(name) for name in kept]
+                columns = [batch.column(name) for name in names]
                 rows = [
                     [dict(zip(("kind", "start", "end", "confirmed", "evidence"), s)) for s in f]
                     for f in found
@@ -232,9 +239,24 @@ def scan_secrets(df: DataFrame, text: str = "text", spans: str = "spans",
                 if redacted:
                     clean = [t and redact(t, f) for t, f in zip(texts, found)]
                     columns.append(pa.array(clean, type=pa.string()))
-                yield pa.RecordBatch.from_arrays(columns, names=kept + added)
+                yield pa.RecordBatch.from_arrays(columns, names=names + added)
+
+    return df.select(*[F.col(f"`{n}`") for n in read]).mapInArrow(run, schema)
 
-    return df.select(*[f.name for f in fields]).mapInArrow(run, kinds)
+
+def without_secrets(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
+    """The documents with every secret masked in their text, and its length brought up to date.
+
+    Every document and column stays, in order. A null text stays null.
+    """
+    spans = unused(docs, "spans")
+    found = scan_secrets(docs, text, spans, redacted=text)
+    if n_chars in docs.columns:
+        size = F.length(text).cast(docs.schema[n_chars].dataType)
+        found = found.withColumn(
+            n_chars, F.when(F.size(spans) > 0, size).otherwise(F.col(n_chars))
+        )
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def secret_report(df: DataFrame, text: str = "text") -> DataFrame:
