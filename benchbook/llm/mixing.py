@@ -138,8 +138,9 @@ def mix_documents(
     combined in every task, the other looks the cell up. Cells are at most the product of the
     sizes of the marginals as the caller wrote them (values not named are one value, null
     among them), which bounds what is fitted on the driver and broadcast back, whatever the
-    number of documents or of sources. Columns named like a result are replaced. Documents
-    without tokens are kept. An empty table gives no rows.
+    number of documents or of sources. Columns named like a result are replaced. A
+    document without tokens has the chance of its cell, and is kept if none in it has any. An
+    empty table gives no rows.
     """
     listed = list(targets.items()) if isinstance(targets, dict) else targets
     listed = [(F.col(c) if isinstance(c, str) else c, shares) for c, shares in listed]
