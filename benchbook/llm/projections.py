@@ -275,9 +275,11 @@ def near_vectors(
         roots.join(distinct.select("node", "low_id"), "node")
         .groupBy("root").agg(F.min("low_id").alias("component"))
     )
+    # vectors without links are in no table of roots: they never share a join key
+    named = roots.join(lowest, "root").select("node", "component")
     known = (
         distinct.select("node", "copies", "low_id")
-        .join(roots, "node", "left").join(lowest, "root", "left").join(near, "node", "left")
+        .join(named, "node", "left").join(near, "node", "left")
         .select(
             "node", F.coalesce("component", "low_id").alias("component"),
             (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"),
