@@ -24,13 +24,21 @@ def lookup_by_key(stored: DataFrame, key: str, fields: tuple[str, ...] = STORED_
 def _stored_of(keys: DataFrame, stored: DataFrame) -> DataFrame:
     """One stored row for each of the keys that has any.
 
-    A key may be stored again after its object changed; the smallest hash speaks for it.
+    A key may be stored again after its object changed; the newest load speaks for it (within
+    one time the largest load name, then the smallest hash).
     """
     asked = stored.withColumn("key", F.col("pdf_s3_key")).join(
         keys.select("key"), "key", "left_semi"
     )
-    row = F.struct(*STORED_FIELDS)
-    return asked.groupBy("key").agg(F.min_by(row, "content_hash").alias("stored"))
+    age = [c for c in ("loaded_at", "batch_id") if c in stored.columns]
+    newest = asked.groupBy("key", "content_hash").agg(
+        F.max_by(F.struct(*STORED_FIELDS), F.struct(F.lit(0), *age)).alias("row"),
+        F.max(F.struct(F.lit(0), *age)).alias("age"),
+    )
+    # the largest age, and of equal ones the smallest hash
+    last = newest.groupBy("key").agg(F.max("age").alias("last"))
+    same = newest.join(last, "key").filter(F.col("age") == F.col("last"))
+    return same.groupBy("key").agg(F.min_by("row", "content_hash").alias("stored"))
 
 
 def cross_check(keys: DataFrame, stored: DataFrame) -> DataFrame:

@@ -22,12 +22,12 @@ def first_of_each_hash(hashed: DataFrame) -> DataFrame:
 def absent(hashed: DataFrame, stored: DataFrame) -> DataFrame:
     """Rows whose hash the store does not hold.
 
-    The store is first cut down to the hashes asked for. A small load can be broadcast for that,
-    and then the hashes of a store of any size are only read, not shuffled.
+    The store is first cut down to the hashes asked for, each once on both sides: a text copied
+    into a third of all rows is one row in the join. A small load can be broadcast for that, and
+    then the hashes of a store of any size are only read, not shuffled.
     """
-    known = stored.select("content_hash").join(
-        hashed.select("content_hash"), "content_hash", "left_semi"
-    )
+    asked = hashed.select("content_hash").distinct()
+    known = stored.select("content_hash").join(asked, "content_hash", "left_semi").distinct()
     return hashed.join(known, "content_hash", "left_anti")
 
 

@@ -12,17 +12,41 @@ from pyspark.sql import functions as F
 from benchbook.functions import fixed_values as V
 
 
-def latest_state(log: DataFrame) -> DataFrame:
-    """One row per key: first source, newest status, message (even if NULL) and time."""
-    at = F.col("processed_at")
-    return log.groupBy("key").agg(
-        F.min_by("source", at).alias("source"),
-        F.max_by("status", at).alias("status"),
-        F.max_by("error_msg", at).alias("error_msg"),
-        F.max(at).alias("processed_at"),
+def with_order(log: DataFrame) -> DataFrame:
+    """Entries with what decides between two of one time: the load, then their own content.
+
+    ``first_at`` is the time of the first entry that a row stands for.
+    """
+    for name, value in (("batch_id", F.lit("")), ("first_at", F.col("processed_at"))):
+        if name not in log.columns:
+            log = log.withColumn(name, value.cast("string" if name == "batch_id" else "timestamp"))
+    return log
+
+
+def merged_state(log: DataFrame) -> DataFrame:
+    """One row per key of entries or of earlier results of this function, with its times.
+
+    The newest entry as a whole and the source of the oldest: each is one extreme of whole rows
+    in a total order, so equal times give one answer however the rows are spread.
+    """
+    newest = F.max(F.struct("processed_at", "batch_id", "status", "error_msg")).alias("_new")
+    oldest = F.min(F.struct("first_at", F.col("source").isNull(), "source")).alias("_old")
+    return with_order(log).groupBy("key").agg(newest, oldest).select(
+        "key",
+        F.col("_old")["source"].alias("source"),
+        F.col("_new")["status"].alias("status"),
+        F.col("_new")["error_msg"].alias("error_msg"),
+        F.col("_new")["processed_at"].alias("processed_at"),
+        F.col("_old")["first_at"].alias("first_at"),
+        F.col("_new")["batch_id"].alias("batch_id"),
     )
 
 
+def latest_state(log: DataFrame) -> DataFrame:
+    """One row per key: first source, newest status, its message (even if NULL) and time."""
+    return merged_state(log).drop("first_at", "batch_id")
+
+
 def done_keys(log: DataFrame, done: str = V.DONE) -> DataFrame:
     return latest_state(log).filter(F.col("status") == done).select("key")
 
@@ -43,7 +67,7 @@ def not_done(keys: DataFrame, log: DataFrame, done: str = V.DONE) -> DataFrame:
 
 
 def run_summary(outcomes: DataFrame) -> DataFrame:
-    """One row of counters over ``status`` (``skipped`` marks keys that were already done).
+    """One row of counters over ``status``, as a load returns it (``skipped``: already done).
 
     ``stored`` counts everything processed without an error and ``skipped`` includes logged
     errors; errors have a counter of their own as well.

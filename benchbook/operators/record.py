@@ -96,8 +96,15 @@ def extract_record(df: DataFrame, text: str = "full_text", key: str = "key") ->
 
 
 def reparse(stored: DataFrame) -> DataFrame:
-    """Derive the record again from stored texts, without reading the source objects."""
-    return extract_record(stored.select("full_text", F.col("pdf_s3_key").alias("key")))
+    """Derive the record again from stored rows, without reading the source objects.
+
+    Hash and score are of the same text and stay as they are stored.
+    """
+    kept = stored.select(
+        "full_text", "content_hash", "quality_score", F.col("pdf_s3_key").alias("key")
+    )
+    full = with_metadata(kept).withColumnRenamed("key", "pdf_s3_key")
+    return full.select(*schema.RECORD.names)
 
 
 def with_provenance(df: DataFrame, endpoint: str, bucket: str, key: str = "key") -> DataFrame:

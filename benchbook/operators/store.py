@@ -1,28 +1,44 @@
 """The store: parquet tables under one root, written one load at a time.
 
-Each load owns the folder ``batch_id=<load>`` of each table and replaces it as a whole, so a
-load that failed half-way is simply run again. Two loads must not run against one store at the
-same time: nothing here locks.
+Each load owns a folder of each table. The folder of its log is written last and marks it as
+finished: a finished load is never written again, an unfinished one is replaced as a whole. Two
+loads must not run against one store at the same time: nothing here locks.
+
+Loads read neither the stored judgments nor the log, but two compact copies: the hashes that are
+stored and the newest state of each key. Every load adds a run to them, and runs are merged like
+digits are carried: ``FAN`` runs of a level become one run of the next. So a load reads a number
+of runs that grows with the logarithm of the number of loads.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from benchbook import schema
+from benchbook.operators import log
+from benchbook.session import exists, folders_in, remove
 
 _TABLES = {
     "judgments": (schema.JUDGMENTS, ["batch_id", "year"]),
     "ingest_log": (schema.INGEST_LOG, ["batch_id"]),
+    "outcome": (schema.OUTCOME, ["batch_id"]),
     "mirror": (schema.MIRROR, ["batch_id", "year"]),
+    "hashes": (schema.HASHES, ["level", "run"]),
+    "states": (schema.STATES, ["level", "run"]),
 }
+#: Runs of one level that are merged into one of the next.
+FAN = 8
 
 
 def init_store(spark: SparkSession, root: str) -> None:
     """Create the tables that do not exist yet; safe to repeat."""
     for name, (columns, partitions) in _TABLES.items():
+        if exists(spark, f"{root}/{name}"):
+            continue
         nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in columns]
         empty = spark.range(0).select(*nothing)
         empty.write.mode("ignore").partitionBy(*partitions).parquet(f"{root}/{name}")
@@ -32,6 +48,16 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(_TABLES[name][0]).parquet(f"{root}/{name}")
 
 
+def is_finished(spark: SparkSession, root: str, batch_id: str) -> bool:
+    return exists(spark, f"{root}/ingest_log/batch_id={batch_id}/_SUCCESS")
+
+
+def load_outcome(spark: SparkSession, root: str, batch_id: str) -> DataFrame:
+    """What a finished load returned."""
+    found = read_table(spark, root, "outcome").filter(F.col("batch_id") == batch_id)
+    return found.drop("batch_id")
+
+
 def stored_value(field: T.StructField) -> Column:
     """Stored form of a field: NULL text is empty, NULL list is empty, other NULLs stay."""
     value = F.col(field.name)
@@ -43,23 +69,78 @@ def stored_value(field: T.StructField) -> Column:
 
 
 def storable(records: DataFrame) -> DataFrame:
-    fields = [f for f in schema.JUDGMENTS if f.name != "batch_id"]
-    return records.select(*[stored_value(f).alias(f.name) for f in fields])
+    fields = [f for f in schema.JUDGMENTS if f.name not in ("batch_id", "loaded_at")]
+    columns = [stored_value(f).alias(f.name) for f in fields]
+    return records.select(*columns, F.current_timestamp().alias("loaded_at"))
 
 
 def append_judgments(records: DataFrame, root: str, batch_id: str) -> None:
-    """Write one load, laid out by year.
+    """Write one load by year, from the tasks that made the records: texts are not moved.
 
-    Without the rebalance every task would write a file per year. It is sized at run time: small
-    years share a task, and a year with most of the rows is split over many.
+    Many tasks then write small files into every year; ``compact_years`` mends that, off the
+    path of the loads.
     """
     path = f"{root}/judgments/batch_id={batch_id}"
-    laid_out = storable(records).hint("rebalance", "year")
-    laid_out.write.mode("overwrite").partitionBy("year").parquet(path)
+    storable(records).write.mode("overwrite").partitionBy("year").parquet(path)
+
+
+def compact_years(spark: SparkSession, root: str, batch_id: str) -> None:
+    """Lay the judgments of a finished load out anew: few files a year, ordered by key.
+
+    The one step that moves stored texts. A large year is split over many tasks, small years
+    share one.
+    """
+    path, fresh = (f"{root}/{name}/batch_id={batch_id}" for name in ("judgments", "compacting"))
+    columns = [f for f in schema.JUDGMENTS if f.name != "batch_id"]
+    if not exists(spark, f"{fresh}/_SUCCESS"):  # else an earlier attempt got this far
+        rows = spark.read.schema(T.StructType(columns)).parquet(path)
+        laid_out = rows.hint("rebalance", "year").sortWithinPartitions("year", "pdf_s3_key")
+        laid_out.write.mode("overwrite").partitionBy("year").parquet(fresh)
+    moved = spark.read.schema(T.StructType(columns)).parquet(fresh)
+    moved.write.mode("overwrite").partitionBy("year").parquet(path)
+    remove(spark, fresh)
 
 
 def append_log(entries: DataFrame, root: str, batch_id: str) -> None:
+    """Write the log of one load; the load is finished with it."""
     columns = [f.name for f in schema.INGEST_LOG if f.name != "batch_id"]
     entries.select(*columns).write.mode("overwrite").parquet(
         f"{root}/ingest_log/batch_id={batch_id}"
     )
+
+
+# ---- compact copies ----------------------------------------------------------------------
+
+_MERGE: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "hashes": lambda df: df.select("content_hash").distinct(),
+    "states": log.merged_state,
+}
+
+
+def read_runs(spark: SparkSession, root: str, name: str, batch_id: str) -> DataFrame:
+    """``hashes`` or ``states`` of all loads but an earlier, unfinished attempt of this one."""
+    found = read_table(spark, root, name)
+    return found.filter(F.col("run") != batch_id).drop("level", "run")
+
+
+def append_run(rows: DataFrame, root: str, name: str, batch_id: str) -> None:
+    rows.write.mode("overwrite").parquet(f"{root}/{name}/level=0/run={batch_id}")
+
+
+def merge_runs(spark: SparkSession, root: str, name: str) -> None:
+    """Carry full levels on. A merged run is complete before its parts are deleted; if that is
+    interrupted, rows are there twice, which neither sets nor newest states mind."""
+    level = 0
+    while True:
+        place = f"{root}/{name}/level={level}"
+        runs = [r for r in folders_in(spark, place) if level or is_finished(spark, root, r[4:])]
+        if len(runs) < FAN:
+            return
+        columns = [f for f in _TABLES[name][0] if f.name not in ("level", "run")]
+        reader = spark.read.schema(T.StructType(columns))
+        merged = _MERGE[name](reader.parquet(*[f"{place}/{r}" for r in runs]))
+        # named after its last part: a load's name is unique, so is this one in its level
+        merged.write.mode("overwrite").parquet(f"{root}/{name}/level={level + 1}/{runs[-1]}")
+        for r in runs:
+            remove(spark, f"{place}/{r}")
+        level += 1

@@ -76,14 +76,14 @@ PETITIONER = _choose(
     _w("a b c Mohan Lal"),
     "repeat('Very Long Name of a Society ', 9)",
     _w("CASE DETAILS Gopal Das #"),
-    _w("[2017] 12 S.C.R. 674 Hari Singh"),
+    _w("[2011] 7 S.C.R. 318 Hari Singh"),
 )
 RESPONDENT = _choose(
     6007,
     _w("State of Kerala & Ors."),
     _w("Commissioner of Income Tax, Delhi"),
     _w("M/s. Sharma Traders #"),
-    _w("2024 INSC 735 Meera Devi"),
+    _w("2021 INSC 402 Meera Devi"),
     _w("* * *"),
     _w("Collector of Customs   (Appeals)"),
 )
@@ -138,7 +138,7 @@ BENCH = _choose(
 )
 AFTER_BENCH = _choose(
     1511,
-    _t("Industrial Dispute-Puja Bonus-Customary and traditional payment of-Test. The rest follows|"),
+    _t("Motor Vehicles-Goods Carriage-Levy under municipal by-law-Validity of-Scope. The rest follows|"),
     _t("Issue for Consideration|Whether the levy is valid under the rules?|B|It was. Next|"),
     _t("HEADNOTES: whether the notification was published in time||"),
     _t("A a The appellant was a tenant of the premises in dispute|C|for ten years. J U D G M E N T|"),
@@ -157,7 +157,7 @@ HOLDING = _choose(
     2111,
     _t("|Held: the levy was valid in law [Paras 11, 12] and the claim fails.|Result:|"),
     _t("|Held, short|"),
-    _t(" excepted vil-lage -Held, validity of the notification was upheld|below: more|"),
+    _t(" grove and pas-ture -Held, order of the tribunal was restored|below: more|"),
     _t("|Held: that the workmen were entitled to bonus.|Obiter: none.|HELD : second part of the decision [Para 4]|end: x|"),
     _t(""),
 )
@@ -272,8 +272,8 @@ def party_names(number: str, name: str) -> str:
     return f"""(CASE {number} % 11
         WHEN 0 THEN concat('A b  ', {name}) WHEN 1 THEN concat('CASE DETAILS ', {name})
         WHEN 2 THEN concat('Digital Supreme Court Reports ', {name})
-        WHEN 3 THEN concat('[2017] 12 S.C.R. 674 ', {name})
-        WHEN 4 THEN concat('2024 INSC 789 ', {name}) WHEN 5 THEN concat('-- ', {name}, ' & ;')
+        WHEN 3 THEN concat('[2011] 7 S.C.R. 318 ', {name})
+        WHEN 4 THEN concat('2022 INSC 56 ', {name}) WHEN 5 THEN concat('-- ', {name}, ' & ;')
         WHEN 6 THEN concat('Mr. Scrope of ', {name}, '   Ltd.') WHEN 7 THEN concat('"', {name}, '" (Dead)')
         WHEN 8 THEN NULL WHEN 9 THEN concat('A. B. ', {name}) ELSE {name} END)"""
 

@@ -1,56 +1,102 @@
-"""One load: skip what is done, score, keep what is new and good, store it, log everything."""
+"""One load: skip what is done, mirror, score, keep what is new and good, store it, log everything."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from benchbook.functions import fixed_values as V
 from benchbook.operators import dedup, log, store
-from benchbook.operators.record import extract_record, with_provenance, with_quality
-from benchbook.session import stage
+from benchbook.operators.record import with_metadata, with_provenance, with_quality
+from benchbook.session import fresh_folder, remove, stage
+from benchbook.sources.objects import mirror_raw
+from benchbook.sources.pages import assemble_pages
+
+SKIPPED = "skipped"
+
+
+def ingest(documents: DataFrame, root: str, batch_id: str, **options: object) -> DataFrame:
+    """Load ``key, full_text`` (cleaned) into the store; returns ``key, status, error_msg``.
+
+    See ``load`` for the options.
+    """
+    return load(documents, lambda rows: rows.select("key", "full_text"), root, batch_id, **options)
+
+
+def ingest_pages(pages: DataFrame, root: str, batch_id: str, **options: object) -> DataFrame:
+    """Load ``key, page_no, page_text``: pages of done documents are dropped before they are put
+    together, so their texts are neither moved nor cleaned."""
+    return load(pages, assemble_pages, root, batch_id, **options)
 
 
-def ingest(
-    documents: DataFrame,
+def load(
+    rows: DataFrame,
+    prepare: Callable[[DataFrame], DataFrame],
     root: str,
     batch_id: str,
     source: str = "s3",
     endpoint: str = "",
     bucket: str = "",
     skip: tuple[str, ...] = ("done",),
+    objects: DataFrame | None = None,
+    work: str | None = None,
 ) -> DataFrame:
-    """Load ``key, full_text`` (cleaned) into the store; returns ``key, status, error_msg``.
+    """Load rows with a ``key`` that ``prepare`` turns into ``key, full_text``.
 
-    The texts are passed over twice: once for hash and score of every document, and once, only
-    for the documents that turned out to be new, for the derived fields. What lies between is
-    keys and hashes. The second pass keeps the partitioning by key that page assembly left, if
-    the documents come from there. A key listed twice counts once.
+    A finished load is answered with what it returned and changes nothing; a load that broke is
+    replaced. Keys whose newest status is in ``skip`` are ``skipped`` (add ``duplicate`` and
+    ``low_quality`` to leave settled documents alone). ``objects`` (``key, year, content``) are
+    mirrored first, those of skipped keys left out.
 
-    ``skip`` names the newest statuses that are not tried again; add ``duplicate`` and
-    ``low_quality`` to leave settled documents alone.
+    The texts are read, cleaned, hashed and scored once, and written as they come to ``work``
+    (default: the session's shared folder) with a row number. What is decided on is key, hash,
+    score and row number: of a key with several texts the smallest hash stands, so exactly the
+    text that was judged is stored. The second pass reads the written texts, keeps the chosen
+    rows and adds the remaining fields; no aggregate, sort or distinct holds a text.
     """
-    spark = documents.sparkSession
+    spark = rows.sparkSession
     store.init_store(spark, root)
-    # what this load itself wrote in an earlier, failed attempt does not count
-    others = F.col("batch_id") != batch_id
-    entries = store.read_table(spark, root, "ingest_log").filter(others)
-    history = log.latest_state(log.entries_of(entries, documents))
-    settled = history.filter(F.col("status").isin(*skip)).select("key")
-    stored = store.read_table(spark, root, "judgments").filter(others)
-
-    todo = documents.join(settled, "key", "left_anti")
+    if store.is_finished(spark, root, batch_id):
+        return store.load_outcome(spark, root, batch_id)
+    keys = rows.select("key")
+    states = log.entries_of(store.read_runs(spark, root, "states", batch_id), keys)
+    settled = log.merged_state(states).filter(F.col("status").isin(*skip)).select("key")
+    skipped = settled.select("key", F.lit(SKIPPED).alias("status"), F.lit(None).alias("error_msg"))
+    if objects is not None:
+        mirror_raw(objects.join(settled, "key", "left_anti"), root, batch_id)
+
+    folder = work or fresh_folder(spark, "load")
+    todo = prepare(rows.join(settled, "key", "left_anti"))
+    numbered = with_quality(todo).withColumn("row", F.monotonically_increasing_id())
+    texts = stage(numbered, path=f"{folder}/texts")
+    hashed = F.col("content_hash").isNotNull()
+    best = F.min(F.when(hashed, F.struct("content_hash", "row", "quality_score"))).alias("best")
     scored = stage(
-        with_quality(todo).select("key", "content_hash", "quality_score").dropDuplicates(["key"])
+        texts.groupBy("key").agg(best).select("key", "best.*"), path=f"{folder}/scored"
+    )
+    stored = store.read_runs(spark, root, "hashes", batch_id)
+    outcome = stage(
+        dedup.ingest_status(scored, stored).union(skipped),
+        path=f"{root}/outcome/batch_id={batch_id}",
     )
-    outcome = stage(dedup.ingest_status(scored, stored))
 
-    chosen = outcome.filter(F.col("status") == "done").select("key")
-    new = todo.join(chosen, "key", "left_semi").dropDuplicates(["key"])
-    records = extract_record(new).withColumn("key", F.col("pdf_s3_key"))
+    done = outcome.filter(F.col("status") == V.DONE).select("key")
+    chosen = scored.join(done, "key", "left_semi").select("row", "content_hash")
+    new = texts.join(chosen.select("row"), "row", "left_semi").drop("row")
+    records = with_metadata(new).withColumn("pdf_s3_key", F.col("key"))
     store.append_judgments(with_provenance(records, endpoint, bucket), root, batch_id)
-    entries = outcome.select(
+    entries = outcome.filter(F.col("status") != SKIPPED).select(
         F.lit(source).alias("source"), "key", "status", "error_msg",
         F.current_timestamp().alias("processed_at"),
     )
+    entries = stage(entries, path=f"{folder}/entries")
+    store.append_run(chosen.select("content_hash").distinct(), root, "hashes", batch_id)
+    state = log.merged_state(entries.withColumn("batch_id", F.lit(batch_id)))
+    store.append_run(state, root, "states", batch_id)
     store.append_log(entries, root, batch_id)
-    return outcome
+    for name in ("hashes", "states"):
+        store.merge_runs(spark, root, name)
+    remove(spark, folder)
+    return store.load_outcome(spark, root, batch_id)

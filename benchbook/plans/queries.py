@@ -17,10 +17,9 @@ from benchbook.functions.regex import collapse, folded
 from benchbook.operators import coverage, crosscheck, dedup, log, record, store
 from benchbook.plans import check_sql as S
 from benchbook.plans import corpus
-from benchbook.plans.ingest import ingest
+from benchbook.plans.ingest import ingest, ingest_pages
 from benchbook.session import fresh_folder, once_per_session, stage
 from benchbook.sources import keys, objects, pages
-from benchbook.sources.texts import spread
 from benchbook.streaming.ingest import read_documents, stream_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -182,12 +181,18 @@ def listed_key_count(spark, sf_dir):
     return listed.agg(F.count("*").alias("n_keys"))
 
 
-@query("read_objects")
+@query(
+    "read_objects",
+    "SELECT page_id, strlen(html) + 1 AS length, sha256(html || chr(10)) AS content_hash FROM pages",
+)
 def read_objects(spark, sf_dir):
-    """The files of the given tables as opaque objects."""
-    found = objects.read_objects(spark, sf_dir, "*.parquet")
+    """Every page of html as an object of its own (with a line end), read back whole."""
+    root = fresh_folder(spark, "objects")
+    html = corpus.table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("value"))
+    html.write.partitionBy("page_id").text(root)
+    found = objects.read_objects(spark, root, "*.txt")
     return found.select(
-        F.substring_index("path", "/", -1).alias("name"),
+        F.regexp_extract("path", "/page_id=([0-9]+)/", 1).cast("long").alias("page_id"),
         "length",
         F.sha2("content", 256).alias("content_hash"),
     )
@@ -241,8 +246,9 @@ _EVENTS = """log AS (SELECT concat('s', cast(event_id % 3 AS string)) AS source,
   cast(user_id AS string) AS key,
   CASE WHEN event_type = 'purchase' THEN 'done' ELSE event_type END AS status,
   CASE WHEN event_type = 'error' THEN props END AS error_msg, ts AS processed_at FROM events),
-latest AS (SELECT key, arg_min_null(source, processed_at) AS source,
-  arg_max_null(status, processed_at) AS status, arg_max_null(error_msg, processed_at) AS error_msg,
+latest AS (SELECT key, min({'t': processed_at, 's': source}).s AS source,
+  max({'t': processed_at, 's': status, 'm': error_msg}).s AS status,
+  arg_max_null(error_msg, {'t': processed_at, 's': status}) AS error_msg,
   max(processed_at) AS processed_at FROM log GROUP BY key)"""
 _TIME = "strftime(processed_at, '%Y-%m-%d %H:%M:%S.%f') AS processed_at"
 
@@ -605,41 +611,6 @@ def extract_record(spark, sf_dir):
     return _shown(_records(spark, sf_dir))
 
 
-@query(
-    "reparse_stored",
-    S.over_records(
-        f"key, title, {S._joined('tags')} AS tags, summary, holding, applicability"
-    ),
-)
-def reparse_stored(spark, sf_dir):
-    kept = texts(spark, sf_dir).select("full_text", F.col("key").alias("pdf_s3_key"))
-    again = record.reparse(kept).select(
-        "pdf_s3_key", "title", "tags", "summary", "holding", "applicability"
-    )
-    return _shown(again)
-
-
-@query(
-    "lookup_by_suffix",
-    S.over_records("key, title, year")
-    + " WHERE key LIKE '%000_7_EN.pdf' ORDER BY key LIMIT 1",
-)
-def lookup_by_suffix(spark, sf_dir):
-    found = crosscheck.lookup_by_suffix(_records(spark, sf_dir), "000_7_EN.pdf")
-    return _shown(found.select("pdf_s3_key", "title", "year"))
-
-
-_ONE_KEY = "data/pdf/year=1957/english/000000007_EN.pdf"
-_CHECKED = (
-    f"title, case_number, year, judgment_date, {S._joined('bench')} AS bench, result, quality_score"
-)
-
-
-@query("lookup_by_key", S.over_records(f"key, {_CHECKED}") + f" WHERE key = '{_ONE_KEY}'")
-def lookup_by_key(spark, sf_dir):
-    return _shown(crosscheck.lookup_by_key(_records(spark, sf_dir), _ONE_KEY))
-
-
 _ENDPOINT, _BUCKET = "https://objects.example.org", "judgments"
 
 
@@ -753,24 +724,134 @@ def ingest_batch(spark, sf_dir):
     """A whole load into an empty store, read back."""
     root = fresh_folder(spark, "store")
     ingest(texts(spark, sf_dir).select("key", "full_text"), root, "one")
-    stored = store.read_table(spark, root, "judgments").drop("source_url", "batch_id")
+    stored = store.read_table(spark, root, "judgments").drop("source_url", "batch_id", "loaded_at")
     return _shown(stored)
 
 
+_READABLE = f"SELECT * FROM q WHERE key_year % 3 > 0 AND quality_score >= {V.MIN_QUALITY}"
+_DAMAGED_STATUS = (
+    f"CASE WHEN key_year % 3 = 0 THEN '{V.ERROR}' ELSE {_STATUS} END AS status, "
+    "CASE WHEN key_year % 3 = 0 THEN 'document has no readable text' END AS error_msg"
+)
+_DAMAGED = (
+    f"WITH {S._J}, {S._Q}, w AS (SELECT min(key) AS key FROM ({_READABLE}) GROUP BY content_hash) "
+)
+
+
+def _damaged(df: DataFrame, text: str) -> DataFrame:
+    readable = keys.key_year(F.col("key")) % 3 > 0
+    return df.withColumn(text, F.when(readable, F.col(text)))
+
+
 @query(
     "error_capture",
-    f"WITH {S._J}, {S._Q}, w AS (SELECT min(q.key) AS key FROM q WHERE key_year % 3 > 0 "
-    f"AND quality_score >= {V.MIN_QUALITY} GROUP BY content_hash) SELECT key, "
-    f"CASE WHEN key_year % 3 = 0 THEN '{V.ERROR}' ELSE {_STATUS} END AS status, "
-    "CASE WHEN key_year % 3 = 0 THEN 'document has no readable text' END AS error_msg FROM q",
+    f"{_DAMAGED}, o AS (SELECT key, content_hash, {_DAMAGED_STATUS} FROM q) "
+    "SELECT o.key, status, error_msg, "
+    f"CASE WHEN status = '{V.DONE}' THEN content_hash END AS stored_hash FROM o",
 )
 def error_capture(spark, sf_dir):
-    """A third of the documents cannot be read; the load records them and goes on."""
-    damaged = texts(spark, sf_dir).withColumn(
-        "full_text", F.when(F.col("key_year") % 3 > 0, F.col("full_text"))
+    """A third of the documents cannot be read; the load logs them, stores the rest, goes on."""
+    root = fresh_folder(spark, "store")
+    ingest(_damaged(texts(spark, sf_dir), "full_text"), root, "one")
+    stored = store.read_table(spark, root, "judgments").select(
+        F.col("pdf_s3_key").alias("key"), F.col("content_hash").alias("stored_hash")
     )
-    scored = stage(record.with_quality(damaged).select("key", "content_hash", "quality_score"))
-    return dedup.ingest_status(scored, scored.limit(0))
+    logged = store.read_table(spark, root, "ingest_log").select("key", "status", "error_msg")
+    return logged.join(stored, "key", "left")
+
+
+@query(
+    "run_totals",
+    f"WITH {S._J}, {S._Q}, w AS ({_FIRST_RUN}), o AS (SELECT {_STATUS} AS status FROM q), "
+    f"runs AS (SELECT 'first' AS run, status FROM o UNION ALL "
+    f"SELECT 'second', CASE status WHEN '{V.DONE}' THEN 'skipped' ELSE status END FROM o) "
+    f"SELECT run, count(*) FILTER (status NOT IN ('skipped', '{V.ERROR}')) AS stored, "
+    f"count(*) FILTER (status IN ('skipped', '{V.ERROR}')) AS skipped, "
+    f"count(*) FILTER (status = '{V.ERROR}') AS logged_errors, count(*) AS processed "
+    "FROM runs GROUP BY run",
+)
+def run_totals(spark, sf_dir):
+    """The counters of a load and of the same load run again: what was done is skipped."""
+    root = fresh_folder(spark, "store")
+    documents = texts(spark, sf_dir).select("key", "full_text")
+    totals = [
+        log.run_summary(ingest(documents, root, name)).withColumn("run", F.lit(name))
+        for name in ("first", "second")
+    ]
+    return totals[0].union(totals[1])
+
+
+@query(
+    "ingest_from_pages",
+    f"WITH {_PAGES}, j AS (SELECT key, {S.clean(f'array_to_string(texts, {corpus.NL})')} AS t "
+    f"FROM pages) SELECT DISTINCT sha256(t) AS content_hash FROM j WHERE key IN "
+    f"(SELECT key FROM (WITH {S._J}, {S._Q} SELECT key FROM q WHERE quality_score >= {V.MIN_QUALITY}))",
+)
+def ingest_from_pages(spark, sf_dir):
+    """A load that starts from pages; every second year was loaded before and is skipped."""
+    root = fresh_folder(spark, "store")
+    found = corpus.pages(spark, sf_dir)
+    ingest_pages(found.filter(keys.key_year(F.col("key")) % 2 == 0), root, "one")
+    ingest_pages(found, root, "two")
+    return store.read_table(spark, root, "judgments").select("content_hash")
+
+
+# ---- the store read again ----------------------------------------------------------------
+
+
+def _loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The judgments of a store that all texts were loaded into."""
+    root = fresh_folder(spark, "store")
+    ingest(texts(spark, sf_dir).select("key", "full_text"), root, "one")
+    return store.read_table(spark, root, "judgments")
+
+
+def _stored_sql(columns: str, rest: str = "") -> str:
+    """Columns of the stored rows; NULL texts are stored empty."""
+    shown = ", ".join(
+        f"coalesce({c}, '') AS {c}"
+        for c in ("title", "case_number", "judgment_date", "summary", "holding", "applicability")
+    )
+    return (
+        f"WITH {S.RECORDS}, s AS ({_FIRST_RUN}), w AS (SELECT rec.* REPLACE ({shown}) FROM rec "
+        f"JOIN s ON rec.key = s.key) SELECT {columns} FROM w {rest}"
+    )
+
+
+@query(
+    "reparse_stored",
+    S.over_records(f"key, title, {S._joined('tags')} AS tags, summary, holding, applicability")
+    + f" WHERE key IN (SELECT key FROM ({_FIRST_RUN}))",
+)
+def reparse_stored(spark, sf_dir):
+    again = record.reparse(_loaded(spark, sf_dir)).select(
+        "pdf_s3_key", "title", "tags", "summary", "holding", "applicability"
+    )
+    return _shown(again)
+
+
+@query(
+    "lookup_by_suffix",
+    _stored_sql("key, title, year", "WHERE key LIKE '%000_7_EN.pdf' ORDER BY key LIMIT 1"),
+)
+def lookup_by_suffix(spark, sf_dir):
+    found = crosscheck.lookup_by_suffix(_loaded(spark, sf_dir), "000_7_EN.pdf")
+    return _shown(found.select("pdf_s3_key", "title", "year"))
+
+
+_ONE_KEY = "data/pdf/year=1957/english/000000007_EN.pdf"
+
+
+@query(
+    "lookup_by_key",
+    _stored_sql(
+        f"key, title, case_number, year, judgment_date, {S._joined('bench')} AS bench, result, "
+        "quality_score",
+        f"WHERE key = '{_ONE_KEY}'",
+    ),
+)
+def lookup_by_key(spark, sf_dir):
+    return _shown(crosscheck.lookup_by_key(_loaded(spark, sf_dir), _ONE_KEY))
 
 
 # ---- coverage and cross-check --------------------------------------------------------------
@@ -880,7 +961,7 @@ def cross_check_diff(spark, sf_dir):
 
 
 def _prepare(batch: DataFrame) -> DataFrame:
-    return spread(batch, "doc_id").select(
+    return batch.select(
         F.expr(corpus.JUDGMENT_KEY).alias("key"),
         normalize.clean_text(F.expr(corpus.RAW_TEXT)).alias("full_text"),
     )

@@ -38,6 +38,7 @@ JUDGMENTS = T.StructType(
     [f for f in RECORD if f.name != "year"]
     + [
         T.StructField("source_url", T.StringType()),
+        T.StructField("loaded_at", T.TimestampType()),
         T.StructField("batch_id", T.StringType()),
         T.StructField("year", T.IntegerType()),
     ]
@@ -66,7 +67,41 @@ MIRROR = T.StructType(
     [
         T.StructField("key", T.StringType()),
         T.StructField("content", T.BinaryType()),
+        T.StructField("loaded_at", T.TimestampType()),
         T.StructField("batch_id", T.StringType()),
         T.StructField("year", T.IntegerType()),
     ]
 )
+
+# What a load returned: a row per key it was offered.
+OUTCOME = T.StructType(
+    [
+        T.StructField("key", T.StringType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("error_msg", T.StringType()),
+        T.StructField("batch_id", T.StringType()),
+    ]
+)
+
+# Compact copies that a load reads instead of the growing tables: what is stored, by hash, and
+# the newest state of each key. ``run`` names what a row came with.
+HASHES = T.StructType(
+    [
+        T.StructField("content_hash", T.StringType()),
+        T.StructField("level", T.IntegerType()),
+        T.StructField("run", T.StringType()),
+    ]
+)
+STATES = T.StructType(
+    [
+        T.StructField("key", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("error_msg", T.StringType()),
+        T.StructField("processed_at", T.TimestampType()),
+        T.StructField("first_at", T.TimestampType()),
+        T.StructField("batch_id", T.StringType()),
+        T.StructField("level", T.IntegerType()),
+        T.StructField("run", T.StringType()),
+    ]
+)

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # a task that writes a folder per year keeps the files open instead of sorting its texts
+    "spark.sql.maxConcurrentOutputFileWriters": "200",
 }
 
 
@@ -51,17 +53,41 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write once to the shared folder and go on from there.
+def stage(df: DataFrame, name: str = "stage", path: str | None = None) -> DataFrame:
+    """Write once to the shared folder (or to ``path``) and go on from there.
 
     Used where a result over the texts feeds several branches: the texts are then read once,
-    and a lost executor costs a re-read of the small table, not of the texts.
+    and a lost executor costs a re-read of the table, not of the texts.
     """
-    path = fresh_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    path = path or fresh_folder(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate data, wherever the cluster keeps it."""
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``; none if it does not exist."""
+    files, place = _file_system(spark, path)
+    if not files.exists(place):
+        return []
+    return sorted(f.getPath().getName() for f in files.listStatus(place) if f.isDirectory())
+
+
 def once_per_session(build: Callable) -> Callable:
     """Keep what ``build`` returns for the running session.
 

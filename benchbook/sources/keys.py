@@ -82,10 +82,28 @@ def pdf_keys(listing: DataFrame) -> DataFrame:
 
 
 def limit_keys(listing: DataFrame, max_keys: int | None, *order: str) -> DataFrame:
-    """The first ``max_keys`` keys in listing order; 0 or None keeps all."""
+    """The first ``max_keys`` keys in listing order; 0 or None keeps all.
+
+    ``order`` may name columns of few values (the position of a year) before ``key``. Keys are
+    counted by those and by their beginning up to the year, which agrees with the order; groups
+    that are wanted whole are taken by a filter, and only the last, cut one is sorted. One row
+    per year folder comes to the driver.
+    """
     if not max_keys:
         return listing
-    return listing.orderBy(*(order or ("key",))).limit(max_keys)
+    before = [c for c in order if c != "key"]
+    folder = F.left("key", F.lit(len(f"{V.KEY_ROOT}year=0000/")))
+    counted = listing.groupBy(*before, folder.alias("_folder")).agg(F.count("*").alias("n"))
+    groups = sorted(counted.collect(), key=lambda r: tuple(r[:-1]))
+    mark = F.struct(*before, folder.alias("_folder"))
+    whole, left = F.lit(False), max_keys
+    for row in groups:
+        here = F.struct(*[F.lit(v).alias(n) for v, n in zip(row[:-1], [*before, "_folder"])])
+        if row["n"] > left:
+            cut = listing.filter(mark == here).orderBy("key").limit(left)
+            return listing.filter(whole).union(cut)
+        whole, left = mark <= here, left - row["n"]
+    return listing
 
 
 def list_pdf_keys(

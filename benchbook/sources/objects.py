@@ -22,18 +22,21 @@ def read_objects(spark: SparkSession, path: str, glob: str = "*.[pP][dD][fF]") -
 def mirror_raw(objects: DataFrame, root: str, batch_id: str) -> str:
     """Copy ``key, year, content`` under ``root``; returns the path of this load's copy.
 
-    Rows are written by the tasks that read them, without a shuffle. A load owns its folder,
-    so running it again replaces its own copy and nothing else.
+    Rows are written by the tasks that read them, without a shuffle, and carry the time of the
+    copy. A load owns its folder, so running it again replaces its own copy and nothing else.
     """
     path = f"{root}/mirror/batch_id={batch_id}"
-    objects.select("key", "content", "year").write.mode("overwrite").partitionBy("year").parquet(
-        path
-    )
+    copies = objects.select("key", "content", F.current_timestamp().alias("loaded_at"), "year")
+    copies.write.mode("overwrite").partitionBy("year").parquet(path)
     return path
 
 
 def read_mirror(spark: SparkSession, root: str) -> DataFrame:
-    """Latest copy of each key. Only keys and load names are compared, never contents."""
+    """Latest copy of each key, by the time it was made, then by the name of the load.
+
+    Only keys, times and names are compared, never contents.
+    """
     copies = spark.read.schema(schema.MIRROR).parquet(f"{root}/mirror")
-    latest = copies.groupBy("key").agg(F.max("batch_id").alias("batch_id"))
-    return copies.join(latest, ["key", "batch_id"], "left_semi")
+    newest = F.max(F.struct("loaded_at", "batch_id")).alias("newest")
+    latest = copies.groupBy("key").agg(newest).select("key", "newest.*")
+    return copies.join(latest, ["key", "loaded_at", "batch_id"], "left_semi")

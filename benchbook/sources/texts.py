@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Session setting for tables whose files have fewer splits than there are cores: the number of
+#: parts that texts are dealt to as they are read. Unset, a table is read as it lies.
+PARTS_SETTING = "spark.benchbook.textParts"
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread rows with heavy texts over all cores, if there are too few splits for that.
-
-    Work per row is large here, so a table of few files or row groups is moved by its key. A
-    table that already has a split per core, as any large one does, is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
+def read_texts(
+    spark: SparkSession, path: str, key: str, partitions: int | None = None
+) -> DataFrame:
+    """A parquet table with one heavy text per row, in its own splits.
 
-def read_texts(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """A parquet table with one heavy text per row."""
-    return spread(spark.read.parquet(path), key)
+    A table of one file and row group is one task. Whoever knows that says so, by ``partitions``
+    or ``PARTS_SETTING``; it costs a shuffle of the texts, and nothing here asks for it by itself.
+    """
+    stated = partitions or int(spark.conf.get(PARTS_SETTING, "0"))
+    df = spark.read.parquet(path)
+    return df.repartition(stated, key) if stated else df

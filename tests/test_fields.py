@@ -35,9 +35,9 @@ def test_party_name(values):
         (None, ""),
         ("a c e g Ram Lal", "Ram Lal"),
         ("A. B. Name", ". B. Name"),
-        ("[2017] 12 S.C.R. 674 Hari", "Hari"),
+        ("[2011] 7 S.C.R. 318 Hari", "Hari"),
         ("Mr. Scrope of X", "ope of X"),
-        ("2024 INSC 789 Meera", "Meera"),
+        ("2022 INSC 56 Meera", "Meera"),
         ("CASE DETAILS Digital Supreme  Court Reports X Y", "X Y"),
         ("-- 'Ram'  (Dead) ;", "'Ram' (Dead)"),
     ])

@@ -1,12 +1,16 @@
 """Whole loads: batch, repeated, interrupted, streamed; files as sources and sinks."""
 
+import hashlib
 import uuid
+from pathlib import Path
 
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
-from benchbook.operators import log, store
+from benchbook.operators import crosscheck, log, record, store
 from benchbook.operators.record import extract_record
-from benchbook.plans.ingest import ingest
+from benchbook.plans.ingest import ingest, ingest_pages
+from benchbook.session import folders_in, remove
 from benchbook.sources import keys, objects
 from benchbook.streaming.ingest import read_documents, stream_ingest
 
@@ -44,25 +48,171 @@ def test_load_twice(spark, tmp_path):
     assert (rows[1].title, rows[1].year, rows[1].holding) == ("Ram 1 v. Shyam 1", 1951, "")
     # done keys are skipped, all others are tried again and nothing new is stored
     again = ingest(documents(spark, range(30)), root, "two")
-    assert counts(again) == {"duplicate": 18, "low_quality": 3}
+    assert counts(again) == {"duplicate": 18, "low_quality": 3, "skipped": 9}
+    assert log.run_summary(again).first().asDict() == {
+        "stored": 21, "skipped": 9, "logged_errors": 0, "processed": 30,
+    }
     settled = ingest(
         documents(spark, range(40)), root, "three", skip=("done", "duplicate", "low_quality")
     )
-    assert counts(settled) == {"duplicate": 9, "low_quality": 1}
+    assert counts(settled) == {"duplicate": 9, "low_quality": 1, "skipped": 30}
     assert stored(spark, root).count() == 9
     state = log.latest_state(store.read_table(spark, root, "ingest_log"))
     assert counts(state) == {"done": 9, "duplicate": 27, "low_quality": 4}
 
 
-def test_a_load_can_be_repeated(spark, tmp_path):
+def test_an_unfinished_load_is_replaced(spark, tmp_path):
     """A load that broke before it wrote its log gives the same result when run again."""
     root = str(tmp_path)
     first = counts(ingest(documents(spark, range(20)), root, "one"))
+    remove(spark, f"{root}/ingest_log/batch_id=one")
     assert counts(ingest(documents(spark, range(20), 5), root, "one")) == first
     assert stored(spark, root).count() == 9
     assert store.read_table(spark, root, "ingest_log").count() == 20
 
 
+def test_a_finished_load_is_kept(spark, tmp_path):
+    """Other documents under its name are answered with what it returned, and change nothing."""
+    root = str(tmp_path)
+    first = ingest(documents(spark, range(5)), root, "one").collect()
+    again = ingest(documents(spark, range(5, 9)), root, "one").collect()
+    assert sorted(again) == sorted(first)
+    kept = sorted(r.pdf_s3_key[-9:] for r in stored(spark, root).collect())
+    assert kept == [f"{n:05d}.pdf" for n in range(5)]
+    assert counts(ingest(documents(spark, range(5, 9)), root, "two")) == {"done": 4}
+    assert stored(spark, root).count() == 9
+
+
+def test_the_text_that_was_judged_is_stored(spark, tmp_path):
+    """Of a key with several texts the smallest hash stands, whatever order they come in."""
+    texts = [f"Ram {i}\nv.\nShyam {i}\n" + LEGAL * 5 for i in range(6)]
+    rows = [(f"data/pdf/year=1950/english/{k}.pdf", t) for k in range(8) for t in texts[k % 2 :: 2]]
+    hashes = [hashlib.sha256(t.encode()).hexdigest() for t in texts]
+    for parts in (1, 4):
+        root = str(tmp_path / str(parts))
+        df = spark.createDataFrame(rows, "key string, full_text string").repartition(parts)
+        outcome = counts(ingest(df.union(df), root, "one"))
+        assert outcome == {"done": 2, "duplicate": 6}
+        found = stored(spark, root).collect()
+        assert {r.content_hash for r in found} == {min(hashes[0::2]), min(hashes[1::2])}
+        assert all(hashlib.sha256(r.full_text.encode()).hexdigest() == r.content_hash for r in found)
+
+
+def _pages(spark, numbers):
+    rows = []
+    for r in documents(spark, numbers).collect():
+        lines = r.full_text.split("\n")
+        rows += [(r.key, 1, lines[0]), (r.key, 2, "\n".join(lines[1:]))]
+    return spark.createDataFrame(rows, "key string, page_no int, page_text string").repartition(4)
+
+
+def test_load_from_pages(spark, tmp_path):
+    root = str(tmp_path)
+    pages = _pages(spark, range(12)).withColumn(
+        "page_text",
+        F.when((F.col("key").endswith("00003.pdf")) & (F.col("page_no") == 2), None)
+        .otherwise(F.col("page_text")),
+    )
+    objects_of = pages.select("key", F.lit(b"raw").alias("content"), F.lit(1950).alias("year"))
+    objects_of = objects_of.dropDuplicates(["key"])
+    first = ingest_pages(pages, root, "one", objects=objects_of)
+    assert counts(first) == {"done": 8, "duplicate": 2, "low_quality": 1, "error": 1}
+    assert objects.read_mirror(spark, root).count() == 12
+    again = ingest_pages(_pages(spark, range(12)), root, "two", objects=objects_of)
+    assert counts(again) == {"done": 1, "skipped": 8, "duplicate": 2, "low_quality": 1}
+    mirror = store.read_table(spark, root, "mirror").groupBy("batch_id").count()
+    assert {r[0]: r[1] for r in mirror.collect()} == {"one": 12, "two": 4}
+
+
+def _texts_moved(plan):
+    """Lines of the plan that exchange, sort or aggregate a text."""
+    steps = ("Exchange", "Sort", "Aggregate")
+    return [x for x in plan.splitlines() if any(s in x for s in steps) and "full_text" in x]
+
+
+def _plans(spark, run):
+    """The plans of everything that ``run`` writes."""
+    writes = []
+    writer = DataFrameWriter.parquet
+
+    def seen(self, path, *a, **b):
+        writes.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return writer(self, path, *a, **b)
+
+    DataFrameWriter.parquet = seen
+    try:
+        run()
+    finally:
+        DataFrameWriter.parquet = writer
+    return writes
+
+
+def test_texts_are_read_once_and_not_moved(spark, tmp_path):
+    documents(spark, range(30)).write.parquet(str(tmp_path / "in"))
+    source = spark.read.parquet(str(tmp_path / "in"))
+    plans = _plans(spark, lambda: ingest(source, str(tmp_path / "store"), "one"))
+    assert len([p for p in plans if "sha2" in p]) == 1
+    assert len([p for p in plans if f"{tmp_path}/in" in p and "full_text" in p]) == 1
+    assert not [x for p in plans for x in _texts_moved(p)]
+
+
+def test_pages_of_done_documents_are_dropped_before_they_are_put_together(spark, tmp_path):
+    root = str(tmp_path / "store")
+    _pages(spark, range(30)).write.parquet(str(tmp_path / "in"))
+    source = spark.read.parquet(str(tmp_path / "in"))
+    ingest_pages(source.filter("key < 'data/pdf/year=1960'"), root, "one")
+    plan = next(p for p in _plans(spark, lambda: ingest_pages(source, root, "two")) if "sha2" in p)
+    lines = plan.splitlines()
+    anti = next(i for i, x in enumerate(lines) if "LeftAnti" in x)
+    grouped = max(i for i, x in enumerate(lines) if "Aggregate" in x and "page_text" in x)
+    assert anti > grouped  # lower in the tree
+
+
+def test_nothing_is_left_in_the_shared_folder(spark, tmp_path):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.glob("load-*"))
+    ingest(documents(spark, range(5)), str(tmp_path / "a"), "one")
+    assert set(shared.glob("load-*")) == before
+    ingest(documents(spark, range(5)), str(tmp_path / "b"), "one", work=str(tmp_path / "work"))
+    assert not (tmp_path / "work").exists()
+
+
+def test_a_load_reads_a_bounded_number_of_runs(spark, tmp_path):
+    """The 30th load reads as many hash and state files as eight runs a level come to."""
+    root = str(tmp_path)
+    for n in range(30):
+        assert counts(ingest(documents(spark, [n], 1), root, f"{n:02d}")) != {}
+    for name in ("hashes", "states"):
+        levels = [len(folders_in(spark, f"{root}/{name}/level={k}")) for k in range(3)]
+        assert levels == [30 % store.FAN, 30 // store.FAN, 0]
+        files = list(Path(f"{root}/{name}").rglob("part-*.parquet"))
+        assert len(files) <= 2 * (store.FAN - 1) * 4
+    plans = _plans(spark, lambda: ingest(documents(spark, [3, 40], 1), root, "30"))
+    assert not [p for p in plans if "ingest_log" in p or "judgments" in p]
+    assert counts(store.load_outcome(spark, root, "30")) == {"skipped": 1, "duplicate": 1}
+    states = log.merged_state(store.read_runs(spark, root, "states", ""))
+    state = log.latest_state(store.read_table(spark, root, "ingest_log"))
+    assert counts(states) == counts(state) == {"done": 9, "duplicate": 19, "low_quality": 3}
+
+
+def test_compaction_keeps_rows(spark, tmp_path):
+    root = str(tmp_path)
+    ingest(documents(spark, range(30)), root, "one")
+    before = sorted(map(str, stored(spark, root).collect()))
+    store.compact_years(spark, root, "one")
+    assert sorted(map(str, stored(spark, root).collect())) == before
+    one = crosscheck.lookup_by_key(stored(spark, root), "data/pdf/year=1951/english/00001.pdf")
+    assert one.count() == 1
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(pdf_s3_key" in plan and "sha2" not in plan
+    again = record.reparse(stored(spark, root))
+    assert "sha2" not in again._jdf.queryExecution().executedPlan().toString()
+    fresh = extract_record(documents(spark, range(9)))
+    assert sorted(again.select("content_hash", "title").collect()) == sorted(
+        fresh.select("content_hash", "title").collect()
+    )
+
+
 def test_key_listed_twice_and_unreadable(spark, tmp_path):
     root = str(tmp_path)
     twice = documents(spark, [1, 2, 2, 9]).union(
@@ -141,9 +291,10 @@ def test_files(spark, tmp_path):
 
 
 def test_mirror(spark, tmp_path):
+    """The newest copy by time: names sort otherwise ("9" was made before "10")."""
     root = str(tmp_path / uuid.uuid4().hex)
-    for batch, mark in (("b1", b"old"), ("b2", b"new"), ("b2", b"new")):
-        source = spark.range(3 if batch == "b1" else 1).select(
+    for batch, mark in (("9", b"old"), ("10", b"new"), ("10", b"new")):
+        source = spark.range(3 if batch == "9" else 1).select(
             F.format_string("k%d", "id").alias("key"), F.lit(mark).alias("content"),
             F.lit(1996).alias("year"),
         )
