@@ -46,5 +46,9 @@ def _provision(hit: Column) -> Column:
     )
 
 
-def acts_cited(text: Column) -> Column:
-    return _sorted_set(F.transform(all_groups(text, V.PROVISION, flags="i"), _provision))
+def acts_cited(text: Column, low: Column) -> Column:
+    hits = F.when(
+        holds_any(low, V.PROVISION_WORDS),
+        all_groups(text, V.PROVISION_START + V.PROVISION, flags="i"),
+    ).otherwise(F.array().cast("array<string>"))
+    return _sorted_set(F.transform(hits, _provision))

@@ -103,6 +103,8 @@ PROVISION = (
     r"\b(Section|Sec\.?|Article|Art\.?|Order|Rule)\s+(\d+[\w\(\)\-\/,]*)\s+"
     r"(?:of\s+)?(?:the\s+)?(" + ACT_NAMES + r")\b"
 )
+PROVISION_WORDS = ("sec", "art", "order", "rule")
+PROVISION_START = "(?=[saor\u017f])"
 # applied in this order
 ACT_SHORT_NAMES = (
     (r"\bI\.?P\.?C\.?\b", "IPC"),
@@ -140,6 +142,7 @@ VERSUS_INLINE = r"\s+\b(?:v|vs|versus|v\.p|v\.s|I'\.)\b\.?\s+"
 SUMMARY_MARKER = (
     r"(?:Issue for consideration|HEADNOTE[S]?|Summary)\s*[:\-]?\s*(.+?)(?=\n\n|\n[A-Z][a-z]+|\Z)"
 )
+SUMMARY_WORDS = ("issue for consideration", "headnote", "summary")
 SUMMARY_MARKER_MIN = 20
 SUMMARY_STOP = (
     r"\b(?:Case Law Reference|CIVIL ORIGINAL JURISDICTION|CRIMINAL APPELLATE JURISDICTION|JUDGMENT|"
@@ -158,6 +161,7 @@ CATCHLINE_LENGTH = (15, 250)  # both ends excluded
 CATCHLINE_TAGS = (2, 8)  # both ends included
 HELD = r"(?:^|[\n\-])\s*Held\s*[:,]\s*(.*?)(?=\n[A-Z][a-z]+:|\Z)"
 HELD_START = r"(?:(?=-)|(?:^|(?=\n))(?:\G|(?<!\n\s{0,99})))"  # as for page numbers; a passage may end inside a run
+HELD_SIGN = r"held\s*[:,]"  # in the folded text; begins with a fixed word, so it is found fast
 HELD_MIN = 20
 PARA_NOTE = r"\[Para.*?\]"
 
@@ -169,27 +173,27 @@ RESULT_WORDS = (
     ("dismissed", "Dismissed"),
     ("disposed", "Disposed"),
 )
-# in this order: a word the pattern cannot do without, pattern, result
+# in this order: words the pattern cannot do without, pattern, result
 RESULT_TAIL = (
-    ("partly", r"\bpartly\s+allowed\b", "Partly Allowed"),
+    (("partly", "allowed"), r"\bpartly\s+allowed\b", "Partly Allowed"),
     (
-        "appeal",
+        ("appeal", "allowed"),
         r"\bappeal\s+is\s+allowed\b|\bappeals\s+are\s+allowed\b|\bappeal\s+stands\s+allowed\b",
         "Allowed",
     ),
     (
-        "appeal",
+        ("appeal", "dismissed"),
         r"\bappeal\s+is\s+dismissed\b|\bappeals\s+are\s+dismissed\b|\bappeal\s+stands\s+dismissed\b",
         "Dismissed",
     ),
-    ("disposed", r"\bdisposed\s+of\b", "Disposed"),
+    (("disposed",), r"\bdisposed\s+of\b", "Disposed"),
     (
-        "writ",
+        ("writ", "petition", "allowed"),
         r"\bwrit\s+petition\s+is\s+allowed\b|\bwrit\s+petition\s+stands\s+allowed\b",
         "Allowed",
     ),
     (
-        "writ",
+        ("writ", "petition", "dismissed"),
         r"\bwrit\s+petition\s+is\s+dismissed\b|\bwrit\s+petition\s+stands\s+dismissed\b",
         "Dismissed",
     ),

@@ -18,6 +18,7 @@ from benchbook.functions.regex import (
     folded,
     found,
     halves,
+    holds_all,
     holds_any,
     jvm,
     let,
@@ -37,9 +38,12 @@ def _after(text: Column, offset: Column, length: int) -> Column:
 # ---- summary -------------------------------------------------------------------------
 
 
-def summary_from_marker(text: Column) -> Column:
+def summary_from_marker(text: Column, low: Column) -> Column:
     """Text after an issue/headnote/summary marker in the header, if long enough."""
-    marked = F.regexp_extract(head(text, V.HEADER_CHARS), jvm(V.SUMMARY_MARKER, "is"), 1)
+    marked = F.when(
+        holds_any(low, V.SUMMARY_WORDS),
+        F.regexp_extract(head(text, V.HEADER_CHARS), jvm(V.SUMMARY_MARKER, "is"), 1),
+    )
     return let(
         drop_margin_letters(strip(marked)),
         lambda s: F.when(F.length(s) > V.SUMMARY_MARKER_MIN, head(s, V.SUMMARY_MAX)),
@@ -66,8 +70,8 @@ def summary_after_bench(text: Column, bench_end: Column) -> Column:
     return let(halves(rest, V.SUMMARY_STOP_START + V.SUMMARY_STOP, "i"), tidy)
 
 
-def summary(text: Column, bench_end: Column) -> Column:
-    return F.coalesce(summary_from_marker(text), summary_after_bench(text, bench_end))
+def summary(text: Column, low: Column, bench_end: Column) -> Column:
+    return F.coalesce(summary_from_marker(text, low), summary_after_bench(text, bench_end))
 
 
 # ---- tags ----------------------------------------------------------------------------
@@ -133,7 +137,8 @@ def holding(text: Column, low: Column) -> Column:
     passages = F.filter(
         F.transform(
             F.when(
-                holds_any(low, V.HELD_WORDS), all_groups(text, V.HELD_START + V.HELD, 1, "ims")
+                holds_any(low, V.HELD_WORDS) & found(low, V.HELD_SIGN),
+                all_groups(text, V.HELD_START + V.HELD, 1, "ims"),
             ),
             strip,
         ),
@@ -170,10 +175,10 @@ def result_from_tail(text: Column) -> Column:
         return _first_label(
             [
                 (
-                    F.contains(low, F.lit(word)) & found(tail, f"(?={word})(?:{pattern})", "i"),
+                    holds_all(low, words) & found(tail, f"(?={words[0]})(?:{pattern})", "i"),
                     label,
                 )
-                for word, pattern, label in V.RESULT_TAIL
+                for words, pattern, label in V.RESULT_TAIL
             ]
         ).otherwise(V.RESULT_UNKNOWN)
 

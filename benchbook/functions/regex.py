@@ -78,6 +78,11 @@ def holds_any(low: Column, words: tuple[str, ...]) -> Column:
     return reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in words])
 
 
+def holds_all(low: Column, words: tuple[str, ...]) -> Column:
+    """Whether a folded text holds all of the words."""
+    return reduce(lambda a, b: a & b, [F.contains(low, F.lit(w)) for w in words])
+
+
 def found(c: Column, pattern: str, flags: str = "") -> Column:
     return c.rlike(jvm(pattern, flags))
 

@@ -63,9 +63,9 @@ def _metadata_steps(text: str, key: str) -> tuple[dict[str, Column], ...]:
         "respondent": parties.respondent(F.col("_sides")),
         "title": parties.title(F.col("_sides")),
         "cases_cited": citations.cases_cited(body, low),
-        "acts_cited": citations.acts_cited(body),
+        "acts_cited": citations.acts_cited(body, low),
         "result": narrative.result(body, low),
-        "summary": narrative.summary(body, end),
+        "summary": narrative.summary(body, low, end),
         "tags": narrative.tags(body, low, end),
         "holding": narrative.holding(body, low),
         "applicability": bench.applicability(F.col("bench")),

@@ -488,7 +488,7 @@ field_query(
 field_query(
     "extract_acts",
     S.over_text(f"key, {S._joined(S.ACTS)} AS acts_cited"),
-    acts_cited=lambda: _join(citations.acts_cited(_text())),
+    acts_cited=lambda: _join(citations.acts_cited(_text(), _low())),
 )
 
 # ---- parties ---------------------------------------------------------------------------
@@ -544,7 +544,7 @@ def extract_parties(spark, sf_dir):
 field_query(
     "extract_summary_marker",
     S.over_narrative("key, sum_marker AS summary"),
-    summary=lambda: narrative.summary_from_marker(_text()),
+    summary=lambda: narrative.summary_from_marker(_text(), _low()),
 )
 field_query(
     "extract_summary_post_bench",
@@ -554,7 +554,7 @@ field_query(
 field_query(
     "extract_summary",
     S.over_narrative("key, coalesce(sum_marker, sum_post) AS summary"),
-    summary=lambda: narrative.summary(_text(), _end()),
+    summary=lambda: narrative.summary(_text(), _low(), _end()),
 )
 field_query(
     "extract_tags_keywords",

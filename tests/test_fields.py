@@ -146,7 +146,7 @@ def test_citations(values):
 
 
 def test_acts(values):
-    check(values, citations.acts_cited, {
+    check(values, _low(citations.acts_cited), {
         "Section 302, of the I.P.C. and section 302 IPC": ["Section 302 of IPC"],
         "Sec. 5 of the Cr.P.C.; article 21 of the constitution of india":
             ["Article 21 of Constitution", "Sec. 5 of CrPC"],
@@ -183,7 +183,7 @@ def test_parties(values):
 
 
 def test_summary(values):
-    check(values, lambda c: narrative.summary(c, bench.bench_span(c)["end"]), {
+    check(values, lambda c: narrative.summary(c, folded(F.lower(c)), bench.bench_span(c)["end"]), {
         "Issue for Consideration\nWhether the levy is valid?\n\nmore": "Whether the levy is valid?",
         "Summary: This is long enough text\nab rest": "This is long enough text",
         "Summary: short\n\n": None,

@@ -102,7 +102,8 @@ def test_starts_lose_no_match(spark):
     pairs = [(V.CASE_NUMBER_START, V.CASE_NUMBER), (V.SUMMARY_STOP_START, V.SUMMARY_STOP)]
     pairs += list(zip(V.DATE_STARTS, V.DATES))
     pairs += [(V.CITATION_STARTS[kind], p) for kind, (p, _) in V.CITATIONS.items()]
-    pairs += [(f"(?={word})", f"(?:{p})") for word, p, _ in V.RESULT_TAIL]
+    pairs += [(f"(?={words[0]})", f"(?:{p})") for words, p, _ in V.RESULT_TAIL]
+    pairs += [(V.PROVISION_START, V.PROVISION)]
     same = [
         all_groups(F.col("x"), start + p, 0, "i") == all_groups(F.col("x"), p, 0, "i")
         for start, p in pairs
@@ -141,7 +142,7 @@ def test_long_runs_take_linear_time(spark):
     start = time.time()
     df.select(
         normalize.clean_text(F.col("t")), narrative.holding(F.col("t"), low),
-        citations.cases_cited(F.col("t"), low), citations.acts_cited(F.col("t")),
+        citations.cases_cited(F.col("t"), low), citations.acts_cited(F.col("t"), low),
         quality.quality_score(F.col("t"), F.lower("t")), narrative.tags_from_keywords(F.col("t"), low),
     ).write.format("noop").mode("overwrite").save()
     assert time.time() - start < 60
