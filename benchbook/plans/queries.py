@@ -960,6 +960,9 @@ def cross_check_diff(spark, sf_dir):
 # ---- streaming -------------------------------------------------------------------------
 
 
+STREAMED_FILES = 4
+
+
 def _prepare(batch: DataFrame) -> DataFrame:
     return batch.select(
         F.expr(corpus.JUDGMENT_KEY).alias("key"),
@@ -1013,3 +1016,17 @@ def stream_dedup(spark, sf_dir):
     return store.read_table(spark, root, "judgments").agg(
         F.count("*").alias("n_rows"), F.countDistinct("content_hash").alias("n_hashes")
     )
+
+
+@query(
+    "stream_many_files",
+    f"{_RUN_ONE} SELECT DISTINCT content_hash FROM o WHERE status IN ('{V.DONE}', '{V.DUPLICATE}')",
+)
+def stream_many_files(spark, sf_dir):
+    """The documents as several files, each a micro-batch and a load of its own."""
+    root = fresh_folder(spark, "stream")
+    documents = corpus.table(spark, sf_dir, "documents")
+    documents.repartition(STREAMED_FILES, "doc_id").write.parquet(f"{root}/in")
+    source = read_documents(spark, f"{root}/in", documents.schema, max_files=1)
+    stream_ingest(source, _prepare, root, f"{root}/checkpoint").awaitTermination()
+    return store.read_table(spark, root, "judgments").select("content_hash")

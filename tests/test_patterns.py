@@ -154,3 +154,20 @@ def test_white_space(values):
     texts = [f"{c} a{c}{c}b {c}" for c in every] + _texts(300)
     assert values(strip, texts) == [t.strip() for t in texts]
     assert values(collapse, texts) == [" ".join(t.split()) for t in texts]
+
+
+def test_blank_runs_longer_than_the_look_behind(spark):
+    """The look-behind of 99 characters bounds the cost only: longer runs give the same results."""
+    pick = random.Random(4)
+    texts = []
+    for _ in range(300):
+        run = lambda: "".join(pick.choices("\n\n \t", k=pick.choice([98, 99, 100, 101, 250, 1000])))
+        parts = pick.choices(["12", "7", "Held: so it was decided.", "- Held, more of it", "Ab: x", "a"], k=4)
+        texts.append(run().join(parts))
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, x string")
+    page = replace_all(F.col("x"), V.PAGE_NUMBER_START + V.PAGE_NUMBER_LINE, "\n")
+    held = all_groups(F.col("x"), V.HELD_START + V.HELD, 1, "ims")
+    plain = re.compile(V.HELD, _flags("ims"))
+    for i, a, b in df.select("i", page, held).collect():
+        assert a == re.sub(V.PAGE_NUMBER_LINE, "\n", texts[i])
+        assert b == [m.group(1) for m in plain.finditer(texts[i])]
