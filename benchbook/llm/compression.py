@@ -116,7 +116,8 @@ def fit_quality(
 
     # each half is judged by the dictionaries of the other half
     sizes, truth = [], []
-    for own, other in ((slice(0, None, 2), slice(1, None, 2)), (slice(1, None, 2), slice(0, None, 2))):
+    halves = slice(0, None, 2), slice(1, None, 2)
+    for own, other in (halves, halves[::-1]):
         if by[0][own] and by[1][own]:
             model = trained(own)
             for y in (0, 1):

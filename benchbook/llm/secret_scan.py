@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 import binascii
-import hashlib
 import json
 import re
 from collections.abc import Iterator
@@ -282,8 +281,3 @@ def secret_report(df: DataFrame, text: str = "text") -> DataFrame:
         listed(F.col("spans")).alias("spans"),
         F.size(F.filter("spans", lambda s: s["confirmed"])).cast("long").alias("n_confirmed"),
     )
-
-
-def digest(spans: list[tuple]) -> str:
-    base = [s for s in spans if s[0] in KINDS[:3]]
-    return hashlib.sha256(joined(base).encode()).hexdigest()
