@@ -99,3 +99,44 @@ def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard.near_documents(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", "n_links", "kept")
+
+
+# SQL that compares all pairs: for the small tables, as a check of the results.
+_REACHED = """reach AS (SELECT i, j FROM links UNION SELECT r.i, l.j FROM reach r JOIN links l ON r.j = l.i)"""
+
+CHECKS["op7_embedding_near_dedup"] = f"""
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+ok AS (
+  SELECT vec_id, e, len(e) AS n FROM v
+  WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS i, b.vec_id AS j FROM ok a JOIN ok b ON a.n = b.n AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+{_REACHED},
+linked AS (SELECT i, count(*) AS n FROM links GROUP BY i),
+lowest AS (SELECT i, min(j) AS low FROM reach GROUP BY i)
+SELECT vec_id, coalesce(linked.n, 0)::BIGINT AS n_links,
+  least(vec_id, coalesce(low, vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce(low, vec_id)) AS kept
+FROM v LEFT JOIN linked ON linked.i = vec_id LEFT JOIN lowest ON lowest.i = vec_id"""
+
+CHECKS["op5_ngram_jaccard_join"] = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '\\s+'), lambda x: x <> '')
+    AS words FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN ['']
+    WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 3),
+      lambda i: array_to_string(words[i : i + 4], ' '))) END AS grams FROM w),
+g AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM s),
+links AS (
+  SELECT a.doc_id AS i, b.doc_id AS j FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 10 * count(*) >= 8 * (a.n + b.n - count(*))),
+{_REACHED},
+linked AS (SELECT i, count(*) AS n FROM links GROUP BY i),
+lowest AS (SELECT i, min(j) AS low FROM reach GROUP BY i)
+SELECT doc_id, least(doc_id, coalesce(low, doc_id)) AS class_id,
+  coalesce(linked.n, 0)::BIGINT AS n_links, doc_id = least(doc_id, coalesce(low, doc_id)) AS kept
+FROM documents LEFT JOIN linked ON linked.i = doc_id LEFT JOIN lowest ON lowest.i = doc_id"""
