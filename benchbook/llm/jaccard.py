@@ -189,9 +189,11 @@ def near_documents(
         nodes.select("node", "rep").join(classes, "node")
         .groupBy("class").agg(F.min("rep").alias("class_rep"))
     )
+    # nodes alone in their class are in no table of classes: they never share a join key
+    named = classes.join(lowest, "class").select("node", "class_rep")
     known = (
         nodes.select("node", "copies", "rep")
-        .join(classes, "node", "left").join(lowest, "class", "left").join(near, "node", "left")
+        .join(named, "node", "left").join(near, "node", "left")
         .select(
             "node", F.coalesce("class_rep", "rep").alias("chosen"),
             (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).cast("long").alias("n_links"),
