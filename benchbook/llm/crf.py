@@ -185,17 +185,27 @@ def seed_words(sample: list[tuple[str, int]], least: int = 3, ratio: float = 8.0
     Those that are in at least ``least`` of them, ``ratio`` times as often as in the others, and
     by ``z`` standard errors.
     """
-    seen = {0: Counter(), 1: Counter()}
     n = Counter(y for _, y in sample)
-    for text, y in sample:
+
+    def units(text: str) -> set[bytes]:
         cores = {w.strip(_EDGE) for w in text.encode().lower().split()} - {b""}
-        seen[y].update({u for core in cores for u in _units(core)})
+        return {u for core in cores for u in _units(core)}
+
+    toxic: Counter[bytes] = Counter()
+    for text, y in sample:
+        if y == 1:
+            toxic.update(units(text))
+    toxic = Counter({u: k for u, k in toxic.items() if k >= least})
+    clean: Counter[bytes] = Counter()  # of those units only
+    for text, y in sample:
+        if y == 0:
+            clean.update(units(text) & toxic.keys())
     found = set()
-    for unit, k in seen[1].items():
-        p, q = k / n[1], (seen[0][unit] + 0.5) / (n[0] + 1)
-        pooled = (k + seen[0][unit] + 0.5) / (n[0] + n[1] + 1)
+    for unit, k in toxic.items():
+        p, q = k / n[1], (clean[unit] + 0.5) / (n[0] + 1)
+        pooled = (k + clean[unit] + 0.5) / (n[0] + n[1] + 1)
         error = (pooled * (1 - pooled) * (1 / n[1] + 1 / max(n[0], 1))) ** 0.5
-        if k >= least and p >= ratio * q and p - q >= z * error:
+        if p >= ratio * q and p - q >= z * error:
             found.add(unit)
     return found
 
@@ -219,16 +229,17 @@ def train_crf(
             index[word] = len(table)
             table.append((*_own(word), *_beside(word)))
     words = np.fromiter((index[w] for t in tokens for w in t), np.int64, n)
-    rows = np.array(table, dtype=np.int64)[words]
+    rows = np.array(table, dtype=np.int32)[words]
     inner = np.ones(n, dtype=bool)
     inner[starts] = False
     own = rows[:, :-2]
     spare = BUCKETS  # a feature that counts for nothing
-    after = np.full(n, spare)
+    after = np.full(n, spare, dtype=np.int32)
     after[1:] = np.where(inner[1:], rows[:-1, -2], spare)
-    before = np.full(n, spare)
+    before = np.full(n, spare, dtype=np.int32)
     before[:-1] = np.where(inner[1:], rows[1:, -1], spare)
-    features = np.column_stack([own, after, before])
+    # feature by feature, so that no table of all features of all tokens is made in a step
+    features = [*np.ascontiguousarray(own.T), after, before]
     pairs = np.flatnonzero(np.append(inner[1:], False))
     seen = np.array(
         [(truth[pairs] * truth[pairs + 1]).sum(), (truth[pairs] * (1 - truth[pairs + 1])).sum()]
@@ -236,13 +247,14 @@ def train_crf(
     weights, moves = np.zeros(BUCKETS + 1), np.zeros(2)
     state = [np.zeros(BUCKETS + 3), np.zeros(BUCKETS + 3)]
     bias = int(own[0, 0])
+    del words, rows, own
     weights[bias] = np.log((truth.sum() + 1) / (n - truth.sum() + 1))
     for step in range(1, rounds + 1):
-        odds = np.exp(np.clip(weights[features].sum(axis=1), -30, 30))
+        odds = np.exp(np.clip(sum(weights[f] for f in features), -30, 30))
         stay, leave = np.exp(moves)
         toxic, both, left = forward_backward(odds, starts, lengths, stay, leave)
         miss = toxic - truth
-        slope = np.bincount(features.ravel(), np.repeat(miss, features.shape[1]), BUCKETS + 1)
+        slope = sum(np.bincount(f, miss, BUCKETS + 1) for f in features)
         slope[BUCKETS] = 0
         grad = np.append(slope, np.array([both.sum(), left.sum()]) - seen)
         grad += ridge * np.append(weights, moves) * max(truth.sum(), 1)
