@@ -23,7 +23,7 @@ from benchbook.operators import log
 from benchbook.session import exists, folders_in, remove
 
 _TABLES = {
-    "judgments": (schema.JUDGMENTS, ["batch_id", "year"]),
+    "judgments": (schema.JUDGMENTS, ["batch_id"]),
     "ingest_log": (schema.INGEST_LOG, ["batch_id"]),
     "outcome": (schema.OUTCOME, ["batch_id"]),
     "mirror": (schema.MIRROR, ["batch_id", "year"]),
@@ -75,29 +75,26 @@ def storable(records: DataFrame) -> DataFrame:
 
 
 def append_judgments(records: DataFrame, root: str, batch_id: str) -> None:
-    """Write one load by year, from the tasks that made the records: texts are not moved.
+    """Write one load from the tasks that made the records: texts are not moved.
 
-    Many tasks then write small files into every year; ``compact_years`` mends that, off the
-    path of the loads.
+    ``compact`` puts them in order of their keys, off the path of the loads.
     """
-    path = f"{root}/judgments/batch_id={batch_id}"
-    storable(records).write.mode("overwrite").partitionBy("year").parquet(path)
+    storable(records).write.mode("overwrite").parquet(f"{root}/judgments/batch_id={batch_id}")
 
 
-def compact_years(spark: SparkSession, root: str, batch_id: str) -> None:
-    """Lay the judgments of a finished load out anew: few files a year, ordered by key.
+def compact(spark: SparkSession, root: str, batch_id: str) -> None:
+    """Lay the judgments of a finished load out anew, in order of their keys (and so by year).
 
-    The one step that moves stored texts. A large year is split over many tasks, small years
-    share one.
+    The one step that moves stored texts, by ranges of keys, so no year is one task. A filter on
+    a key or a range of keys then reads the row groups that may hold it.
     """
     path, fresh = (f"{root}/{name}/batch_id={batch_id}" for name in ("judgments", "compacting"))
-    columns = [f for f in schema.JUDGMENTS if f.name != "batch_id"]
+    rows = T.StructType([f for f in schema.JUDGMENTS if f.name != "batch_id"])
     if not exists(spark, f"{fresh}/_SUCCESS"):  # else an earlier attempt got this far
-        rows = spark.read.schema(T.StructType(columns)).parquet(path)
-        laid_out = rows.hint("rebalance", "year").sortWithinPartitions("year", "pdf_s3_key")
-        laid_out.write.mode("overwrite").partitionBy("year").parquet(fresh)
-    moved = spark.read.schema(T.StructType(columns)).parquet(fresh)
-    moved.write.mode("overwrite").partitionBy("year").parquet(path)
+        found = spark.read.schema(rows).parquet(path)
+        placed = found.repartitionByRange("pdf_s3_key").sortWithinPartitions("pdf_s3_key")
+        placed.write.mode("overwrite").parquet(fresh)
+    spark.read.schema(rows).parquet(fresh).write.mode("overwrite").parquet(path)
     remove(spark, fresh)
 
 

@@ -15,8 +15,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # a task that writes a folder per year keeps the files open instead of sorting its texts
-    "spark.sql.maxConcurrentOutputFileWriters": "200",
 }
 
 

@@ -199,7 +199,7 @@ def test_compaction_keeps_rows(spark, tmp_path):
     root = str(tmp_path)
     ingest(documents(spark, range(30)), root, "one")
     before = sorted(map(str, stored(spark, root).collect()))
-    store.compact_years(spark, root, "one")
+    store.compact(spark, root, "one")
     assert sorted(map(str, stored(spark, root).collect())) == before
     one = crosscheck.lookup_by_key(stored(spark, root), "data/pdf/year=1951/english/00001.pdf")
     assert one.count() == 1
