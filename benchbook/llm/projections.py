@@ -34,6 +34,11 @@ def planes(number: int, dimension: int, seed: int) -> np.ndarray:
     return np.random.default_rng([seed, number, dimension]).standard_normal((dimension, BITS))
 
 
+#: log of the normal distribution function, looked up
+_GRID = np.linspace(-8.0, 8.0, 4097)
+_LOG_PHI = np.log(np.array([0.5 * math.erfc(-z / math.sqrt(2)) for z in _GRID]))
+
+
 def unit(raw: pa.Array | pa.ChunkedArray, dimension: int) -> np.ndarray:
     """Rows of doubles of length 1 from packed vectors of one dimension."""
     packed = b"".join(raw.to_pylist())
@@ -101,10 +106,12 @@ _FOUND = pa.schema(
     [
         ("a", pa.binary()), ("b", pa.binary()), ("part", pa.int32()), ("side", pa.int32()),
         ("place", pa.int32()), ("pass", pa.int32()), ("dim", pa.int32()), ("raw", pa.binary()),
+        ("miss", pa.float64()),
     ]
 )
 _FOUND_DDL = (
-    "a binary, b binary, part int, side int, place int, `pass` int, dim int, raw binary"
+    "a binary, b binary, part int, side int, place int, `pass` int, dim int, raw binary, "
+    "miss double"
 )
 
 
@@ -135,9 +142,46 @@ def _window_edges(table: pa.Table, window: int, threshold: float,
     return [(nodes[k], nodes[low[k]]) for k in np.flatnonzero(low != np.arange(n))]
 
 
+def _misses(table: pa.Table, window: int, threshold: float, seed: int) -> np.ndarray:
+    """Log of the chance that a pass misses a pair at ``threshold``, for each row that has
+    ``window`` rows on both sides in the sorted table.
+
+    A row surely shares the window with all rows of the shortest prefix of signs that neither of
+    the two rows ``window`` away has. How likely the other vector of a pair has that prefix too
+    follows from the row's own projections: near a plane it is an even chance, far from it sure.
+    """
+    n = table.num_rows
+    rows = np.arange(window, n - window)
+    keys = np.frombuffer(b"".join(table.column("order").to_pylist()), np.uint8)
+    bits = np.unpackbits(keys.reshape(n, -1), axis=1)
+    numbers, dims = table.column("pass").to_numpy(), table.column("dim").to_numpy()
+    depth = np.zeros(len(rows), dtype=np.int64)
+    for other in (rows - window, rows + window):
+        differ = bits[rows] != bits[other]
+        shared = np.where(differ.any(axis=1), differ.argmax(axis=1), BITS)
+        same = (numbers[rows] == numbers[other]) & (dims[rows] == dims[other])
+        depth = np.maximum(depth, np.where(same, shared + 1, 0))
+    slope = threshold / math.sqrt(max(1 - threshold**2, 1e-18))
+    out = np.zeros(len(rows))
+    for number, dim in set(zip(numbers[rows].tolist(), dims[rows].tolist())):
+        own = np.flatnonzero((numbers[rows] == number) & (dims[rows] == dim))
+        x = unit(table.column("raw").take(pa.array(rows[own])), dim)
+        far = np.abs(x @ planes(number, dim, seed)) * slope
+        agree = np.cumsum(np.interp(far, _GRID, _LOG_PHI), axis=1)
+        agree = np.concatenate([np.zeros((len(own), 1)), agree], axis=1)
+        hit = np.exp(agree[np.arange(len(own)), np.minimum(depth[own], BITS)])
+        hit[depth[own] > BITS] = 0.0  # more rows than a window agree in all signs
+        out[own] = np.log(np.maximum(1 - hit, 1e-12))
+    return out
+
+
 def _pass_edges(distinct: DataFrame, first: int, last: int, window: int, threshold: float,
-                seed: int) -> DataFrame:
-    """Edges of some passes: windows inside the tasks, then those over the borders of tasks."""
+                seed: int) -> tuple[DataFrame, DataFrame]:
+    """Edges of some passes: windows inside the tasks, then those over the borders of tasks.
+
+    Also ``node, miss``: what ``_misses`` tells of each row and pass. The rows at the borders of
+    a task have nothing there, and count as missed.
+    """
     order = ["pass", "dim", "order", "node"]
     rows = _projected(distinct, first, last, seed)
     placed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -146,6 +190,7 @@ def _pass_edges(distinct: DataFrame, first: int, last: int, window: int, thresho
         part = TaskContext.get().partitionId()
         held: pa.Table | None = None  # the last rows, for the next batch
         ahead: list[pa.Table] = []  # the first rows of the task
+        back: pa.Table | None = None  # the rows before and around those not yet in _misses
 
         def border(table: pa.Table, side: int) -> pa.RecordBatch:
             n = table.num_rows
@@ -156,7 +201,7 @@ def _pass_edges(distinct: DataFrame, first: int, last: int, window: int, thresho
                     pa.array(np.full(n, part, np.int32)), pa.array(np.full(n, side, np.int32)),
                     pa.array(np.arange(n, dtype=np.int32)),
                     table.column("pass").combine_chunks(), table.column("dim").combine_chunks(),
-                    table.column("raw").combine_chunks(),
+                    table.column("raw").combine_chunks(), pa.nulls(n, pa.float64()),
                 ],
                 schema=_FOUND,
             )
@@ -178,16 +223,27 @@ def _pass_edges(distinct: DataFrame, first: int, last: int, window: int, thresho
                     [pa.array(a, pa.binary()), pa.array(b, pa.binary()), *none], schema=_FOUND
                 )
             held = table.slice(max(0, table.num_rows - window))
+            keyed = pa.Table.from_batches([batch]).select(["pass", "dim", "order", "node", "raw"])
+            around = keyed if back is None else pa.concat_tables([back, keyed])
+            around = around.combine_chunks()
+            inside = around.num_rows - 2 * window
+            if inside > 0:
+                middle = around.column("node").slice(window, inside).combine_chunks()
+                none = [pa.nulls(inside, f.type) for f in list(_FOUND)[1:-1]]
+                misses = pa.array(_misses(around, window, threshold, seed))
+                yield pa.RecordBatch.from_arrays([middle, *none, misses], schema=_FOUND)
+            back = around.slice(max(0, inside))
         if held is not None:
             yield border(pa.concat_tables(ahead).combine_chunks(), 1)
             yield border(held.combine_chunks(), 0)
 
     found = stage(placed.mapInArrow(run, _FOUND_DDL), "passes")
-    inner = found.filter("part is null").select("a", "b")
+    inner = found.filter("part is null and miss is null").select("a", "b")
+    missed = found.filter("miss is not null").select(F.col("a").alias("node"), "miss")
     # number of tasks, not of vectors: the tasks that had rows, in order
     parts = sorted(r[0] for r in found.filter("part is not null").select("part").distinct().collect())
     if len(parts) < 2:
-        return inner
+        return inner, missed
     spark = distinct.sparkSession
     seams = spark.createDataFrame(
         [(p, 0, i) for i, p in enumerate(parts[:-1])]
@@ -209,7 +265,18 @@ def _pass_edges(distinct: DataFrame, first: int, last: int, window: int, thresho
                     [pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"]
                 )
 
-    return inner.union(placed.mapInArrow(across, "a binary, b binary"))
+    return inner.union(placed.mapInArrow(across, "a binary, b binary")), missed
+
+
+def _all_edges(left: DataFrame, threshold: float, chunk: int) -> DataFrame:
+    """Edges of all vectors with each other, in blocks."""
+    members = left.select(
+        F.col("dim").alias("group"), "node", "raw", "dim", F.lit(1).cast("long").alias("copies"),
+        F.length("raw").alias("size"),
+    )
+    paired = chunk_pairs(members, chunk, "size", chunk * 8192 * 8)
+    found = count_links(paired, _linked(threshold), ["raw", "dim"])
+    return stage(found.select(F.col("node").alias("a"), F.col("low").alias("b")), "all")
 
 
 def _linked(threshold: float):
@@ -236,10 +303,13 @@ def near_vectors(
 
     Equal vectors are one while passes run. Each pass sorts all vectors by the signs of their
     random projections over all tasks and verifies those at most ``window`` rows apart, also
-    across the borders of tasks; the number of passes follows from the number of vectors and the
-    asked ``recall`` of pairs right at the threshold. Verified pairs of all passes are united to
-    components. Then all vectors of a component are compared in blocks, so that ``n_links`` counts
-    every pair in it, also of groups larger than a window.
+    across the borders of tasks. As many passes as the number of vectors and the asked ``recall``
+    of pairs right at the threshold need where vectors lie evenly take all vectors. Where they
+    crowd, more of them share each prefix of signs than a window holds: every pass tells for each
+    vector how likely it missed such a pair, and vectors whose passes together do not reach
+    ``recall`` go on, in further passes or, if that costs no more, compared in
+    blocks. Verified pairs are united to components. Then all vectors of a component are compared
+    in blocks, so that ``n_links`` counts every pair in it, also of groups larger than a window.
 
     Vectors that are null, empty, zero or hold null or non-finite numbers link with nothing, nor
     do vectors of different dimensions. Repeated rows are linked copies. ``component_id`` is the
@@ -255,13 +325,42 @@ def near_vectors(
         ),
         "distinct",
     )
-    number = passes_needed(distinct.count(), window, threshold, recall)
-    edges = None
-    for first in range(0, number, passes_at_once):
-        found = _pass_edges(
-            distinct, first, min(number, first + passes_at_once), window, threshold, seed
-        )
+    size = distinct.count()
+    planned, done = passes_needed(size, window, threshold, recall), 0
+    left = distinct.select("node", "raw", "dim", F.lit(0.0).alias("miss"))
+    edges, misses = None, None
+    limit, further = math.log(1 - recall), 0.0  # passes that the rest is likely to need still
+    while size:
+        # as many passes as cost what comparing all does
+        whole = size <= 2 * window * max(done, further, 1)
+        if whole:
+            found, missed = _all_edges(left, threshold, chunk), None
+        else:
+            last = done + passes_at_once
+            last = last if done >= planned else min(planned, last)
+            found, missed = _pass_edges(left, done, last, window, threshold, seed)
+            done = last
         edges = found if edges is None else edges.union(found)
+        if whole:
+            break
+        misses = missed if misses is None else misses.union(missed)
+        if done >= planned:
+            more = misses.groupBy("node").agg(F.sum("miss").alias("more"))
+            left = left.join(more, "node", "left").select(
+                "node", "raw", "dim", (F.col("miss") + F.coalesce("more", F.lit(0.0))).alias("miss")
+            )
+            misses = None
+            # later on, vectors at the rim of a crowd would leave before those inside have met them
+            early = done - passes_at_once < 1.5 * planned
+            left = stage(left.filter(F.col("miss") > limit) if early else left, "left")
+            state = left.agg(
+                F.count("*").alias("n"), F.max("miss").alias("worst"), F.avg("miss").alias("mean")
+            ).first()
+            size = state["n"] if state["n"] and state["worst"] > limit else 0
+            if size and not early:
+                further = done * limit / min(state["mean"], -1e-9) - done
+    if edges is None:
+        edges = distinct.select(F.col("node").alias("a"), F.col("node").alias("b"))
     roots = stage(components(edges.distinct()), "roots")
     members = distinct.join(roots.withColumnRenamed("root", "group"), "node")
     paired = chunk_pairs(

@@ -90,6 +90,28 @@ def test_recall(spark):
     assert got >= 0.99 * 3000
 
 
+def test_recall_in_a_cone(spark):
+    """A third of all vectors lies in a cone, far more of them than a window on each sign prefix."""
+    rng = np.random.default_rng(6)
+
+    def beside(x, cosine):
+        y = rng.normal(size=x.shape)
+        y -= (y * x).sum(axis=1, keepdims=True) * x
+        return cosine * x + np.sqrt(1 - cosine**2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+
+    axis = np.zeros((6000, 64))
+    axis[:, 0] = 1.0
+    cone = beside(axis, 0.85**0.5)
+    even = rng.normal(size=(12_000, 64))
+    pairs = beside(cone[:300], 0.91)
+    x = np.vstack([cone, even, pairs])
+    schema = "vec_id long, embedding array<double>"
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], schema).repartition(4)
+    rows = {r["vec_id"]: r["component_id"] for r in projections.near_vectors(df, window=16).collect()}
+    got = sum(rows[i] == rows[18_000 + i] for i in range(300))
+    assert got >= 298
+
+
 def test_passes():
     assert projections.passes_needed(10, 64, 0.9, 0.999) == 1
     few, many = (projections.passes_needed(n, 64, 0.9, 0.99) for n in (10**4, 10**8))
