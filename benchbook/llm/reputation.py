@@ -96,13 +96,17 @@ def host_reputation(outcomes: DataFrame, z: float = 1.6448536269514722) -> DataF
     """Per host of ``host, bad`` (0 or 1, a row per labelled page): counts, estimate, bound.
 
     Returns ``host, n, n_bad, bad_rate, bad_bound`` and ``domain, suffix``: the posterior mean of
-    the share of bad pages and its one-sided lower bound. Null outcomes do not count. Counts are
-    combined before each shuffle, so one host with a third of all pages is one row a task.
+    the share of bad pages and its one-sided lower bound. Null outcomes do not count, but their
+    hosts have rows: without outcomes a host has what its domain, else its suffix, else all pages
+    say, and changes nothing for others. Counts are combined before each shuffle, so one host
+    with a third of all pages is one row a task.
     """
     hosts = stage(
-        outcomes.filter(F.col("bad").isNotNull())
-        .groupBy("host")
-        .agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
+        outcomes.groupBy("host")
+        .agg(
+            F.count("bad").alias("n"),
+            F.coalesce(F.sum(F.col("bad").cast("long")), F.lit(0)).alias("bad"),
+        )
         .withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))}),
         "hosts",
     )
@@ -146,7 +150,8 @@ def judge_urls(
     bad if one of them is, and outcomes without id, value or page do not count. ``rules`` are
     ``(verdict, "host/path")``, a short list the caller writes: the longest that fits decides.
     Else a page is blocked if the lower bound of its host's share of bad pages is above
-    ``most_bad``. A host without outcomes is allowed. A null url, or one without ``://``, has an
+    ``most_bad``; for a host without outcomes that is the bound of its registered domain, else of
+    its suffix, else of all pages. A null url, or one without ``://``, has an
     empty host and path. Repeated pages are judged each, null ids too; an empty table gives no rows.
     """
     parts = pages.select(
@@ -157,8 +162,8 @@ def judge_urls(
         outcomes.filter(F.col("bad").isin(0, 1) & F.col("page_id").isNotNull())
         .groupBy("page_id").agg(F.max("bad").alias("bad"))
     )
-    labelled = parts.select("page_id", "host").join(known, "page_id")
-    found = host_reputation(labelled).select("host", "n", "n_bad", "bad_bound")
+    outcome = parts.select("page_id", "host").join(known, "page_id", "left")
+    found = host_reputation(outcome).select("host", "n", "n_bad", "bad_bound")
     rule = rule_for(F.col("host"), F.col("path"), rules)
     verdicts = [F.when(F.col("rule") == text, verdict) for verdict, text in rules]
     method = F.when(F.col("bad_bound") > most_bad, "block").otherwise("allow")

@@ -84,6 +84,25 @@ def test_shrinkage(spark, web):
     assert verdicts["h1.bad.com"] == "allow" and verdicts["none.com"] == "block"
 
 
+def test_hosts_without_outcomes(spark, web):
+    """They have what is known of their domain, else of their suffix."""
+    pages, outcomes = web
+    fresh = ["fresh.bad.com", "fresh.good.com", "fresh.com", "fresh.ill", "fresh.un.known"]
+    more = [(10_000 + i, f"http://{host}/") for i, host in enumerate(fresh)]
+    more += [(20_000 + i, f"http://h{i % 9}.d{i % 3}.ill/") for i in range(90)]
+    more += [(30_000 + i, f"http://h{i % 9}.d{i % 3}.fine/") for i in range(200)]
+    known = [(20_000 + i, 1) for i in range(90)] + [(30_000 + i, 0) for i in range(200)]
+    found = reputation.judge_urls(
+        pages.union(spark.createDataFrame(more, pages.schema)), outcomes.union(spark.createDataFrame(known, outcomes.schema)), []
+    ).filter("page_id BETWEEN 10000 AND 10010")
+    rows = {r["host"]: r for r in found.collect()}
+    assert {h: rows[h]["verdict"] for h in fresh} == {
+        "fresh.bad.com": "block", "fresh.good.com": "allow", "fresh.com": "allow",
+        "fresh.ill": "block", "fresh.un.known": "allow",
+    }
+    assert all(r["host_labelled"] == r["host_bad"] == 0 for r in rows.values())
+
+
 def test_odd_tables(spark):
     pages = spark.createDataFrame(
         [(1, u, "x") for u in URLS] + [(None, "http://a.org/", None), (2, "http://a.org/" + "p" * 300_000, "")],
