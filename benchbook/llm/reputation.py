@@ -8,6 +8,7 @@ parents beyond what counting alone gives (method of moments of the beta-binomial
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -41,15 +42,24 @@ def _name(host: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(host, "^.*@", ""), ":[0-9]*$", "")
 
 
-def suffix_of(host: Column) -> Column:
+def _labels_of(host: Column, suffixes: Sequence[str], more: int) -> Column:
+    """The suffix and ``more`` labels before it; the longest of ``suffixes`` that fits, else one label."""
     name = _name(host)
-    return F.when(name.rlike(r"^[0-9.]*$"), name).otherwise(F.substring_index(name, ".", -1))
+    found = F.substring_index(name, ".", -1 - more)
+    for suffix in sorted(suffixes, key=lambda s: s.count(".")):  # the longest is asked first
+        fits = (name == suffix) | name.endswith(f".{suffix}")
+        own = F.substring_index(name, ".", -1 - suffix.count(".") - more)
+        found = F.when(fits, own).otherwise(found)
+    return F.when(name.rlike(r"^[0-9.]*$"), name).otherwise(found)
 
 
-def domain_of(host: Column) -> Column:
-    """Registered domain: the last two labels."""
-    name = _name(host)
-    return F.when(name.rlike(r"^[0-9.]*$"), name).otherwise(F.substring_index(name, ".", -2))
+def suffix_of(host: Column, suffixes: Sequence[str] = ()) -> Column:
+    return _labels_of(host, suffixes, 0)
+
+
+def domain_of(host: Column, suffixes: Sequence[str] = ()) -> Column:
+    """Registered domain: the suffix (the last label, or one of ``suffixes``) and a label before it."""
+    return _labels_of(host, suffixes, 1)
 
 
 def rule_for(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column:
@@ -92,7 +102,9 @@ def _strength(children: DataFrame) -> float:
     return 1 / min(max(rho, LEAST_RHO), MOST_RHO) - 1
 
 
-def host_reputation(outcomes: DataFrame, z: float = 1.6448536269514722) -> DataFrame:
+def host_reputation(
+    outcomes: DataFrame, z: float = 1.6448536269514722, suffixes: Sequence[str] = ()
+) -> DataFrame:
     """Per host of ``host, bad`` (0 or 1, a row per labelled page): counts, estimate, bound.
 
     Returns ``host, n, n_bad, bad_rate, bad_bound`` and ``domain, suffix``: the posterior mean of
@@ -107,7 +119,10 @@ def host_reputation(outcomes: DataFrame, z: float = 1.6448536269514722) -> DataF
             F.count("bad").alias("n"),
             F.coalesce(F.sum(F.col("bad").cast("long")), F.lit(0)).alias("bad"),
         )
-        .withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))}),
+        .withColumns({
+            "domain": domain_of(F.col("host"), suffixes),
+            "suffix": suffix_of(F.col("host"), suffixes),
+        }),
         "hosts",
     )
     counts = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
@@ -143,6 +158,7 @@ def judge_urls(
     most_bad: float = 0.5,
     page_id: str = "page_id",
     url: str = "url",
+    suffixes: Sequence[str] = (),
 ) -> DataFrame:
     """One row per page: ``page_id, host, path, rule, verdict`` and what is known of the host.
 
@@ -151,7 +167,8 @@ def judge_urls(
     ``(verdict, "host/path")``, a short list the caller writes: the longest that fits decides.
     Else a page is blocked if the lower bound of its host's share of bad pages is above
     ``most_bad``; for a host without outcomes that is the bound of its registered domain, else of
-    its suffix, else of all pages. A null url, or one without ``://``, has an
+    its suffix, else of all pages. A suffix is the last label of a name, or the longest of
+    ``suffixes`` (like ``co.uk``, lower case, a short list the caller writes) that ends it. A null url, or one without ``://``, has an
     empty host and path. Repeated pages are judged each, null ids too; an empty table gives no rows.
     """
     parts = pages.select(
@@ -163,7 +180,7 @@ def judge_urls(
         .groupBy("page_id").agg(F.max("bad").alias("bad"))
     )
     outcome = parts.select("page_id", "host").join(known, "page_id", "left")
-    found = host_reputation(outcome).select("host", "n", "n_bad", "bad_bound")
+    found = host_reputation(outcome, suffixes=suffixes).select("host", "n", "n_bad", "bad_bound")
     rule = rule_for(F.col("host"), F.col("path"), rules)
     verdicts = [F.when(F.col("rule") == text, verdict) for verdict, text in rules]
     method = F.when(F.col("bad_bound") > most_bad, "block").otherwise("allow")

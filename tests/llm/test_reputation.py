@@ -42,6 +42,15 @@ def test_names(spark):
     assert {r[0]: (r[1], r[2]) for r in found.collect()} == hosts
 
 
+def test_suffixes_of_several_labels(spark):
+    hosts = {"a.b.co.uk": ("b.co.uk", "co.uk"), "co.uk:80": ("co.uk", "co.uk"),
+             "a.xco.uk": ("xco.uk", "uk"), "a.b.c.co.uk": ("b.c.co.uk", "c.co.uk")}
+    known = ["co.uk", "c.co.uk"]
+    df = spark.createDataFrame([(h,) for h in hosts], "h string")
+    found = df.select("h", reputation.domain_of(F.col("h"), known), reputation.suffix_of(F.col("h"), known))
+    assert {r[0]: (r[1], r[2]) for r in found.collect()} == hosts
+
+
 def test_bound_is_a_quantile_of_the_beta(spark):
     rng = np.random.default_rng(1)
     shapes = [(30.0, 70.0), (4.0, 4.0), (200.0, 20.0), (2.5, 40.0)]
