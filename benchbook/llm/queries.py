@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benchbook.llm import (
-    brown, compression, crf, iblt, jaccard, mixing, packing, projections, reputation, secret_scan,
+    brown, compression, crf, iblt, interaction, jaccard, mixing, packing, projections, reputation,
+    rotation, secret_scan, token_counts,
 )
 from benchbook.llm.common import remainder, table
 
@@ -101,6 +102,29 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "n_links", "kept")
 
 
+@_query
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotation.rearranged_digests(table(spark, sf_dir, "documents"))
+
+
+CHECKS["op11_fill_in_middle"] = rotation.CHECK_SQL
+
+
+@_query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return interaction.filter_audit(documents, labels)
+
+
+CHECKS["op12_filter_audit"] = interaction.CHECK_SQL
+
+
+@_query
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return token_counts.token_report(documents, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 # SQL that compares all pairs: for the small tables, as a check of the results.
 _REACHED = """reach AS (SELECT i, j FROM links UNION SELECT r.i, l.j FROM reach r JOIN links l ON r.j = l.i)"""
 
