@@ -14,6 +14,10 @@ from benchbook.functions import fixed_values as V
 from benchbook.functions.quality import passes_gate
 
 
+#: Message of an error row whose document came without one.
+NO_TEXT = "document has no readable text"
+
+
 def first_of_each_hash(hashed: DataFrame) -> DataFrame:
     """``content_hash`` and the smallest ``key`` that has it."""
     return hashed.groupBy("content_hash").agg(F.min("key").alias("key"))
@@ -54,17 +58,19 @@ def _status(is_new: Column) -> Column:
 def ingest_status(scored: DataFrame, stored: DataFrame) -> DataFrame:
     """``key, status, error_msg`` for each ``key, content_hash, quality_score``.
 
-    Keys must be distinct. A document without a text has a NULL hash and becomes an error.
-    ``scored`` is read twice, so pass a staged table when it is costly to compute.
+    Keys must be distinct. A document without a text has a NULL hash and becomes an error, with
+    the ``error_msg`` it came with, if any. ``scored`` is read twice, so pass a staged table when
+    it is costly to compute.
     """
     good = scored.filter(passes_gate(F.col("quality_score")))
     new = new_keys(good, stored).withColumn("is_new", F.lit(True))
+    problem = F.lit(NO_TEXT)
+    if "error_msg" in scored.columns:
+        problem = F.coalesce("error_msg", problem)
     return scored.join(new, "key", "left").select(
         "key",
         _status(F.col("is_new")).alias("status"),
-        F.when(F.col("content_hash").isNull(), F.lit("document has no readable text")).alias(
-            "error_msg"
-        ),
+        F.when(F.col("content_hash").isNull(), problem).alias("error_msg"),
     )
 
 

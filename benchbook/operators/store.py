@@ -8,15 +8,21 @@ Loads read neither the stored judgments nor the log, but two compact copies: the
 stored and the newest state of each key. Every load adds a run to them, and runs are merged like
 digits are carried: ``FAN`` runs of a level become one run of the next. So a load reads a number
 of runs that grows with the logarithm of the number of loads.
+
+A run lies in folders by the first bits of its hash (of its key's hash, for states), as many
+folders as keep each at about ``FOLDER_ROWS`` rows. A load reads the folders of its own hashes and
+keys only: what it reads is bounded by what it asks, not by what is stored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.readwriter import DataFrameWriter
 
 from benchbook import schema
 from benchbook.operators import log
@@ -27,11 +33,11 @@ _TABLES = {
     "ingest_log": (schema.INGEST_LOG, ["batch_id"]),
     "outcome": (schema.OUTCOME, ["batch_id"]),
     "mirror": (schema.MIRROR, ["batch_id", "year"]),
-    "hashes": (schema.HASHES, ["level", "run"]),
-    "states": (schema.STATES, ["level", "run"]),
 }
 #: Runs of one level that are merged into one of the next.
 FAN = 8
+#: Rows that a folder of a run is meant to hold, and bits of a prefix at most (65,536 folders).
+FOLDER_ROWS, PREFIX_BITS = 8192, 16
 
 
 def init_store(spark: SparkSession, root: str) -> None:
@@ -77,9 +83,19 @@ def storable(records: DataFrame) -> DataFrame:
 def append_judgments(records: DataFrame, root: str, batch_id: str) -> None:
     """Write one load from the tasks that made the records: texts are not moved.
 
-    ``compact`` puts them in order of their keys, off the path of the loads.
+    ``compact`` puts them in order of their keys, off the path of the loads. Until then a Bloom
+    filter of the keys in each row group tells a lookup which ones it need not read.
     """
-    storable(records).write.mode("overwrite").parquet(f"{root}/judgments/batch_id={batch_id}")
+    _writer(storable(records)).parquet(f"{root}/judgments/batch_id={batch_id}")
+
+
+def _writer(judgments: DataFrame) -> DataFrameWriter:
+    """Row groups with a Bloom filter of their keys, sized by the keys they hold, up to 1 MB."""
+    name = "parquet.bloom.filter"
+    return (
+        judgments.write.mode("overwrite").option(f"{name}.enabled#pdf_s3_key", "true")
+        .option(f"{name}.adaptive.enabled", "true").option(f"{name}.max.bytes", str(1 << 20))
+    )
 
 
 def compact(spark: SparkSession, root: str, batch_id: str) -> None:
@@ -94,7 +110,7 @@ def compact(spark: SparkSession, root: str, batch_id: str) -> None:
         found = spark.read.schema(rows).parquet(path)
         placed = found.repartitionByRange("pdf_s3_key").sortWithinPartitions("pdf_s3_key")
         placed.write.mode("overwrite").parquet(fresh)
-    spark.read.schema(rows).parquet(fresh).write.mode("overwrite").parquet(path)
+    _writer(spark.read.schema(rows).parquet(fresh)).parquet(path)
     remove(spark, fresh)
 
 
@@ -108,20 +124,105 @@ def append_log(entries: DataFrame, root: str, batch_id: str) -> None:
 
 # ---- compact copies ----------------------------------------------------------------------
 
-_MERGE: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "hashes": lambda df: df.select("content_hash").distinct(),
-    "states": log.merged_state,
+
+@dataclass(frozen=True)
+class Copy:
+    """How a compact copy is laid out: what it asks by, its prefix, its stored form, its merge."""
+
+    columns: T.StructType
+    asked_by: str
+    prefix: Callable[[], Column]
+    packed: Callable[[], list[Column]]
+    unpacked: Callable[[], list[Column]]
+    merge: Callable[[DataFrame], DataFrame]
+
+
+COPIES = {
+    "hashes": Copy(
+        schema.HASHES,
+        "content_hash",
+        lambda: F.conv(F.left("content_hash", F.lit(PREFIX_BITS // 4)), 16, 10).cast("int"),
+        lambda: [F.unhex("content_hash").alias("digest")],
+        lambda: [F.lower(F.hex("digest")).alias("content_hash")],
+        DataFrame.distinct,
+    ),
+    "states": Copy(
+        schema.STATES,
+        "key",
+        lambda: F.shiftrightunsigned(F.xxhash64("key"), 64 - PREFIX_BITS).cast("int"),
+        lambda: [F.col(c) for c in schema.STATES.names],
+        lambda: [F.col(c) for c in schema.STATES.names],
+        log.merged_state,
+    ),
 }
 
 
-def read_runs(spark: SparkSession, root: str, name: str, batch_id: str) -> DataFrame:
-    """``hashes`` or ``states`` of all loads but an earlier, unfinished attempt of this one."""
-    found = read_table(spark, root, name)
-    return found.filter(F.col("run") != batch_id).drop("level", "run")
+def _complete(spark: SparkSession, place: str) -> list[tuple[str, int]]:
+    """Folder and prefix bits of a run that was written to its end; else nothing."""
+    found = [(f"{place}/{d}", int(d[5:])) for d in folders_in(spark, place) if d.startswith("bits=")]
+    return [x for x in found if exists(spark, f"{x[0]}/_SUCCESS")]
+
 
+def runs_of(spark: SparkSession, root: str, name: str, batch_id: str = "") -> list[tuple[str, int]]:
+    """Folders and prefix bits of all runs but an earlier, unfinished attempt of this load."""
+    out = []
+    for level in folders_in(spark, f"{root}/{name}"):
+        for run in folders_in(spark, f"{root}/{name}/{level}"):
+            if run != f"run={batch_id}":
+                out += _complete(spark, f"{root}/{name}/{level}/{run}")
+    return out
 
-def append_run(rows: DataFrame, root: str, name: str, batch_id: str) -> None:
-    rows.write.mode("overwrite").parquet(f"{root}/{name}/level=0/run={batch_id}")
+
+def _read(spark: SparkSession, name: str, paths: list[str]) -> DataFrame:
+    copy = COPIES[name]
+    if not paths:
+        nothing = spark.createDataFrame([], copy.columns).filter(F.lit(False))  # seen as empty
+        return nothing.select(*copy.unpacked())
+    reader = spark.read.schema(copy.columns).option("recursiveFileLookup", "true")
+    return reader.parquet(*paths).select(*copy.unpacked())
+
+
+def read_runs(
+    spark: SparkSession, root: str, name: str, batch_id: str = "", asked: DataFrame | None = None
+) -> DataFrame:
+    """``hashes`` (``content_hash``) or ``states`` of all loads but an unfinished one of this name.
+
+    With ``asked``, which has the column they are asked by, only folders that may hold one of its
+    values are read; rows of other values are among them. Only prefixes come to the driver, at
+    most ``2**PREFIX_BITS`` small numbers. ``asked`` is not looked at while all runs are one folder.
+    """
+    runs = runs_of(spark, root, name, batch_id)
+    if asked is None or not any(bits for _, bits in runs):
+        return _read(spark, name, [path for path, _ in runs])
+    copy = COPIES[name]
+    values = asked.filter(F.col(copy.asked_by).isNotNull()).select(copy.prefix().alias("prefix"))
+    prefixes = {r["prefix"] for r in values.distinct().collect()}
+    paths = []
+    for path, bits in runs:
+        wanted = {f"prefix={p >> (PREFIX_BITS - bits)}" for p in prefixes}
+        there = folders_in(spark, path)
+        hit = [d for d in there if d in wanted]
+        paths += [path] if hit and len(hit) == len(there) else [f"{path}/{d}" for d in hit]
+    return _read(spark, name, paths)
+
+
+def write_run(rows: DataFrame, root: str, name: str, level: int, run: str, size: int) -> None:
+    """Write a run of about ``size`` rows, each folder sorted and by one task."""
+    spark, copy = rows.sparkSession, COPIES[name]
+    bits = min(max(0, (size - 1) // FOLDER_ROWS).bit_length(), PREFIX_BITS)
+    place = f"{root}/{name}/level={level}/run={run}"
+    remove(spark, place)  # an attempt that broke may have had other folders
+    prefix = F.shiftright(copy.prefix(), PREFIX_BITS - bits)
+    marked = rows.withColumn("prefix", F.coalesce(prefix, F.lit(0)))
+    if bits:
+        marked = marked.repartition("prefix")
+    placed = marked.sortWithinPartitions("prefix", copy.asked_by)
+    stored = placed.select("prefix", *copy.packed())
+    stored.write.partitionBy("prefix").parquet(f"{place}/bits={bits}")
+
+
+def append_run(rows: DataFrame, root: str, name: str, batch_id: str, size: int) -> None:
+    write_run(rows, root, name, 0, batch_id, size)
 
 
 def merge_runs(spark: SparkSession, root: str, name: str) -> None:
@@ -133,11 +234,10 @@ def merge_runs(spark: SparkSession, root: str, name: str) -> None:
         runs = [r for r in folders_in(spark, place) if level or is_finished(spark, root, r[4:])]
         if len(runs) < FAN:
             return
-        columns = [f for f in _TABLES[name][0] if f.name not in ("level", "run")]
-        reader = spark.read.schema(T.StructType(columns))
-        merged = _MERGE[name](reader.parquet(*[f"{place}/{r}" for r in runs]))
+        parts = [path for r in runs for path, _ in _complete(spark, f"{place}/{r}")]
+        rows = _read(spark, name, parts)
         # named after its last part: a load's name is unique, so is this one in its level
-        merged.write.mode("overwrite").parquet(f"{root}/{name}/level={level + 1}/{runs[-1]}")
+        write_run(COPIES[name].merge(rows), root, name, level + 1, runs[-1][4:], rows.count())
         for r in runs:
             remove(spark, f"{place}/{r}")
         level += 1

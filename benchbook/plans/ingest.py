@@ -3,26 +3,31 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from benchbook.functions import fixed_values as V
+from benchbook.functions.quality import passes_gate
 from benchbook.operators import dedup, log, store
 from benchbook.operators.record import with_metadata, with_provenance, with_quality
 from benchbook.session import fresh_folder, remove, stage
-from benchbook.sources.objects import mirror_raw
+from benchbook.sources.objects import mirror_raw, object_texts, readable_objects
 from benchbook.sources.pages import assemble_pages
 
 SKIPPED = "skipped"
+#: Message of a key that was listed, but whose object gave no row.
+LOST = "object could not be read"
 
 
 def ingest(documents: DataFrame, root: str, batch_id: str, **options: object) -> DataFrame:
     """Load ``key, full_text`` (cleaned) into the store; returns ``key, status, error_msg``.
 
-    See ``load`` for the options.
+    A row without a text may say why in a column ``error_msg``. See ``load`` for the options.
     """
-    return load(documents, lambda rows: rows.select("key", "full_text"), root, batch_id, **options)
+    wanted = [c for c in ("key", "full_text", "error_msg") if c in documents.columns]
+    return load(documents, lambda rows: rows.select(*wanted), root, batch_id, **options)
 
 
 def ingest_pages(pages: DataFrame, root: str, batch_id: str, **options: object) -> DataFrame:
@@ -31,6 +36,18 @@ def ingest_pages(pages: DataFrame, root: str, batch_id: str, **options: object)
     return load(pages, assemble_pages, root, batch_id, **options)
 
 
+def ingest_objects(
+    listing: DataFrame, objects_root: str, root: str, batch_id: str, **options: object
+) -> DataFrame:
+    """Load the listed objects (``key, year``, and ``length`` if known) that hold UTF-8 text.
+
+    An object that vanished, cannot be read, is shorter than listed or holds something else
+    becomes an ``error`` row that says so; all others are loaded.
+    """
+    found = readable_objects(listing.sparkSession, objects_root, listing)
+    return load(found, object_texts, root, batch_id, listed=listing, **options)
+
+
 def load(
     rows: DataFrame,
     prepare: Callable[[DataFrame], DataFrame],
@@ -41,6 +58,7 @@ def load(
     bucket: str = "",
     skip: tuple[str, ...] = ("done",),
     objects: DataFrame | None = None,
+    listed: DataFrame | None = None,
     work: str | None = None,
 ) -> DataFrame:
     """Load rows with a ``key`` that ``prepare`` turns into ``key, full_text``.
@@ -48,7 +66,8 @@ def load(
     A finished load is answered with what it returned and changes nothing; a load that broke is
     replaced. Keys whose newest status is in ``skip`` are ``skipped`` (add ``duplicate`` and
     ``low_quality`` to leave settled documents alone). ``objects`` (``key, year, content``) are
-    mirrored first, those of skipped keys left out.
+    mirrored first, those of skipped keys left out. Keys of ``listed`` that no row came for become
+    errors: what was listed but could not be read is logged, and tried again by the next load.
 
     The texts are read, cleaned, hashed and scored once, and written as they come to ``work``
     (default: the session's shared folder) with a row number. What is decided on is key, hash,
@@ -60,25 +79,41 @@ def load(
     store.init_store(spark, root)
     if store.is_finished(spark, root, batch_id):
         return store.load_outcome(spark, root, batch_id)
+    folder = work or fresh_folder(spark, "load")
     keys = rows.select("key")
-    states = log.entries_of(store.read_runs(spark, root, "states", batch_id), keys)
+    if listed is not None:
+        listed = listed.select("key").distinct()
+        keys = keys.union(listed)
+    if store.runs_of(spark, root, "states", batch_id):  # else nothing is settled yet
+        keys = stage(keys.distinct(), path=f"{folder}/keys")
+    states = log.entries_of(store.read_runs(spark, root, "states", batch_id, keys), keys)
     settled = log.merged_state(states).filter(F.col("status").isin(*skip)).select("key")
     skipped = settled.select("key", F.lit(SKIPPED).alias("status"), F.lit(None).alias("error_msg"))
     if objects is not None:
         mirror_raw(objects.join(settled, "key", "left_anti"), root, batch_id)
 
-    folder = work or fresh_folder(spark, "load")
     todo = prepare(rows.join(settled, "key", "left_anti"))
+    if "error_msg" not in todo.columns:
+        todo = todo.withColumn("error_msg", F.lit(None).cast("string"))
     numbered = with_quality(todo).withColumn("row", F.monotonically_increasing_id())
     texts = stage(numbered, path=f"{folder}/texts")
     hashed = F.col("content_hash").isNotNull()
     best = F.min(F.when(hashed, F.struct("content_hash", "row", "quality_score"))).alias("best")
-    scored = stage(
-        texts.groupBy("key").agg(best).select("key", "best.*"), path=f"{folder}/scored"
+    judged = texts.groupBy("key").agg(best, F.min("error_msg").alias("error_msg"))
+    judged = judged.select("key", "best.*", "error_msg")
+    if listed is not None:
+        lost = listed.join(settled, "key", "left_anti").join(texts.select("key"), "key", "left_anti")
+        judged = judged.unionByName(
+            lost.withColumn("error_msg", F.lit(LOST)), allowMissingColumns=True
+        )
+    scored = stage(judged, path=f"{folder}/scored")
+    stored = store.read_runs(
+        spark, root, "hashes", batch_id, scored.filter(passes_gate(F.col("quality_score")))
     )
-    stored = store.read_runs(spark, root, "hashes", batch_id)
+    counted = Observation()
+    size = F.count_if(F.col("status") == V.DONE).alias("done"), F.count("*").alias("all")
     outcome = stage(
-        dedup.ingest_status(scored, stored).union(skipped),
+        dedup.ingest_status(scored, stored).union(skipped).observe(counted, *size),
         path=f"{root}/outcome/batch_id={batch_id}",
     )
 
@@ -89,12 +124,13 @@ def load(
     store.append_judgments(with_provenance(records, endpoint, bucket), root, batch_id)
     entries = outcome.filter(F.col("status") != SKIPPED).select(
         F.lit(source).alias("source"), "key", "status", "error_msg",
-        F.current_timestamp().alias("processed_at"),
+        F.lit(datetime.now(timezone.utc)).alias("processed_at"),
     )
-    entries = stage(entries, path=f"{folder}/entries")
-    store.append_run(chosen.select("content_hash").distinct(), root, "hashes", batch_id)
+    sizes = counted.get
+    new_hashes = chosen.select("content_hash").distinct()
+    store.append_run(new_hashes, root, "hashes", batch_id, sizes["done"])
     state = log.merged_state(entries.withColumn("batch_id", F.lit(batch_id)))
-    store.append_run(state, root, "states", batch_id)
+    store.append_run(state, root, "states", batch_id, sizes["all"])
     store.append_log(entries, root, batch_id)
     for name in ("hashes", "states"):
         store.merge_runs(spark, root, name)

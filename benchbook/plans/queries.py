@@ -17,9 +17,10 @@ from benchbook.functions.regex import collapse, folded
 from benchbook.operators import coverage, crosscheck, dedup, log, record, store
 from benchbook.plans import check_sql as S
 from benchbook.plans import corpus
-from benchbook.plans.ingest import ingest, ingest_pages
-from benchbook.session import fresh_folder, once_per_session, stage
+from benchbook.plans.ingest import LOST, ingest, ingest_objects, ingest_pages
+from benchbook.session import fresh_folder, once_per_session, remove, stage
 from benchbook.sources import keys, objects, pages
+from benchbook.sources.texts import spread
 from benchbook.streaming.ingest import read_documents, stream_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -198,6 +199,53 @@ def read_objects(spark, sf_dir):
     )
 
 
+def _object_tree(judgments: DataFrame, root: str) -> None:
+    """Every raw judgment as an object of its own (with a line end) in the folder of its year."""
+    rows = judgments.select(F.col("raw_text").alias("value"), F.col("key_year").alias("year"))
+    files = spread(rows).write.mode("append").option("maxRecordsPerFile", 1).partitionBy("year")
+    files.text(f"{root}/{V.KEY_ROOT}")
+
+
+@query(
+    "list_object_tree",
+    f"WITH {S._RAW} SELECT key_year AS year, count(*) AS n_objects, "
+    "sum(strlen(raw_text) + 1)::BIGINT AS n_bytes FROM raw WHERE key_year IN (1957, 1960, 1999) "
+    "GROUP BY key_year",
+)
+def list_object_tree(spark, sf_dir):
+    """Objects of three years, one of them asked twice, and of a year that has none."""
+    root = fresh_folder(spark, "tree")
+    _object_tree(corpus.raw_judgments(spark, sf_dir), root)
+    listed = keys.list_objects(spark, root, [1999, 1957, 1960, 1957, 2040])
+    return listed.groupBy("year").agg(
+        F.count("*").alias("n_objects"), F.sum("length").alias("n_bytes")
+    )
+
+
+@query(
+    "refresh_inventory",
+    f"WITH {S._RAW}, c AS (SELECT key_year AS year, CASE WHEN key_year % 9 = 2 THEN 'gone' "
+    "WHEN key_year % 4 = 1 THEN 'added' END AS change FROM raw "
+    "WHERE key_year BETWEEN 1960 AND 2010) "
+    "SELECT year, change, count(*) AS n FROM c WHERE change IS NOT NULL GROUP BY ALL",
+)
+def refresh_inventory(spark, sf_dir):
+    """What changed in the asked years between two listings of one store."""
+    root = fresh_folder(spark, "tree")
+    judgments, asked = corpus.raw_judgments(spark, sf_dir), keys.parse_years("1960-2010")
+    late = (F.col("key_year") % 4 == 1) & (F.col("key_year") % 9 != 2)
+    _object_tree(judgments.filter(~late), root)
+    listed = keys.list_objects(spark, root, asked)
+    keys.refresh_inventory(spark, listed, f"{root}/store", asked)
+    for year in asked:
+        if year % 9 == 2:
+            remove(spark, f"{root}/{V.KEY_ROOT}year={year}")
+    _object_tree(judgments.filter(late), root)
+    listed = keys.list_objects(spark, root, asked)
+    changes = keys.refresh_inventory(spark, listed, f"{root}/store", asked)
+    return changes.groupBy("year", "change").agg(F.count("*").alias("n"))
+
+
 _LINES_OF = f"string_split(raw_text, {corpus.NL})"
 _PAGE = (
     f"array_to_string(lines[p * {corpus.PAGE_LINES} + 1 : p * {corpus.PAGE_LINES} + {corpus.PAGE_LINES}], "
@@ -760,6 +808,53 @@ def error_capture(spark, sf_dir):
     return logged.join(stored, "key", "left")
 
 
+@query(
+    "unreadable_objects",
+    f"WITH {S._J}, {S._Q}, o AS (SELECT key_year AS year, CASE WHEN key_year % 5 IN (1, 3) "
+    f"THEN '{V.ERROR}' WHEN quality_score < {V.MIN_QUALITY} THEN '{V.LOW_QUALITY}' "
+    f"ELSE '{V.DONE}' END AS status, CASE key_year % 5 WHEN 1 THEN '{LOST}' "
+    "WHEN 3 THEN 'object has # of # bytes' END AS error_msg FROM q) "
+    "SELECT year, status, error_msg, count(*) AS n FROM o GROUP BY ALL",
+)
+def unreadable_objects(spark, sf_dir):
+    """Objects that vanish or shrink between listing and load are logged, all others loaded.
+
+    Names of objects are not told by the tables, so copies are shown with what they are copies of.
+    """
+    root = fresh_folder(spark, "tree")
+    _object_tree(corpus.raw_judgments(spark, sf_dir), root)
+    listed = stage(keys.list_objects(spark, root), "listing")
+    for year in keys.parse_years("1950-2025"):
+        if year % 5 == 1:
+            remove(spark, f"{root}/{V.KEY_ROOT}year={year}")
+    shrunk = F.when(F.col("year") % 5 == 3, 7).otherwise(0)
+    listed = listed.withColumn("length", F.col("length") + shrunk)
+    outcome = ingest_objects(listed, root, f"{root}/store", "one")
+    status = F.when(F.col("status") == V.DUPLICATE, V.DONE).otherwise(F.col("status"))
+    return outcome.groupBy(
+        keys.key_year(F.col("key")).alias("year"), status.alias("status"),
+        F.regexp_replace("error_msg", "[0-9]+", "#").alias("error_msg"),
+    ).agg(F.count("*").alias("n"))
+
+
+@query(
+    "load_into_a_store",
+    f"WITH {S._J}, {S._Q}, old AS (SELECT content_hash FROM q WHERE key_year % 10 > 0 "
+    f"AND quality_score >= {V.MIN_QUALITY}), new AS (SELECT * FROM q WHERE key_year % 10 = 0), "
+    f"w AS (SELECT min(key) AS key FROM new WHERE quality_score >= {V.MIN_QUALITY} "
+    "AND content_hash NOT IN (SELECT content_hash FROM old) GROUP BY content_hash) "
+    f"SELECT key, CASE WHEN quality_score < {V.MIN_QUALITY} THEN '{V.LOW_QUALITY}' "
+    f"WHEN key IN (SELECT key FROM w) THEN '{V.DONE}' ELSE '{V.DUPLICATE}' END AS status FROM new",
+)
+def load_into_a_store(spark, sf_dir):
+    """A smaller load after a larger one: it reads the folders of its own hashes and keys."""
+    root = fresh_folder(spark, "store")
+    documents, late = texts(spark, sf_dir), F.col("key_year") % 10 == 0
+    ingest(documents.filter(~late).select("key", "full_text"), root, "one")
+    outcome = ingest(documents.filter(late).select("key", "full_text"), root, "two")
+    return outcome.select("key", "status")
+
+
 @query(
     "run_totals",
     f"WITH {S._J}, {S._Q}, w AS ({_FIRST_RUN}), o AS (SELECT {_STATUS} AS status FROM q), "

@@ -84,14 +84,8 @@ OUTCOME = T.StructType(
 )
 
 # Compact copies that a load reads instead of the growing tables: what is stored, by hash, and
-# the newest state of each key. ``run`` names what a row came with.
-HASHES = T.StructType(
-    [
-        T.StructField("content_hash", T.StringType()),
-        T.StructField("level", T.IntegerType()),
-        T.StructField("run", T.StringType()),
-    ]
-)
+# the newest state of each key.
+HASHES = T.StructType([T.StructField("digest", T.BinaryType())])
 STATES = T.StructType(
     [
         T.StructField("key", T.StringType()),
@@ -101,7 +95,5 @@ STATES = T.StructType(
         T.StructField("processed_at", T.TimestampType()),
         T.StructField("first_at", T.TimestampType()),
         T.StructField("batch_id", T.StringType()),
-        T.StructField("level", T.IntegerType()),
-        T.StructField("run", T.StringType()),
     ]
 )

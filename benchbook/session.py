@@ -40,7 +40,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):  # local-cluster is a cluster
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix="benchbook-")
     spark.conf.set("spark.checkpoint.dir", folder)
@@ -72,6 +73,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path or pattern names anything."""
+    files, place = _file_system(spark, pattern)
+    return bool(files.globStatus(place))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of intermediate data, wherever the cluster keeps it."""
     files, place = _file_system(spark, path)

@@ -1,8 +1,8 @@
 """Object-key listings: pruned by year and language, filtered, limited, sampled.
 
-A listing is any DataFrame with a ``key`` column. Very large stores should be listed from an
-inventory table (``keys_of``); ``list_objects`` walks a folder tree and is meant for a year or
-a load at a time, since a file index is held by the driver.
+A listing is any DataFrame with a ``key`` column. ``list_objects`` walks a folder tree and is meant
+for a year or a load at a time, since a file index is held by the driver; ``refresh_inventory``
+keeps what it found, year by year, as a table that all of a very large store is listed from.
 """
 
 from __future__ import annotations
@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from benchbook.functions import fixed_values as V
+from benchbook.session import exists, matches, remove, stage
+
+INVENTORY = "key string, length long, modified timestamp, year int"
 
 
 def key_year(key: Column) -> Column:
@@ -27,17 +30,85 @@ def is_pdf(key: Column) -> Column:
     return F.lower(key).endswith(".pdf")
 
 
+def key_of(path: Column | str, prefix: str = V.KEY_ROOT) -> Column:
+    """Key in the path of a file: the part from ``prefix`` on."""
+    path = F.col(path) if isinstance(path, str) else path
+    return F.concat(F.lit(prefix), F.element_at(F.split(path, prefix, 2), -1))
+
+
 def list_objects(
     spark: SparkSession, root: str, years: list[int] | None = None, language: str | None = None
 ) -> DataFrame:
-    """Keys below ``root`` (the part from ``data/``) and their year, without reading content."""
+    """``key, year, length, modified`` of the objects below ``root`` (its part from ``data/``).
+
+    Contents are not read. Of the asked years only their own folders are listed, those that do
+    not exist being left out; without ``years`` all are.
+    """
+    columns = "key string, year int, length long, modified timestamp"
+    top, language = f"{root}/{V.KEY_ROOT}", language or "*"
+    if years is None:
+        asked = [f"{top}year=*/{language}"]
+    else:
+        there = [y for y in sorted(set(years)) if exists(spark, f"{top}year={y}")]
+        asked = [f"{top}year={y}/{language}" for y in there]
+    listed = [path for path in asked if matches(spark, path)]
+    if not listed:
+        return spark.createDataFrame([], columns)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "false")
-    reader = reader.option("basePath", f"{root}/{V.KEY_ROOT}")
-    files = reader.load(f"{root}/{V.KEY_ROOT}year=*/{language or '*'}")
+    files = reader.option("basePath", top).load(listed)
     if years is not None:
         files = files.filter(F.col("year").isin(*years))
-    key = F.concat(F.lit(V.KEY_ROOT), F.element_at(F.split("path", V.KEY_ROOT, 2), -1))
-    return files.select(key.alias("key"), F.col("year").cast("int").alias("year"))
+    return files.select(
+        key_of("path").alias("key"), F.col("year").cast("int").alias("year"), "length",
+        F.col("modificationTime").alias("modified"),
+    )
+
+
+def inventory(spark: SparkSession, root: str) -> DataFrame:
+    """The listing that ``refresh_inventory`` keeps, partitioned by year."""
+    path = f"{root}/inventory"
+    if not exists(spark, path):
+        return spark.createDataFrame([], INVENTORY)
+    return spark.read.schema(INVENTORY).parquet(path)
+
+
+def refresh_inventory(spark: SparkSession, listing: DataFrame, root: str, years: list[int]) -> DataFrame:
+    """Bring the inventory of some years up to date; returns ``key, year, change``.
+
+    ``listing`` is fresh for these years (``list_objects``). Changes are ``added``, ``changed``
+    (another length or a later time) and ``gone``; what did not change is not returned, so a load
+    need only look at the returned keys. Both sides are cut to the years first, where the
+    inventory's other folders are pruned, and only those years' folders are written anew, each as
+    one step that a broken refresh repeats. The changes are settled before the folders are.
+    """
+    asked = F.col("year").isin(*sorted(set(years)))
+    fresh = listing.filter(asked).select("key", "year", "length", "modified").dropDuplicates(["key"])
+    known = inventory(spark, root).filter(asked)
+    old = known.select(
+        "key", F.col("year").alias("_year"), F.col("length").alias("_length"),
+        F.col("modified").alias("_modified"),
+    )
+    differs = (F.col("length") != F.col("_length")) | (F.col("modified") > F.col("_modified"))
+    change = (
+        F.when(F.col("_year").isNull(), "added").when(F.col("year").isNull(), "gone")
+        .when(differs, "changed")
+    )
+    compared = stage(
+        fresh.join(old, "key", "full_outer").select(
+            "key", F.coalesce("year", "_year").alias("year"), "length", "modified",
+            change.alias("change"),
+        ),
+        "inventory",
+    )
+    there = compared.filter(F.col("modified").isNotNull()).select("key", "length", "modified", "year")
+    left = {r["year"] for r in there.select("year").distinct().collect()}
+    for year in set(years) - left:  # none of its objects is left, so no row replaces its folder
+        remove(spark, f"{root}/inventory/year={year}")
+    placed = there.repartitionByRange("year", "key").sortWithinPartitions("year", "key")
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "year"
+    ).parquet(f"{root}/inventory")
+    return compared.filter(F.col("change").isNotNull()).select("key", "year", "change")
 
 
 def parse_years(years: str | None = None, year: int | None = None) -> list[int]:

@@ -6,10 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benchbook import schema
+from benchbook.functions import fixed_values as V
+from benchbook.functions.normalize import clean_text
+from benchbook.session import exists
+from benchbook.sources.keys import key_of
 
 
 def read_objects(spark: SparkSession, path: str, glob: str = "*.[pP][dD][fF]") -> DataFrame:
-    """Objects below ``path`` as ``path, length, content``; corrupt files raise."""
+    """Objects below ``path`` as ``path, length, content``; corrupt files raise.
+
+    ``readable_objects`` goes on past them.
+    """
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
@@ -19,6 +26,49 @@ def read_objects(spark: SparkSession, path: str, glob: str = "*.[pP][dD][fF]") -
     )
 
 
+def readable_objects(
+    spark: SparkSession, root: str, listing: DataFrame, prefix: str = V.KEY_ROOT
+) -> DataFrame:
+    """``key, year, content, error_msg`` of the listed objects below ``root`` that are there.
+
+    Nothing raises: an object that vanished or cannot be read gives no row, and the load that was
+    handed the listing logs it as lost. One of another length than the listing's (where that has
+    a ``length``) gives a row without content that says so. Year folders that nobody listed
+    are not looked at; contents stay in the tasks that read them unless the listing is too large
+    to be broadcast. One year folder each comes to the driver.
+    """
+    years = sorted(r["year"] for r in listing.select("year").distinct().collect() if r["year"])
+    folders = [f"{root}/{prefix}year={y}" for y in years if exists(spark, f"{root}/{prefix}year={y}")]
+    columns = "path string, modificationTime timestamp, length long, content binary"
+    if not folders:
+        found = spark.createDataFrame([], columns)
+    else:
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        reader = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
+        found = reader.load(folders)
+    found = found.select(key_of("path", prefix).alias("key"), "content")
+    expected = ["length"] if "length" in listing.columns else []
+    both = found.join(listing.select("key", "year", *expected).distinct(), "key")
+    if not expected:
+        return both.withColumn("error_msg", F.lit(None).cast("string"))
+    size = F.octet_length("content")
+    short = F.when(
+        size != F.col("length"), F.format_string("object has %d of %d bytes", size, F.col("length"))
+    )
+    marked = both.withColumn("error_msg", short)
+    return marked.withColumn("content", F.when(F.col("error_msg").isNull(), F.col("content"))).drop("length")
+
+
+def object_texts(objects: DataFrame) -> DataFrame:
+    """``key, full_text, error_msg`` of objects that hold UTF-8 text: cleaned, or why there is none."""
+    valid = F.is_valid_utf8(F.col("content").cast("string"))
+    text = clean_text(F.when(valid, F.col("content").cast("string")))
+    broken = F.when(F.col("content").isNotNull() & ~valid, F.lit("object is not UTF-8 text"))
+    return objects.select(
+        "key", text.alias("full_text"), F.coalesce("error_msg", broken).alias("error_msg")
+    )
+
+
 def mirror_raw(objects: DataFrame, root: str, batch_id: str) -> str:
     """Copy ``key, year, content`` under ``root``; returns the path of this load's copy.
 

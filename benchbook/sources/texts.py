@@ -20,3 +20,16 @@ def read_texts(
     stated = partitions or int(spark.conf.get(PARTS_SETTING, "0"))
     df = spark.read.parquet(path)
     return df.repartition(stated, key) if stated else df
+
+
+def spread(rows: DataFrame, parts: int | None = None) -> DataFrame:
+    """Rows that are read in fewer than ``parts`` splits, dealt to so many; others as they are.
+
+    ``parts`` defaults to ``PARTS_SETTING`` or, unset, to the number of tasks that run at once.
+    The rows must come straight from files: their splits are counted, not computed.
+    """
+    spark = rows.sparkSession
+    stated = parts or int(spark.conf.get(PARTS_SETTING, "0"))
+    wanted = stated or spark.sparkContext.defaultParallelism
+    splits = rows._jdf.queryExecution().toRdd().getNumPartitions()
+    return rows.repartition(wanted) if splits < wanted else rows

@@ -10,13 +10,25 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from benchbook.plans.ingest import ingest
+from benchbook.sources.texts import spread
 
 
 def read_documents(
-    spark: SparkSession, path: str, schema: T.StructType, max_files: int = 1000
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    max_files: int = 1000,
+    max_bytes: int | None = None,
 ) -> DataFrame:
-    """Stream over parquet files below ``path``, ``max_files`` per micro-batch."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
+    """Stream over parquet files below ``path``, in bounded micro-batches.
+
+    With ``max_bytes`` a micro-batch takes whole files up to so many bytes (one file at least),
+    which bounds a load however large or small files are; else ``max_files`` of them.
+    """
+    reader = spark.readStream.schema(schema)
+    if max_bytes:
+        return reader.option("maxBytesPerTrigger", max_bytes).parquet(path)
+    return reader.option("maxFilesPerTrigger", max_files).parquet(path)
 
 
 def stream_ingest(
@@ -24,6 +36,7 @@ def stream_ingest(
     prepare: Callable[[DataFrame], DataFrame],
     root: str,
     checkpoint: str,
+    parts: int | None = None,
     **options: object,
 ) -> StreamingQuery:
     """Load everything available, then stop; start again to go on where it ended.
@@ -33,11 +46,15 @@ def stream_ingest(
     and one bad document is a row in the log. Loads are named after the checkpoint and the
     micro-batch: a micro-batch that is replayed replaces itself, a new checkpoint reads all
     files again and the log decides what is skipped.
+
+    A micro-batch of fewer splits than ``parts`` (default: as many as tasks run at once) is dealt
+    to so many before its texts are cleaned; one large row group is then work for all cores. One
+    of more splits is taken as it lies.
     """
     run = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
     def load(batch: DataFrame, epoch: int) -> None:
-        ingest(prepare(batch), root, f"{run}-{epoch:08d}", **options)
+        ingest(prepare(spread(batch, parts)), root, f"{run}-{epoch:08d}", **options)
 
     return (
         stream.writeStream.foreachBatch(load)

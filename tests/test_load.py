@@ -9,9 +9,10 @@ from pyspark.sql.readwriter import DataFrameWriter
 
 from benchbook.operators import crosscheck, log, record, store
 from benchbook.operators.record import extract_record
-from benchbook.plans.ingest import ingest, ingest_pages
+from benchbook.plans.ingest import LOST, ingest, ingest_objects, ingest_pages
 from benchbook.session import folders_in, remove
 from benchbook.sources import keys, objects
+from benchbook.sources.texts import spread
 from benchbook.streaming.ingest import read_documents, stream_ingest
 
 LEGAL = (
@@ -190,11 +191,98 @@ def test_a_load_reads_a_bounded_number_of_runs(spark, tmp_path):
     plans = _plans(spark, lambda: ingest(documents(spark, [3, 40], 1), root, "30"))
     assert not [p for p in plans if "ingest_log" in p or "judgments" in p]
     assert counts(store.load_outcome(spark, root, "30")) == {"skipped": 1, "duplicate": 1}
-    states = log.merged_state(store.read_runs(spark, root, "states", ""))
+    states = log.merged_state(store.read_runs(spark, root, "states"))
     state = log.latest_state(store.read_table(spark, root, "ingest_log"))
     assert counts(states) == counts(state) == {"done": 9, "duplicate": 19, "low_quality": 3}
 
 
+def _bytes_read(df):
+    return sum(Path(p.removeprefix("file:" + "//" * p.startswith("file://"))).stat().st_size for p in df.inputFiles())
+
+
+def test_a_load_reads_what_it_asks_for(spark, tmp_path, monkeypatch):
+    """Ten times the store: a load of the same size reads no more of hashes and states."""
+    monkeypatch.setattr(store, "FOLDER_ROWS", 64)
+    asked = spark.range(30).select(F.sha2(F.col("id").cast("string"), 256).alias("content_hash"))
+    keys_asked = spark.range(30).select(F.format_string("k%d", "id").alias("key"))
+    read = {}
+    for size in (8_000, 80_000):
+        root = str(tmp_path / str(size))
+        rows = spark.range(size).select(
+            F.sha2(F.col("id").cast("string"), 256).alias("content_hash"),
+            F.format_string("k%d", "id").alias("key"), F.lit("s3").alias("source"),
+            F.lit("done").alias("status"), F.lit(None).cast("string").alias("error_msg"),
+            F.timestamp_seconds("id").alias("processed_at"),
+        )
+        states = log.merged_state(rows)
+        store.write_run(rows.select("content_hash"), root, "hashes", 1, "old", size)
+        store.write_run(states, root, "states", 1, "old", size)
+        hashes = store.read_runs(spark, root, "hashes", "new", asked)
+        known = store.read_runs(spark, root, "states", "new", keys_asked)
+        assert hashes.join(asked, "content_hash", "left_semi").count() == 30
+        assert known.join(keys_asked, "key", "left_semi").count() == 30
+        assert hashes.count() < 30 * 4 * 64 and known.count() < 30 * 4 * 64
+        read[size] = _bytes_read(hashes), _bytes_read(known)
+        everything = store.read_runs(spark, root, "hashes"), store.read_runs(spark, root, "states")
+        assert [df.count() for df in everything] == [size, size]
+        total = [_bytes_read(df) for df in everything]
+    assert all(b < 1.6 * a for a, b in zip(read[8_000], read[80_000]))
+    assert all(b < t / 8 for b, t in zip(read[80_000], total))
+    assert store.read_runs(spark, root, "hashes", "old").count() == 0
+
+
+def test_runs_in_folders_give_the_same_loads(spark, tmp_path, monkeypatch):
+    """Folders of three rows, several loads, merged runs: outcomes are those of one folder."""
+    outcomes = {}
+    for rows in (3, 10**6):
+        monkeypatch.setattr(store, "FOLDER_ROWS", rows)
+        monkeypatch.setattr(store, "FAN", 3)
+        root = str(tmp_path / str(rows))
+        loads = [range(0, 25), range(20, 60), [], range(3, 70), [None], range(5, 9), range(80, 99)]
+        for n, numbers in enumerate(loads):
+            made = documents(spark, [i for i in numbers if i is not None] or [0], 2)
+            made = made.limit(0) if not numbers else made
+            if numbers == [None]:
+                made = spark.createDataFrame([(None, "x"), ("k", None)], made.schema)
+            outcomes.setdefault(n, []).append(sorted(map(str, ingest(made, root, f"l{n}").collect())))
+        bits = {b for _, b in store.runs_of(spark, root, "states")}
+        assert bits == {0} if rows > 3 else max(bits) > 2
+        hashes = store.read_runs(spark, root, "hashes").collect()
+        assert sorted(r[0] for r in hashes) == sorted(r.content_hash for r in stored(spark, root).collect())
+        state = log.latest_state(store.read_table(spark, root, "ingest_log"))
+        assert counts(log.merged_state(store.read_runs(spark, root, "states"))) == counts(state)
+    assert all(a == b for a, b in outcomes.values())
+
+
+def test_a_broken_run_is_not_read(spark, tmp_path):
+    root = str(tmp_path)
+    ingest(documents(spark, range(9)), root, "one")
+    (path, _), = store.runs_of(spark, root, "hashes")
+    remove(spark, f"{path}/_SUCCESS")
+    assert store.read_runs(spark, root, "hashes").count() == 0
+
+
+def test_lookup_by_key_before_compaction(spark, tmp_path):
+    """Loads whose keys span the asked one are told by Bloom filters not to be decoded."""
+    root = str(tmp_path)
+    for n in range(3):
+        rows = extract_record(documents(spark, range(n, 3000, 3), 1))
+        store.append_judgments(rows.withColumn("source_url", F.lit("")), root, f"l{n}")
+    key = "data/pdf/year=1967/english/01337.pdf"
+    found = crosscheck.lookup_by_key(stored(spark, root), key)
+    assert [r.pdf_s3_key for r in found.collect()] == [key]
+
+    def scanned(df):
+        df.collect()
+        node = df._jdf.queryExecution().executedPlan()
+        while node.children().size():
+            node = node.children().head()
+        return node.metrics().apply("numOutputRows").value()
+
+    assert scanned(found) == 1000  # the one load that has it
+    assert scanned(crosscheck.lookup_by_key(stored(spark, root), key + "x")) == 0
+
+
 def test_compaction_keeps_rows(spark, tmp_path):
     root = str(tmp_path)
     ingest(documents(spark, range(30)), root, "one")
@@ -259,6 +347,114 @@ def test_stream_equals_batch(spark, tmp_path):
     assert store.read_table(spark, root, "ingest_log").count() == 40 + (40 - len(hashes))
 
 
+def test_one_row_group_is_work_for_all_cores(spark, tmp_path):
+    source, root = str(tmp_path / "in"), str(tmp_path / "store")
+    documents(spark, range(30), 1).write.parquet(source)
+    stream = read_documents(spark, source, spark.read.parquet(source).schema, max_bytes=10**9)
+    parts = []
+
+    def prepare(batch):
+        parts.append(batch._jdf.queryExecution().toRdd().getNumPartitions())
+        return batch
+
+    stream_ingest(stream, prepare, root, str(tmp_path / "c"), parts=3).awaitTermination()
+    stream_ingest(stream, prepare, root, str(tmp_path / "d")).awaitTermination()
+    assert parts == [3, spark.sparkContext.defaultParallelism]
+    assert stored(spark, root).count() == 9
+    many = spark.read.parquet(source).repartition(7)
+    assert spread(many, 3) is many
+
+
+def test_micro_batches_are_bounded_by_bytes(spark, tmp_path):
+    source = str(tmp_path / "in")
+    for start in range(0, 40, 10):
+        documents(spark, range(start, start + 10), 1).write.mode("append").parquet(source)
+    files = sorted(p.stat().st_size for p in Path(source).glob("part-*.parquet"))
+    schema = spark.read.parquet(source).schema
+    stream = read_documents(spark, source, schema, max_bytes=files[-1] + files[-2])
+    stream_ingest(stream, lambda b: b, str(tmp_path / "s"), str(tmp_path / "c")).awaitTermination()
+    loads = store.read_table(spark, str(tmp_path / "s"), "ingest_log").groupBy("batch_id").count()
+    assert [r["count"] for r in loads.collect()] == [20, 20]
+
+
+def _tree(root, numbers):
+    """Objects of ``documents`` as files; returns their paths by number."""
+    made = {}
+    for n in numbers:
+        path = root / f"data/pdf/year={1950 + n % 4}/english/{n:05d}.pdf"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(f"Ram {n}\nv.\nShyam {n}\n" + LEGAL * 5)
+        made[n] = path
+    return made
+
+
+def test_objects_that_cannot_be_read(spark, tmp_path):
+    source, root = tmp_path / "objects", str(tmp_path / "store")
+    files = _tree(source, range(16))
+    files[3].write_bytes(b"\xff\xfe" + b"judgment " * 60)
+    listing = spark.createDataFrame(
+        keys.list_objects(spark, str(source)).collect(), "key string, year int, length long, modified timestamp"
+    )
+    files[0].unlink()
+    files[1].write_bytes(files[1].read_bytes()[:100])
+    for n in (2, 6, 10, 14):
+        files[n].unlink()
+    files[2].parent.rmdir()  # a year folder is gone as a whole
+    outcome = ingest_objects(listing, str(source), root, "one")
+    errors = {int(r.key[-9:-4]): r.error_msg for r in outcome.filter("status = 'error'").collect()}
+    lost = dict.fromkeys((0, 2, 6, 10, 14), LOST)
+    size = files[4].stat().st_size
+    assert errors == lost | {1: f"object has 100 of {size} bytes", 3: "object is not UTF-8 text"}
+    assert counts(outcome) == {"done": 9, "error": 7}
+    # what was lost is tried again and, once it is back, loaded
+    _tree(source, range(16))
+    again = ingest_objects(listing.drop("length"), str(source), root, "two")
+    assert counts(again) == {"done": 7, "skipped": 9}
+    none = ingest_objects(listing.limit(0), str(source), root, "three")
+    assert none.count() == 0
+    gone = ingest_objects(listing, str(tmp_path / "nowhere"), str(tmp_path / "other"), "one")
+    assert counts(gone) == {"error": 16}
+
+
+def test_inventory(spark, tmp_path):
+    source, root = tmp_path / "objects", str(tmp_path / "store")
+    files = _tree(source, range(12))
+    years = [1950, 1951, 1952, 1953]
+
+    def refresh(asked):
+        fresh = keys.list_objects(spark, str(source), asked)
+        changes = keys.refresh_inventory(spark, fresh, root, asked).collect()
+        return {(int(r.key[-9:-4]), r.change) for r in changes}
+
+    assert refresh(years) == {(n, "added") for n in range(12)}
+    assert refresh(years) == set()
+    files[0].unlink()
+    files[1].write_text("longer " + files[1].read_text())
+    for n in (3, 7, 11):
+        files[n].unlink()
+    _tree(source, [12, 13])
+    # only the asked years are listed, compared and written
+    assert refresh([1950]) == {(0, "gone"), (12, "added")}
+    assert refresh([1951, 1953]) == {(1, "changed"), (13, "added"), (3, "gone"), (7, "gone"), (11, "gone")}
+    known = keys.inventory(spark, root)
+    assert sorted(int(r.key[-9:-4]) for r in known.collect()) == [1, 2, 4, 5, 6, 8, 9, 10, 12, 13]
+    pruned = keys.keys_in_years(known, [1952])
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "(year" in plan
+    assert {p.split("/year=")[1][:4] for p in known.filter("year = 1952").inputFiles()} >= {"1952"}
+    assert refresh([2024]) == set()
+
+
+def test_only_asked_years_are_listed(spark, tmp_path):
+    files = _tree(tmp_path, range(12))
+    listed = keys.list_objects(spark, str(tmp_path), [1951, 1953, 1951, 2040], "english")
+    assert sorted(int(r.key[-9:-4]) for r in listed.collect()) == [1, 3, 5, 7, 9, 11]
+    assert {r.length for r in listed.collect()} == {p.stat().st_size for p in files.values() if "1951" in str(p) or "1953" in str(p)}
+    assert all("year=1951" in p or "year=1953" in p for p in listed.inputFiles())
+    assert keys.list_objects(spark, str(tmp_path), [2040]).count() == 0
+    assert keys.list_objects(spark, str(tmp_path), [1951], "hindi").count() == 0
+
+
 def test_init_store_keeps_rows(spark, tmp_path):
     root = str(tmp_path)
     store.init_store(spark, root)
