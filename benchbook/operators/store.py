@@ -33,6 +33,7 @@ _TABLES = {
     "ingest_log": (schema.INGEST_LOG, ["batch_id"]),
     "outcome": (schema.OUTCOME, ["batch_id"]),
     "mirror": (schema.MIRROR, ["batch_id", "year"]),
+    "recognised": (schema.RECOGNISED, ["batch_id"]),
 }
 #: Runs of one level that are merged into one of the next.
 FAN = 8
@@ -122,6 +123,20 @@ def append_log(entries: DataFrame, root: str, batch_id: str) -> None:
     )
 
 
+def current_judgments(stored: DataFrame) -> DataFrame:
+    """Stored rows without those that a later load superseded: the newest version of each key.
+
+    Newest by time, then by load, then the smallest hash. Only keys, times and names are compared,
+    in every task before the shuffle; texts are read where they lie.
+    """
+    version = ("loaded_at", "batch_id", "content_hash")
+    newest = F.max(F.struct("loaded_at", "batch_id")).alias("newest")
+    last = stored.groupBy("pdf_s3_key").agg(newest).select("pdf_s3_key", "newest.*")
+    same = stored.select("pdf_s3_key", *version).join(last, ["pdf_s3_key", *version[:2]], "left_semi")
+    one = same.groupBy("pdf_s3_key", *version[:2]).agg(F.min("content_hash").alias("content_hash"))
+    return stored.join(one, ["pdf_s3_key", *version], "left_semi")
+
+
 # ---- compact copies ----------------------------------------------------------------------
 
 

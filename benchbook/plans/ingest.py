@@ -14,7 +14,7 @@ from benchbook.operators import dedup, log, store
 from benchbook.operators.record import with_metadata, with_provenance, with_quality
 from benchbook.session import fresh_folder, remove, stage
 from benchbook.sources.objects import mirror_raw, object_texts, readable_objects
-from benchbook.sources.pages import assemble_pages
+from benchbook.sources.pages import assemble_pages, keys_to_read_again, with_recognised
 
 SKIPPED = "skipped"
 #: Message of a key that was listed, but whose object gave no row.
@@ -48,6 +48,34 @@ def ingest_objects(
     return load(found, object_texts, root, batch_id, listed=listing, **options)
 
 
+def ingest_recognised(
+    recognised: DataFrame, pages: DataFrame, root: str, batch_id: str, **options: object
+) -> DataFrame:
+    """Load documents anew whose scanned pages have been recognised since they were loaded.
+
+    ``recognised`` has ``key, page_no, page_text`` and, if known, ``recognised_at``; ``pages`` are
+    the pages as they were read. What was recognised is kept in the store, so that a page
+    recognised now and one recognised by an earlier load both enter the text, each in its newest
+    form. Only documents with such pages are put together, whatever their status. A text that
+    differs is stored beside the old version, which ``store.current_judgments`` leaves out; one
+    that does not is a duplicate.
+    """
+    spark = pages.sparkSession
+    store.init_store(spark, root)
+    if store.is_finished(spark, root, batch_id):
+        return store.load_outcome(spark, root, batch_id)
+    if "recognised_at" not in recognised.columns:
+        recognised = recognised.withColumn("recognised_at", F.lit(datetime.now(timezone.utc)))
+    new = stage(
+        recognised.select("key", "page_no", "page_text", "recognised_at"),
+        path=f"{root}/recognised/batch_id={batch_id}",
+    )
+    again = stage(keys_to_read_again(pages, new), "again")
+    known = store.read_table(spark, root, "recognised").join(again, "key", "left_semi")
+    merged = with_recognised(pages.join(again, "key", "left_semi"), known)
+    return load(merged, assemble_pages, root, batch_id, skip=(), **options)
+
+
 def load(
     rows: DataFrame,
     prepare: Callable[[DataFrame], DataFrame],

@@ -17,7 +17,9 @@ from benchbook.functions.regex import collapse, folded
 from benchbook.operators import coverage, crosscheck, dedup, log, record, store
 from benchbook.plans import check_sql as S
 from benchbook.plans import corpus
-from benchbook.plans.ingest import LOST, ingest, ingest_objects, ingest_pages
+from benchbook.plans.ingest import (
+    LOST, ingest, ingest_objects, ingest_pages, ingest_recognised,
+)
 from benchbook.session import fresh_folder, once_per_session, remove, stage
 from benchbook.sources import keys, objects, pages
 from benchbook.sources.texts import spread
@@ -891,6 +893,43 @@ def ingest_from_pages(spark, sf_dir):
     return store.read_table(spark, root, "judgments").select("content_hash")
 
 
+_RECOGNISED = (
+    "concat('  Recognised page ', page_no, ' of ', key, ': the appeal of the petitioner is held good. ')"
+)
+
+
+@query(
+    "recognised_pages",
+    f"WITH {_PAGES}, u AS (SELECT key, unnest(texts) AS text, unnest(range(1, len(texts) + 1)) AS page_no "
+    f"FROM pages), s AS (SELECT *, length(text) < {V.SCANNED_PAGE_CHARS} AND page_no % 3 > 0 AS taken "
+    "FROM u), j AS (SELECT key, "
+    f"CAST(regexp_extract(key, 'year=([0-9]+)', 1) AS INTEGER) AS key_year, "
+    + S.clean(
+        f"string_agg(CASE WHEN taken THEN {_RECOGNISED} ELSE text END, {corpus.NL} ORDER BY page_no)"
+    )
+    + f" AS t FROM s GROUP BY key HAVING bool_or(taken)), {S._Q}, "
+    f"w AS (SELECT min(key) AS key FROM q WHERE quality_score >= {V.MIN_QUALITY} GROUP BY content_hash) "
+    f"SELECT key, CASE WHEN quality_score < {V.MIN_QUALITY} THEN '{V.LOW_QUALITY}' "
+    f"WHEN key IN (SELECT key FROM w) THEN '{V.DONE}' ELSE '{V.DUPLICATE}' END AS status, "
+    f"CASE WHEN quality_score >= {V.MIN_QUALITY} AND key IN (SELECT key FROM w) THEN content_hash END "
+    "AS content_hash FROM q",
+)
+def recognised_pages(spark, sf_dir):
+    """Two thirds of the scanned pages are recognised after the load: new versions of their texts."""
+    root = fresh_folder(spark, "store")
+    found = corpus.pages(spark, sf_dir)
+    ingest_pages(found, root, "one")
+    new = pages.scanned_pages(found).filter("page_no % 3 > 0").select(
+        "key", "page_no", F.expr(_RECOGNISED).alias("page_text")
+    )
+    outcome = ingest_recognised(new, found, root, "two")
+    current = store.current_judgments(store.read_table(spark, root, "judgments"))
+    hashes = current.filter("batch_id = 'two'").select(
+        F.col("pdf_s3_key").alias("key"), "content_hash"
+    )
+    return outcome.select("key", "status").join(hashes, "key", "left")
+
+
 # ---- the store read again ----------------------------------------------------------------
 
 

@@ -63,6 +63,15 @@ PAGES = T.StructType(
     ]
 )
 
+# Texts of pages that were recognised after their document was read, load by load.
+RECOGNISED = T.StructType(
+    [
+        *PAGES,
+        T.StructField("recognised_at", T.TimestampType()),
+        T.StructField("batch_id", T.StringType()),
+    ]
+)
+
 MIRROR = T.StructType(
     [
         T.StructField("key", T.StringType()),

@@ -7,9 +7,13 @@ from pathlib import Path
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
 
+from benchbook import schema
+from benchbook.functions.normalize import clean_text
 from benchbook.operators import crosscheck, log, record, store
 from benchbook.operators.record import extract_record
-from benchbook.plans.ingest import LOST, ingest, ingest_objects, ingest_pages
+from benchbook.plans.ingest import (
+    LOST, ingest, ingest_objects, ingest_pages, ingest_recognised,
+)
 from benchbook.session import folders_in, remove
 from benchbook.sources import keys, objects
 from benchbook.sources.texts import spread
@@ -125,6 +129,44 @@ def test_load_from_pages(spark, tmp_path):
     assert {r[0]: r[1] for r in mirror.collect()} == {"one": 12, "two": 4}
 
 
+def test_recognised_pages_replace_scanned_ones(spark, tmp_path):
+    root = str(tmp_path)
+    body = [f"Ram {n}\nv.\nShyam {n}\n" + LEGAL * 5 for n in range(4)]
+    rows = [(f"data/pdf/year=1950/english/{n}.pdf", p, t) for n in range(4)
+            for p, t in ((1, body[n]), (2, "short"), (3, " "))]
+    rows += [("nothing", 1, None), ("other", 1, "  " + body[0])]
+    pages_of = spark.createDataFrame(rows, schema.PAGES)
+    key = rows[0][0]
+    first = ingest_pages(pages_of, root, "one")
+    assert counts(first) == {"done": 5, "error": 1}
+
+    def recognised(*found):
+        kind = "key string, page_no int, page_text string, recognised_at string"
+        made = spark.createDataFrame([(*f, "2024-01-01") for f in found], kind)
+        return made.withColumn("recognised_at", F.col("recognised_at").cast("timestamp"))
+
+    # a page with a text of its own, an unknown one and a failed one change nothing
+    new = recognised((key, 1, "not taken"), ("who", 1, "x"), (rows[3][0], 2, None))
+    assert ingest_recognised(new, pages_of, root, "two").count() == 0
+    new = recognised((key, 2, "  found 2\n"), ("nothing", 1, body[1] + " more"))
+    assert counts(ingest_recognised(new, pages_of, root, "three")) == {"done": 2}
+    # a later page of the same document: the earlier one stays in the text; the newest wins
+    new = recognised((key, 3, "old"), (key, 3, "young")).withColumn(
+        "recognised_at", F.when(F.col("page_text") == "old", F.col("recognised_at")).otherwise(F.now())
+    )
+    assert counts(ingest_recognised(new, pages_of, root, "four")) == {"done": 1}
+    current = {r.pdf_s3_key: r for r in store.current_judgments(stored(spark, root)).collect()}
+    assert stored(spark, root).count() == 8 and len(current) == 6
+    assert current[key].batch_id == "four"
+    want = body[0].strip() + "\n" + "  found 2\n" + "\n" + "young"
+    found = spark.createDataFrame([(want,)], "t string").select(clean_text(F.col("t"))).first()[0]
+    assert current[key].full_text == found
+    assert current["nothing"].full_text.endswith("more")
+    again = ingest_recognised(new, pages_of, root, "five")  # nothing new in it
+    assert counts(again) == {"duplicate": 1}
+    assert store.current_judgments(stored(spark, root)).count() == 6
+
+
 def _texts_moved(plan):
     """Lines of the plan that exchange, sort or aggregate a text."""
     steps = ("Exchange", "Sort", "Aggregate")
