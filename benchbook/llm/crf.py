@@ -296,7 +296,8 @@ def fit_toxicity(
     chars: int = 16_000,
     clean_chains: int = 20_000,
 ) -> ToxicityModel:
-    """Fit on a bounded sample: ``per_class`` documents of either label, ``chars`` of each.
+    """Fit on a bounded sample: ``per_class`` documents of either label, ``chars`` of each, and of
+    their chains without a marked word at most ``clean_chains``, taken at even steps.
 
     Token labels come from the document labels (``seed_words``). Two thirds of the sample train
     the field, the rest calibrates document scores, weighted back to the share of each label.

@@ -120,8 +120,8 @@ class Packer:
     1. What a document has in whole windows of the longest tier is cut off as such.
     2. The rest is routed to the shortest tier that holds it.
     3. Longest tier first, each document opens a window of its tier; the gap is filled with the
-       longest waiting documents that fit, from any shorter tier or its own, and at last, if
-       ``smallest`` tokens or fewer stay open, with a cut from the longest one waiting.
+       longest waiting documents that fit, from any shorter tier or its own, and where none fits,
+       with a cut from the longest one waiting.
     4. Windows of one batch are dealt to step groups in turn, long ones first, in a snake, so that
        groups differ by less than one window.
 

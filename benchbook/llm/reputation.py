@@ -179,7 +179,10 @@ def judge_urls(
         outcomes.filter(F.col("bad").isin(0, 1) & F.col("page_id").isNotNull())
         .groupBy("page_id").agg(F.max("bad").alias("bad"))
     )
-    outcome = parts.select("page_id", "host").join(known, "page_id", "left")
+    named = parts.select("page_id", "host")
+    # pages without an id have no outcome: past the join, where they would all meet in one task
+    nameless = named.filter(F.col("page_id").isNull()).withColumn("bad", F.lit(None))
+    outcome = named.filter(F.col("page_id").isNotNull()).join(known, "page_id", "left").union(nameless)
     found = host_reputation(outcome, suffixes=suffixes).select("host", "n", "n_bad", "bad_bound")
     rule = rule_for(F.col("host"), F.col("path"), rules)
     verdicts = [F.when(F.col("rule") == text, verdict) for verdict, text in rules]
@@ -228,9 +231,9 @@ known AS (
   SELECT doc_id AS page_id, max(1 - quality) AS bad FROM labels
   WHERE quality IN (0, 1) AND doc_id IS NOT NULL GROUP BY doc_id),
 named AS (
-  SELECT host, count(*) AS n, sum(bad) AS bad,
+  SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad,
          regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS name
-  FROM parts JOIN known USING (page_id) GROUP BY host),
+  FROM parts LEFT JOIN known USING (page_id) GROUP BY host),
 hosts AS (
   SELECT host, n, bad,
     CASE WHEN regexp_matches(name, '^[0-9.]*$') THEN name

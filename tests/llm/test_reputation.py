@@ -125,8 +125,11 @@ def test_odd_tables(spark):
 
 
 def test_registered_with_blocked_hosts(spark, web, tmp_path):
-    """The check SQL also agrees where reputation blocks."""
+    """The check SQL also agrees where reputation blocks, and on hosts and pages without outcomes."""
     pages, outcomes = web
+    more = [(9001, "http://unlabelled.bad.com/"), (9002, "http://unlabelled.good.com/"),
+            (None, "http://unlabelled.bad.com/x"), (None, "http://h1.good.com/"), (None, None)]
+    pages = pages.union(pages.sparkSession.createDataFrame(more, pages.schema))
     pages.withColumn("html", F.lit("")).write.parquet(str(tmp_path / "pages.parquet"))
     labels = outcomes.select(F.col("page_id").alias("doc_id"), (1 - F.col("bad")).alias("quality"))
     labels.withColumn("toxic", F.lit(0)).write.parquet(str(tmp_path / "labels.parquet"))
@@ -138,6 +141,8 @@ def test_registered_with_blocked_hosts(spark, web, tmp_path):
     names = [c[0] for c in want.description]
     assert sorted(map(tuple, found.select(*names).collect()), key=str) == sorted(want.fetchall(), key=str)
     assert found.filter("verdict = 'block' AND rule IS NULL").count() > 500
+    new = {r["host"]: r["verdict"] for r in found.filter("host LIKE 'unlabelled%'").collect()}
+    assert new == {"unlabelled.bad.com": "block", "unlabelled.good.com": "allow"}
 
 
 def test_no_python_in_the_plan(web):
