@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from benchbook.functions import fixed_values as V
+from benchbook.schema import JUDGMENTS
+from benchbook.session import exists, folders_in
+from benchbook.sources.keys import key_year
 
 
 def is_empty(df: DataFrame, field: str) -> Column:
@@ -54,3 +57,34 @@ def field_coverage(records: DataFrame) -> DataFrame:
 def field_coverage_by_year(records: DataFrame, key_year: Column) -> DataFrame:
     """The same per year of the key."""
     return _with_percent(_empty_counts(records, key_year.alias("key_year")))
+
+
+def count_loads(spark: SparkSession, root: str) -> None:
+    """Count the empty fields of every finished load that has not been counted yet, by year.
+
+    A load's counts are a few rows in a folder of its own; a load's rows never change, so it is
+    counted once. Only the report fields are read, no text.
+    """
+    for folder in folders_in(spark, f"{root}/ingest_log"):
+        done = exists(spark, f"{root}/ingest_log/{folder}/_SUCCESS")
+        if not done or exists(spark, f"{root}/coverage/{folder}/_SUCCESS"):
+            continue
+        rows = spark.read.schema(JUDGMENTS).parquet(f"{root}/judgments/{folder}")
+        counts = _empty_counts(rows, key_year(F.col("pdf_s3_key")).alias("key_year"))
+        counts.coalesce(1).write.mode("overwrite").parquet(f"{root}/coverage/{folder}")
+
+
+def coverage_of_loads(spark: SparkSession, root: str) -> DataFrame:
+    """Coverage of all stored rows and, in the same pass, of each year (``key_year`` NULL: all).
+
+    The counts of the loads are added up, so the report reads neither judgments nor texts.
+    ``every_year`` marks the rows over all years, as a key without a year has none either.
+    """
+    count_loads(spark, root)
+    kind = "key_year int, total long, field string, empty long"
+    counts = spark.read.schema(kind).parquet(f"{root}/coverage/batch_id=*")
+    sums = [F.sum("empty").alias("empty"), F.sum("total").alias("total")]
+    found = counts.groupingSets([["field"], ["field", "key_year"]], "field", "key_year").agg(
+        *sums, (F.grouping("key_year") == 1).alias("every_year")
+    )
+    return _with_percent(found)

@@ -1091,6 +1091,54 @@ def cross_check_diff(spark, sf_dir):
     return found.select("key", _join("differing").alias("differing"))
 
 
+@query(
+    "changed_rows",
+    f"WITH {S.RECORDS} SELECT key, concat_ws(' | ', "
+    "CASE WHEN key_year = 1961 THEN 'year' END, "
+    "CASE WHEN key_year IN (1961, 1999) AND quality_score >= 0.5 THEN 'quality_score' END) AS differing "
+    "FROM rec WHERE key_year = 1961 OR key_year = 1999 AND quality_score >= 0.5",
+)
+def changed_rows(spark, sf_dir):
+    """Fresh results against a store in which two years are older; the rest is told by digests."""
+    records = stage(_records(spark, sf_dir).drop("full_text"), "records")
+    year = keys.key_year(F.col("pdf_s3_key"))
+    older = records.withColumns(
+        {
+            **{c: F.coalesce(c, F.lit("")) for c in ("title", "case_number", "judgment_date")},
+            "year": F.when(year == 1961, F.coalesce("year", F.lit(0)) + 1).otherwise(F.col("year")),
+            "quality_score": F.when(
+                year.isin(1961, 1999) & (F.col("quality_score") >= 0.5), F.lit(0.25)
+            ).otherwise(F.col("quality_score")),
+        }
+    )
+    found = crosscheck.changed_rows(records, older)
+    return found.select("key", _join("differing").alias("differing"))
+
+
+_GOOD = f"quality_score >= {V.MIN_QUALITY}"
+
+
+@query(
+    "coverage_of_loads",
+    f"WITH {S.RECORDS}, earlier AS (SELECT content_hash, min(key) AS key FROM q WHERE {_GOOD} "
+    f"AND key_year % 2 = 0 GROUP BY 1), later AS (SELECT content_hash, min(key) AS key FROM q "
+    f"WHERE {_GOOD} AND key_year % 2 = 1 AND content_hash NOT IN (SELECT content_hash FROM earlier) GROUP BY 1), "
+    "s AS (FROM earlier UNION ALL FROM later)" + _EMPTY_ROWS + ", "
+    "shown AS (SELECT field, key_year, is_empty FROM e JOIN s ON e.key = s.key) "
+    f"SELECT key_year, grouping(key_year) = 1 AS every_year, {_COVERAGE} FROM shown "
+    "GROUP BY GROUPING SETS ((field), (field, key_year))",
+)
+def coverage_of_loads(spark, sf_dir):
+    """Two loads, each counted once, and their report for every year and for all."""
+    root = fresh_folder(spark, "store")
+    documents = texts(spark, sf_dir)
+    for n in (0, 1):
+        part = documents.filter(F.col("key_year") % 2 == n).select("key", "full_text")
+        ingest(part, root, f"load{n}")
+        coverage.count_loads(spark, root)
+    return coverage.coverage_of_loads(spark, root)
+
+
 # ---- streaming -------------------------------------------------------------------------
 
 

@@ -9,7 +9,7 @@ from pyspark.sql.readwriter import DataFrameWriter
 
 from benchbook import schema
 from benchbook.functions.normalize import clean_text
-from benchbook.operators import crosscheck, log, record, store
+from benchbook.operators import coverage, crosscheck, log, record, store
 from benchbook.operators.record import extract_record
 from benchbook.plans.ingest import (
     LOST, ingest, ingest_objects, ingest_pages, ingest_recognised,
@@ -273,6 +273,42 @@ def test_a_load_reads_what_it_asks_for(spark, tmp_path, monkeypatch):
     assert store.read_runs(spark, root, "hashes", "old").count() == 0
 
 
+def test_report_over_loads_reads_no_text(spark, tmp_path):
+    root, kinds = str(tmp_path), []
+    for n in range(3):
+        rows = extract_record(documents(spark, range(3 * n, 3 * n + 3))).withColumn("source_url", F.lit(""))
+        store.append_judgments(rows, root, f"l{n}")
+        store.append_log(spark.createDataFrame([], schema.INGEST_LOG), root, f"l{n}")
+    kinds = _plans(spark, lambda: coverage.count_loads(spark, root))
+    assert len(kinds) == 3 and not [p for p in kinds if "full_text" in p]
+    assert _plans(spark, lambda: coverage.count_loads(spark, root)) == []  # each load once
+    report = coverage.coverage_of_loads(spark, root)
+    assert "judgments" not in report._jdf.queryExecution().executedPlan().toString()
+    found = {(r.field, r.key_year): (r.empty, r.total, r.weak) for r in report.collect()}
+    for year, want in ((None, coverage.field_coverage(stored(spark, root))),):
+        assert {r.field: (r.empty, r.total, r.weak) for r in want.collect()} == {
+            f: v for (f, y), v in found.items() if y is year
+        }
+    by_year = coverage.field_coverage_by_year(stored(spark, root), keys.key_year(F.col("pdf_s3_key")))
+    assert {(r.field, r.key_year): (r.empty, r.total, r.weak) for r in by_year.collect()} == {
+        k: v for k, v in found.items() if k[1] is not None
+    }
+
+
+def test_only_parts_that_changed_are_compared(spark):
+    records = extract_record(documents(spark, range(9)))
+    rows = store.storable(records.withColumn("source_url", F.lit(""))).withColumn("batch_id", F.lit("a"))
+    assert crosscheck.changed_rows(records, rows).collect() == []
+    other = rows.withColumn("year", F.when(F.col("title").startswith("Ram 4"), 1).otherwise(F.col("year")))
+    (found,) = crosscheck.changed_rows(records, other).collect()
+    assert found.key.endswith("00004.pdf") and found.differing == ["year"]
+    # a key on one side only, and an older version beside the newest, are no differences
+    less = rows.filter(~F.col("title").startswith("Ram 2"))
+    assert crosscheck.changed_rows(records, less).collect() == []
+    older = other.withColumn("loaded_at", F.col("loaded_at") - F.expr("interval 1 day"))
+    assert crosscheck.changed_rows(records, rows.unionByName(older)).collect() == []
+
+
 def test_runs_in_folders_give_the_same_loads(spark, tmp_path, monkeypatch):
     """Folders of three rows, several loads, merged runs: outcomes are those of one folder."""
     outcomes = {}
