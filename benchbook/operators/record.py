@@ -11,6 +11,11 @@ from benchbook.functions.regex import folded
 from benchbook.session import once_per_session
 
 
+#: Version of the rules that derive the fields. Raise it with a change of any of them: loads of an
+#: older version are then derived anew by ``store.reextract``.
+EXTRACTOR = 1
+
+
 def with_lower(df: DataFrame, text: str = "full_text") -> DataFrame:
     """Add the lower-cased text as a column, so that it is made once per text."""
     return df.withColumn("_lower", F.lower(F.col(text)))
@@ -95,16 +100,16 @@ def extract_record(df: DataFrame, text: str = "full_text", key: str = "key") ->
     )
 
 
-def reparse(stored: DataFrame) -> DataFrame:
+def reparse(stored: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Derive the record again from stored rows, without reading the source objects.
 
-    Hash and score are of the same text and stay as they are stored.
+    Hash and score are of the same text and stay as they are stored, like the columns ``keep``.
     """
     kept = stored.select(
-        "full_text", "content_hash", "quality_score", F.col("pdf_s3_key").alias("key")
+        "full_text", "content_hash", "quality_score", F.col("pdf_s3_key").alias("key"), *keep
     )
     full = with_metadata(kept).withColumnRenamed("key", "pdf_s3_key")
-    return full.select(*schema.RECORD.names)
+    return full.select(*schema.RECORD.names, *keep)
 
 
 def with_provenance(df: DataFrame, endpoint: str, bucket: str, key: str = "key") -> DataFrame:

@@ -26,7 +26,8 @@ from pyspark.sql.readwriter import DataFrameWriter
 
 from benchbook import schema
 from benchbook.operators import log
-from benchbook.session import exists, folders_in, remove
+from benchbook.operators.record import EXTRACTOR, reparse
+from benchbook.session import exists, folders_in, make_folder, remove
 
 _TABLES = {
     "judgments": (schema.JUDGMENTS, ["batch_id"]),
@@ -78,7 +79,8 @@ def stored_value(field: T.StructField) -> Column:
 def storable(records: DataFrame) -> DataFrame:
     fields = [f for f in schema.JUDGMENTS if f.name not in ("batch_id", "loaded_at")]
     columns = [stored_value(f).alias(f.name) for f in fields]
-    return records.select(*columns, F.current_timestamp().alias("loaded_at"))
+    loaded = F.col("loaded_at") if "loaded_at" in records.columns else F.current_timestamp()
+    return records.select(*columns, loaded.alias("loaded_at"))
 
 
 def append_judgments(records: DataFrame, root: str, batch_id: str) -> None:
@@ -105,16 +107,58 @@ def compact(spark: SparkSession, root: str, batch_id: str) -> None:
     The one step that moves stored texts, by ranges of keys, so no year is one task. A filter on
     a key or a range of keys then reads the row groups that may hold it.
     """
-    path, fresh = (f"{root}/{name}/batch_id={batch_id}" for name in ("judgments", "compacting"))
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.repartitionByRange("pdf_s3_key").sortWithinPartitions("pdf_s3_key")
+
+    _rewrite(spark, root, batch_id, "compacting", placed)
+
+
+def _rewrite(
+    spark: SparkSession,
+    root: str,
+    batch_id: str,
+    name: str,
+    change: Callable[[DataFrame], DataFrame],
+) -> None:
+    """Replace the judgments of a load by a changed form, written whole before it takes its place.
+
+    If that breaks, the next attempt goes on from the last finished step.
+    """
+    path, fresh = (f"{root}/{folder}/batch_id={batch_id}" for folder in ("judgments", name))
     rows = T.StructType([f for f in schema.JUDGMENTS if f.name != "batch_id"])
-    if not exists(spark, f"{fresh}/_SUCCESS"):  # else an earlier attempt got this far
-        found = spark.read.schema(rows).parquet(path)
-        placed = found.repartitionByRange("pdf_s3_key").sortWithinPartitions("pdf_s3_key")
-        placed.write.mode("overwrite").parquet(fresh)
+    if not exists(spark, f"{fresh}/_SUCCESS"):
+        change(spark.read.schema(rows).parquet(path)).write.mode("overwrite").parquet(fresh)
     _writer(spark.read.schema(rows).parquet(fresh)).parquet(path)
     remove(spark, fresh)
 
 
+def mark_extracted(spark: SparkSession, root: str, batch_id: str, version: int) -> None:
+    """Note by which version of the rules the fields of a load were derived: an empty folder."""
+    make_folder(spark, f"{root}/extractor/batch_id={batch_id}/version={version}")
+
+
+def reextract(spark: SparkSession, root: str, version: int = EXTRACTOR) -> list[str]:
+    """Derive the fields of all finished loads of an older version anew; returns their names.
+
+    Each load is rewritten from its own texts, in the tasks that read them, and marked; a run that
+    broke goes on where it was, and one with nothing to do reads folder names only. Loads without
+    a mark count as oldest.
+    """
+    done = []
+    for folder in folders_in(spark, f"{root}/ingest_log"):
+        batch_id = folder.removeprefix("batch_id=")
+        marks = folders_in(spark, f"{root}/extractor/{folder}")
+        known = max((int(m.removeprefix("version=")) for m in marks), default=0)
+        if known < version and is_finished(spark, root, batch_id):
+            _rewrite(
+                spark, root, batch_id, "reextracting",
+                lambda rows: storable(reparse(rows, ("source_url", "loaded_at"))),
+            )
+            mark_extracted(spark, root, batch_id, version)
+            done.append(batch_id)
+    return done
+
+
 def append_log(entries: DataFrame, root: str, batch_id: str) -> None:
     """Write the log of one load; the load is finished with it."""
     columns = [f.name for f in schema.INGEST_LOG if f.name != "batch_id"]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from benchbook.functions import fixed_values as V
 from benchbook.functions.quality import passes_gate
 from benchbook.operators import dedup, log, store
-from benchbook.operators.record import with_metadata, with_provenance, with_quality
+from benchbook.operators.record import EXTRACTOR, with_metadata, with_provenance, with_quality
 from benchbook.session import fresh_folder, remove, stage
 from benchbook.sources.objects import mirror_raw, object_texts, readable_objects
 from benchbook.sources.pages import assemble_pages, keys_to_read_again, with_recognised
@@ -150,6 +150,7 @@ def load(
     new = texts.join(chosen.select("row"), "row", "left_semi").drop("row")
     records = with_metadata(new).withColumn("pdf_s3_key", F.col("key"))
     store.append_judgments(with_provenance(records, endpoint, bucket), root, batch_id)
+    store.mark_extracted(spark, root, batch_id, EXTRACTOR)
     entries = outcome.filter(F.col("status") != SKIPPED).select(
         F.lit(source).alias("source"), "key", "status", "error_msg",
         F.lit(datetime.now(timezone.utc)).alias("processed_at"),

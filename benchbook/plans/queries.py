@@ -964,6 +964,26 @@ def reparse_stored(spark, sf_dir):
     return _shown(again)
 
 
+@query(
+    "reextract_stored",
+    _stored_sql(f"key, title, {S._joined('tags')} AS tags, summary, holding, applicability"),
+)
+def reextract_stored(spark, sf_dir):
+    """A store whose fields come from older rules, brought up to the newest ones, load by load."""
+    root = fresh_folder(spark, "store")
+    ingest(texts(spark, sf_dir).select("key", "full_text"), root, "one")
+    older = store.read_table(spark, root, "judgments").withColumns(
+        {"title": F.lit("older"), "tags": F.array(F.lit("older")), "holding": F.lit("")}
+    )
+    older = stage(older.drop("batch_id"), "older")
+    older.write.mode("overwrite").parquet(f"{root}/judgments/batch_id=one")
+    store.reextract(spark, root, record.EXTRACTOR + 1)
+    again = store.read_table(spark, root, "judgments").select(
+        "pdf_s3_key", "title", "tags", "summary", "holding", "applicability"
+    )
+    return _shown(again)
+
+
 @query(
     "lookup_by_suffix",
     _stored_sql("key, title, year", "WHERE key LIKE '%000_7_EN.pdf' ORDER BY key LIMIT 1"),

@@ -85,6 +85,11 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    files, place = _file_system(spark, path)
+    files.mkdirs(place)
+
+
 def folders_in(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below ``path``; none if it does not exist."""
     files, place = _file_system(spark, path)

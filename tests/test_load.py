@@ -379,6 +379,19 @@ def test_compaction_keeps_rows(spark, tmp_path):
     )
 
 
+def test_only_older_loads_are_extracted_anew(spark, tmp_path):
+    root = str(tmp_path)
+    ingest(documents(spark, range(5)), root, "one", endpoint="https://e", bucket="b")
+    before = sorted(map(str, stored(spark, root).collect()))
+    assert store.reextract(spark, root) == []  # loads are of the newest version
+    remove(spark, f"{root}/extractor")
+    assert store.reextract(spark, root, 7) == ["one"]
+    assert sorted(map(str, stored(spark, root).collect())) == before
+    ingest(documents(spark, range(5, 8)), root, "two")
+    remove(spark, f"{root}/ingest_log/batch_id=two")  # not finished: its next attempt writes it
+    assert _plans(spark, lambda: store.reextract(spark, root, 7)) == []
+
+
 def test_key_listed_twice_and_unreadable(spark, tmp_path):
     root = str(tmp_path)
     twice = documents(spark, [1, 2, 2, 9]).union(
