@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +18,11 @@ from benchbook.llm.common import components, ready, stage
 
 BITS = 64
 
+#: Rows of the sample that a cut of a pass must still divide.
+LEAF = 16
 
-def passes_needed(vectors: int, window: int, threshold: float, recall: float) -> int:
+
+def passes_needed(vectors: float, window: int, threshold: float, recall: float) -> int:
     """Passes that bring a pair at ``threshold`` into one window with probability ``recall``.
 
     Two vectors at angle a agree in a sign with probability 1 - a/pi. They share a window of
@@ -34,11 +38,6 @@ def planes(number: int, dimension: int, seed: int) -> np.ndarray:
     return np.random.default_rng([seed, number, dimension]).standard_normal((dimension, BITS))
 
 
-#: log of the normal distribution function, looked up
-_GRID = np.linspace(-8.0, 8.0, 4097)
-_LOG_PHI = np.log(np.array([0.5 * math.erfc(-z / math.sqrt(2)) for z in _GRID]))
-
-
 def unit(raw: pa.Array | pa.ChunkedArray, dimension: int) -> np.ndarray:
     """Rows of doubles of length 1 from packed vectors of one dimension."""
     packed = b"".join(raw.to_pylist())
@@ -47,6 +46,95 @@ def unit(raw: pa.Array | pa.ChunkedArray, dimension: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+@dataclass(frozen=True)
+class Hashes:
+    """The concatenated hashes of one pass: on which side of a random plane a vector lies.
+
+    The first planes go through the median of the sampled vectors that share all hashes before,
+    so a prefix of hashes holds about as many rows as any other of its length, however vectors
+    crowd. The further planes go through the mean of the sampled vectors of their prefix.
+    """
+
+    planes: np.ndarray
+    cuts: list[np.ndarray]  # by depth, one for each prefix
+    centres: np.ndarray  # of each prefix, on the planes after the last cut
+    shares: list[np.ndarray]  # by depth, the part of the sample that has each prefix
+
+    def bits(self, x: np.ndarray) -> np.ndarray:
+        on = x @ self.planes
+        out = np.empty(on.shape, dtype=bool)
+        at = np.zeros(len(x), dtype=np.int64)
+        for depth, cut in enumerate(self.cuts):
+            out[:, depth] = on[:, depth] >= cut[at]
+            at = 2 * at + out[:, depth]
+        deep = len(self.cuts)
+        out[:, deep:] = on[:, deep:] >= self.centres[at]
+        return out
+
+    def share(self, bits: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Part of all rows that agree with each row in its first ``length`` hashes."""
+        deep = len(self.cuts)
+        out = np.zeros(len(bits))
+        at = np.zeros(len(bits), dtype=np.int64)
+        for depth in range(deep + 1):
+            here = length == depth if depth < deep else length >= deep
+            out[here] = self.shares[depth][at[here]]
+            if depth < deep:
+                at = 2 * at + bits[:, depth]
+        return out / 2.0 ** np.maximum(length - deep, 0)
+
+
+def fit_hashes(sample: np.ndarray, dimension: int, number: int, seed: int) -> Hashes:
+    """The hashes of pass ``number``, placed by a sample of unit vectors (plain signs for none)."""
+    normals = planes(number, dimension, seed)
+    rows = len(sample)
+    on = sample @ normals
+    at = np.zeros(rows, dtype=np.int64)
+    cuts, shares = [], [np.ones(1)]
+    while rows >= 2 * LEAF << len(cuts):
+        depth = len(cuts)
+        order = np.lexsort((on[:, depth], at))
+        sizes = np.bincount(at, minlength=1 << depth)
+        middle = np.minimum(np.cumsum(sizes) - sizes + sizes // 2, rows - 1)
+        cuts.append(np.where(sizes > 0, on[order[middle], depth], 0.0))
+        at = 2 * at + (on[:, depth] >= cuts[-1][at])
+        shares.append(np.bincount(at, minlength=2 << depth) / rows)
+    deep = len(cuts)
+    sizes = np.bincount(at, minlength=1 << deep)
+    centres = np.zeros((1 << deep, BITS - deep))
+    np.add.at(centres, at, on[:, deep:])
+    return Hashes(normals, cuts, centres / np.maximum(sizes, 1)[:, None], shares)
+
+
+def plan_passes(
+    sample: np.ndarray, rows: float, window: int, threshold: float, recall: float, seed: int,
+    trials: int = 2048, most: int = 4096,
+) -> int:
+    """Passes after which ``recall`` of the pairs right at ``threshold`` have shared a window.
+
+    Tried out on sampled vectors, each with a partner made at that cosine: a pass surely brings
+    both into a window if no more than ``window`` of all ``rows`` agree in the hashes they share.
+    """
+    if rows <= window:
+        return 1
+    x = sample[:trials]
+    rng = np.random.default_rng([seed, len(x)])
+    y = rng.standard_normal(x.shape)
+    y -= (y * x).sum(axis=1, keepdims=True) * x
+    y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-12)
+    y = threshold * x + math.sqrt(max(0.0, 1 - threshold**2)) * y
+    apart = np.ones(len(x), dtype=bool)
+    for number in range(most):
+        hashes = fit_hashes(sample, x.shape[1], number, seed)
+        bits = hashes.bits(x)
+        differ = bits != hashes.bits(y)
+        shared = np.where(differ.any(axis=1), differ.argmax(axis=1), BITS)
+        apart &= hashes.share(bits, shared) * rows > window
+        if apart.mean() <= 1 - recall:
+            return number + 1
+    raise ValueError(f"{most} passes do not reach a recall of {recall}: widen the window")
+
+
 def _packed(vectors: DataFrame, id_: str, vector: str) -> DataFrame:
     """``vec_id, node, raw, dim``: digest and bytes of each vector, null if it links with nothing."""
     cast = vectors.select(
@@ -76,8 +164,11 @@ def _packed(vectors: DataFrame, id_: str, vector: str) -> DataFrame:
     return cast.mapInArrow(run, "vec_id long, node binary, raw binary, dim int")
 
 
-def _projected(distinct: DataFrame, first: int, last: int, seed: int) -> DataFrame:
-    """Every vector once a pass, with its sort key: the signs of ``BITS`` random projections."""
+def _projected(distinct: DataFrame, first: int, last: int, hashes: dict, seed: int) -> DataFrame:
+    """Every vector once a pass, with its sort key: its hashes, concatenated.
+
+    ``hashes`` by pass and dimension; dimensions that are in no sample have plain signs.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -86,8 +177,10 @@ def _projected(distinct: DataFrame, first: int, last: int, seed: int) -> DataFra
                 own = batch.filter(pa.array(dims == dim))
                 x = unit(own.column("raw"), int(dim))
                 for number in range(first, last):
-                    signs = x @ planes(number, int(dim), seed) >= 0
-                    order = np.packbits(signs, axis=1)
+                    fitted = hashes.get((number, int(dim)))
+                    if fitted is None:
+                        fitted = fit_hashes(np.zeros((0, int(dim))), int(dim), number, seed)
+                    order = np.packbits(fitted.bits(x), axis=1)
                     keys = pa.array([row.tobytes() for row in order], pa.binary())
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -105,13 +198,12 @@ def _projected(distinct: DataFrame, first: int, last: int, seed: int) -> DataFra
 _FOUND = pa.schema(
     [
         ("a", pa.binary()), ("b", pa.binary()), ("part", pa.int32()), ("side", pa.int32()),
-        ("place", pa.int32()), ("pass", pa.int32()), ("dim", pa.int32()), ("raw", pa.binary()),
-        ("miss", pa.float64()),
+        ("place", pa.int32()), ("rows", pa.int64()), ("pass", pa.int32()), ("dim", pa.int32()),
+        ("raw", pa.binary()),
     ]
 )
 _FOUND_DDL = (
-    "a binary, b binary, part int, side int, place int, `pass` int, dim int, raw binary, "
-    "miss double"
+    "a binary, b binary, part int, side int, place int, rows long, `pass` int, dim int, raw binary"
 )
 
 
@@ -127,10 +219,12 @@ def _window_edges(table: pa.Table, window: int, threshold: float,
     i_all, j_all = [], []
     for a, b in zip([0, *change], [*change, n]):
         x = unit(table.column("raw").slice(a, b - a), int(dims[a]))
-        for gap in range(1, min(window, len(x) - 1) + 1):
-            near = np.flatnonzero(np.einsum("ij,ij->i", x[:-gap], x[gap:]) >= threshold) + a
-            i_all.append(near)
-            j_all.append(near + gap)
+        for start in range(0, len(x), window):
+            rows = x[start : start + window]
+            near, to = np.nonzero(rows @ x[start : start + 2 * window].T >= threshold)
+            keep = (to > near) & (to - near <= window)
+            i_all.append(near[keep] + (a + start))
+            j_all.append(to[keep] + (a + start))
     if not i_all:
         return []
     i, j = np.concatenate(i_all), np.concatenate(j_all)
@@ -142,66 +236,29 @@ def _window_edges(table: pa.Table, window: int, threshold: float,
     return [(nodes[k], nodes[low[k]]) for k in np.flatnonzero(low != np.arange(n))]
 
 
-def _misses(table: pa.Table, window: int, threshold: float, seed: int) -> np.ndarray:
-    """Log of the chance that a pass misses a pair at ``threshold``, for each row that has
-    ``window`` rows on both sides in the sorted table.
-
-    A row surely shares the window with all rows of the shortest prefix of signs that neither of
-    the two rows ``window`` away has. How likely the other vector of a pair has that prefix too
-    follows from the row's own projections: near a plane it is an even chance, far from it sure.
-    """
-    n = table.num_rows
-    rows = np.arange(window, n - window)
-    keys = np.frombuffer(b"".join(table.column("order").to_pylist()), np.uint8)
-    bits = np.unpackbits(keys.reshape(n, -1), axis=1)
-    numbers, dims = table.column("pass").to_numpy(), table.column("dim").to_numpy()
-    depth = np.zeros(len(rows), dtype=np.int64)
-    for other in (rows - window, rows + window):
-        differ = bits[rows] != bits[other]
-        shared = np.where(differ.any(axis=1), differ.argmax(axis=1), BITS)
-        same = (numbers[rows] == numbers[other]) & (dims[rows] == dims[other])
-        depth = np.maximum(depth, np.where(same, shared + 1, 0))
-    slope = threshold / math.sqrt(max(1 - threshold**2, 1e-18))
-    out = np.zeros(len(rows))
-    for number, dim in set(zip(numbers[rows].tolist(), dims[rows].tolist())):
-        own = np.flatnonzero((numbers[rows] == number) & (dims[rows] == dim))
-        x = unit(table.column("raw").take(pa.array(rows[own])), dim)
-        far = np.abs(x @ planes(number, dim, seed)) * slope
-        agree = np.cumsum(np.interp(far, _GRID, _LOG_PHI), axis=1)
-        agree = np.concatenate([np.zeros((len(own), 1)), agree], axis=1)
-        hit = np.exp(agree[np.arange(len(own)), np.minimum(depth[own], BITS)])
-        hit[depth[own] > BITS] = 0.0  # more rows than a window agree in all signs
-        out[own] = np.log(np.maximum(1 - hit, 1e-12))
-    return out
-
-
 def _pass_edges(distinct: DataFrame, first: int, last: int, window: int, threshold: float,
-                seed: int) -> tuple[DataFrame, DataFrame]:
-    """Edges of some passes: windows inside the tasks, then those over the borders of tasks.
-
-    Also ``node, miss``: what ``_misses`` tells of each row and pass. The rows at the borders of
-    a task have nothing there, and count as missed.
-    """
+                hashes: dict, seed: int) -> DataFrame:
+    """Edges of some passes: windows inside the tasks, then those over the borders of tasks."""
     order = ["pass", "dim", "order", "node"]
-    rows = _projected(distinct, first, last, seed)
+    rows = _projected(distinct, first, last, hashes, seed)
     placed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         held: pa.Table | None = None  # the last rows, for the next batch
         ahead: list[pa.Table] = []  # the first rows of the task
-        back: pa.Table | None = None  # the rows before and around those not yet in _misses
+        seen = 0
 
         def border(table: pa.Table, side: int) -> pa.RecordBatch:
             n = table.num_rows
-            nothing = pa.nulls(n, pa.binary())
+            place = np.arange(n, dtype=np.int32)  # how far from the border
             return pa.RecordBatch.from_arrays(
                 [
-                    table.column("node").combine_chunks(), nothing,
+                    table.column("node").combine_chunks(), pa.nulls(n, pa.binary()),
                     pa.array(np.full(n, part, np.int32)), pa.array(np.full(n, side, np.int32)),
-                    pa.array(np.arange(n, dtype=np.int32)),
+                    pa.array(place if side else place[::-1]), pa.array(np.full(n, seen)),
                     table.column("pass").combine_chunks(), table.column("dim").combine_chunks(),
-                    table.column("raw").combine_chunks(), pa.nulls(n, pa.float64()),
+                    table.column("raw").combine_chunks(),
                 ],
                 schema=_FOUND,
             )
@@ -210,9 +267,9 @@ def _pass_edges(distinct: DataFrame, first: int, last: int, window: int, thresho
             if not batch.num_rows:
                 continue
             now = pa.Table.from_batches([batch]).select(["pass", "dim", "node", "raw"])
-            seen = sum(t.num_rows for t in ahead)
             if seen < window:
                 ahead.append(now.slice(0, window - seen))
+            seen += now.num_rows
             table = now if held is None else pa.concat_tables([held, now])
             table = table.combine_chunks()
             edges = _window_edges(table, window, threshold)
@@ -223,36 +280,28 @@ def _pass_edges(distinct: DataFrame, first: int, last: int, window: int, thresho
                     [pa.array(a, pa.binary()), pa.array(b, pa.binary()), *none], schema=_FOUND
                 )
             held = table.slice(max(0, table.num_rows - window))
-            keyed = pa.Table.from_batches([batch]).select(["pass", "dim", "order", "node", "raw"])
-            around = keyed if back is None else pa.concat_tables([back, keyed])
-            around = around.combine_chunks()
-            inside = around.num_rows - 2 * window
-            if inside > 0:
-                middle = around.column("node").slice(window, inside).combine_chunks()
-                none = [pa.nulls(inside, f.type) for f in list(_FOUND)[1:-1]]
-                misses = pa.array(_misses(around, window, threshold, seed))
-                yield pa.RecordBatch.from_arrays([middle, *none, misses], schema=_FOUND)
-            back = around.slice(max(0, inside))
         if held is not None:
             yield border(pa.concat_tables(ahead).combine_chunks(), 1)
             yield border(held.combine_chunks(), 0)
 
     found = stage(placed.mapInArrow(run, _FOUND_DDL), "passes")
-    inner = found.filter("part is null and miss is null").select("a", "b")
-    missed = found.filter("miss is not null").select(F.col("a").alias("node"), "miss")
-    # number of tasks, not of vectors: the tasks that had rows, in order
-    parts = sorted(r[0] for r in found.filter("part is not null").select("part").distinct().collect())
-    if len(parts) < 2:
-        return inner, missed
-    spark = distinct.sparkSession
-    seams = spark.createDataFrame(
-        [(p, 0, i) for i, p in enumerate(parts[:-1])]
-        + [(p, 1, i) for i, p in enumerate(parts[1:])],
-        "part int, side int, seam int",
+    inner = found.filter("part is null").select("a", "b")
+    seams = _seams(
+        # number of tasks, not of vectors: the tasks that had rows, in order
+        sorted(tuple(r) for r in found.filter("part is not null").select("part", "rows").distinct().collect()),
+        window,
     )
+    if not seams:
+        return inner
+    seam = distinct.sparkSession.createDataFrame(seams, "part int, side int, seam int, shift long")
     names = ["seam", "side", "place"]
-    borders = found.filter("part is not null").join(F.broadcast(seams), ["part", "side"])
-    placed = borders.select(*names, "pass", "dim", F.col("a").alias("node"), "raw")
+    borders = found.filter("part is not null").join(F.broadcast(seam), ["part", "side"])
+    # the rows before a border in their order, then those behind it
+    far = F.col("place") + F.col("shift")
+    placed = borders.filter(far < window).select(
+        "seam", "side", F.when(F.col("side") == 0, -far).otherwise(far).alias("place"),
+        "pass", "dim", F.col("a").alias("node"), "raw",
+    )
     placed = placed.repartition("seam").sortWithinPartitions(*names)
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,18 +314,25 @@ def _pass_edges(distinct: DataFrame, first: int, last: int, window: int, thresho
                     [pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"]
                 )
 
-    return inner.union(placed.mapInArrow(across, "a binary, b binary")), missed
+    return inner.union(placed.mapInArrow(across, "a binary, b binary"))
 
 
-def _all_edges(left: DataFrame, threshold: float, chunk: int) -> DataFrame:
-    """Edges of all vectors with each other, in blocks."""
-    members = left.select(
-        F.col("dim").alias("group"), "node", "raw", "dim", F.lit(1).cast("long").alias("copies"),
-        F.length("raw").alias("size"),
-    )
-    paired = chunk_pairs(members, chunk, "size", chunk * 8192 * 8)
-    found = count_links(paired, _linked(threshold), ["raw", "dim"])
-    return stage(found.select(F.col("node").alias("a"), F.col("low").alias("b")), "all")
+def _seams(parts: list[tuple[int, int]], window: int) -> list[tuple[int, int, int, int]]:
+    """Which tasks reach over which border: ``part, side, seam, shift``.
+
+    A window may span tasks of few rows, so a border sees as many tasks on both sides as hold
+    ``window`` rows; ``shift`` is how many rows lie between the task and the border.
+    """
+    out = []
+    for seam in range(len(parts) - 1):
+        for side, reach in ((0, range(seam, -1, -1)), (1, range(seam + 1, len(parts)))):
+            shift = 0
+            for at in reach:
+                if shift >= window:
+                    break
+                out.append((parts[at][0], side, seam, shift))
+                shift += parts[at][1]
+    return out
 
 
 def _linked(threshold: float):
@@ -291,25 +347,26 @@ def _linked(threshold: float):
 def near_vectors(
     vectors: DataFrame,
     threshold: float = 0.9,
-    window: int = 64,
+    window: int = 256,
     recall: float = 0.999,
-    passes_at_once: int = 6,
+    passes_at_once: int = 8,
     chunk: int = 1024,
+    sample: int = 8192,
     seed: int = 7,
     id_: str = "vec_id",
     vector: str = "embedding",
 ) -> DataFrame:
     """One row per vector: ``vec_id, n_links, component_id, kept``.
 
-    Equal vectors are one while passes run. Each pass sorts all vectors by the signs of their
-    random projections over all tasks and verifies those at most ``window`` rows apart, also
-    across the borders of tasks. As many passes as the number of vectors and the asked ``recall``
-    of pairs right at the threshold need where vectors lie evenly take all vectors. Where they
-    crowd, more of them share each prefix of signs than a window holds: every pass tells for each
-    vector how likely it missed such a pair, and vectors whose passes together do not reach
-    ``recall`` go on, in further passes or, if that costs no more, compared in
-    blocks. Verified pairs are united to components. Then all vectors of a component are compared
-    in blocks, so that ``n_links`` counts every pair in it, also of groups larger than a window.
+    Equal vectors are one while passes run. Each pass sorts all vectors by their concatenated
+    hashes over all tasks and verifies those at most ``window`` rows apart, also across the
+    borders of tasks. The planes of the hashes are placed by a sample of at most ``sample``
+    vectors, so that vectors that crowd (one topic, or a common mean) are told apart like any
+    others; the number of passes is the one that brings ``recall`` of pairs right at the
+    threshold into a window, tried out on the same sample. All vectors are in all passes, at
+    every size. Verified pairs are united to components. Then all vectors of a component are
+    compared in blocks, so that ``n_links`` counts every pair in it, also of groups larger than a
+    window.
 
     Vectors that are null, empty, zero or hold null or non-finite numbers link with nothing, nor
     do vectors of different dimensions. Repeated rows are linked copies. ``component_id`` is the
@@ -325,42 +382,24 @@ def near_vectors(
         ),
         "distinct",
     )
-    size = distinct.count()
-    planned, done = passes_needed(size, window, threshold, recall), 0
-    left = distinct.select("node", "raw", "dim", F.lit(0.0).alias("miss"))
-    edges, misses = None, None
-    limit, further = math.log(1 - recall), 0.0  # passes that the rest is likely to need still
-    while size:
-        # as many passes as cost what comparing all does
-        whole = size <= 2 * window * max(done, further, 1)
-        if whole:
-            found, missed = _all_edges(left, threshold, chunk), None
-        else:
-            last = done + passes_at_once
-            last = last if done >= planned else min(planned, last)
-            found, missed = _pass_edges(left, done, last, window, threshold, seed)
-            done = last
-        edges = found if edges is None else edges.union(found)
-        if whole:
-            break
-        misses = missed if misses is None else misses.union(missed)
-        if done >= planned:
-            more = misses.groupBy("node").agg(F.sum("miss").alias("more"))
-            left = left.join(more, "node", "left").select(
-                "node", "raw", "dim", (F.col("miss") + F.coalesce("more", F.lit(0.0))).alias("miss")
-            )
-            misses = None
-            # later on, vectors at the rim of a crowd would leave before those inside have met them
-            early = done - passes_at_once < 1.5 * planned
-            left = stage(left.filter(F.col("miss") > limit) if early else left, "left")
-            state = left.agg(
-                F.count("*").alias("n"), F.max("miss").alias("worst"), F.avg("miss").alias("mean")
-            ).first()
-            size = state["n"] if state["n"] and state["worst"] > limit else 0
-            if size and not early:
-                further = done * limit / min(state["mean"], -1e-9) - done
-    if edges is None:
-        edges = distinct.select(F.col("node").alias("a"), F.col("node").alias("b"))
+    state = distinct.agg(F.count("*"), F.coalesce(F.sum("copies"), F.lit(0))).first()
+    size, valid = state
+    fitted = _sampled(distinct, sample) if size else {}
+    taken = sum(len(x) for x in fitted.values())
+    # a dimension of more rows than these would be in the sample
+    passes = passes_needed(8 * size / taken, window, threshold, recall) if size > taken else 1
+    for x in fitted.values():
+        share = len(x) / taken * size
+        passes = max(passes, plan_passes(x, share, window, threshold, recall, seed))
+    edges = distinct.select(F.col("node").alias("a"), F.col("node").alias("b"))
+    for first in range(0, passes if size else 0, passes_at_once):
+        last = min(first + passes_at_once, passes)
+        hashes = {
+            (number, dim): fit_hashes(x, dim, number, seed)
+            for number in range(first, last) for dim, x in fitted.items()
+        }
+        found = _pass_edges(distinct, first, last, window, threshold, hashes, seed)
+        edges = edges.union(found)
     roots = stage(components(edges.distinct()), "roots")
     members = distinct.join(roots.withColumnRenamed("root", "group"), "node")
     paired = chunk_pairs(
@@ -380,13 +419,36 @@ def near_vectors(
         distinct.select("node", "copies", "low_id")
         .join(named, "node", "left").join(near, "node", "left")
         .select(
-            "node", F.coalesce("component", "low_id").alias("component"),
+            "node", "copies", F.coalesce("component", "low_id").alias("component"),
             (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"),
         )
     )
-    return packed.select("vec_id", "node").join(known, "node", "left").select(
-        "vec_id",
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+    rows = packed.select("vec_id", "node")
+    # vectors of very many copies, at most 1,000, meet their row by a broadcast
+    often = F.col("copies") > max(100, valid // 1000)
+    hot = F.broadcast(known.filter(often).drop("copies"))
+    rest = rows.filter("node is not null").join(
+        F.broadcast(distinct.filter(often).select("node")), "node", "left_anti"
+    )
+    alone = rows.filter("node is null").select(
+        "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component")
+    )
+    names = ["vec_id", "n_links", "component"]
+    every = (
+        rows.join(hot, "node").select(*names)
+        .union(rest.join(known.filter(~often), "node").select(*names)).union(alone)
+    )
+    return every.select(
+        "vec_id", F.col("n_links").cast("long").alias("n_links"),
         F.coalesce("component", "vec_id").alias("component_id"),
         F.col("vec_id").eqNullSafe(F.coalesce("component", "vec_id")).alias("kept"),
     )
+
+
+def _sampled(distinct: DataFrame, most: int) -> dict[int, np.ndarray]:
+    """Unit vectors by dimension: the ``most`` of the smallest digests, the same in every run."""
+    rows = distinct.orderBy("node").limit(most).select("dim", "raw").collect()
+    raws: dict[int, list[bytes]] = {}
+    for dim, raw in rows:
+        raws.setdefault(dim, []).append(bytes(raw))
+    return {dim: unit(pa.array(own, pa.binary()), dim) for dim, own in sorted(raws.items())}

@@ -116,3 +116,54 @@ def test_passes():
     assert projections.passes_needed(10, 64, 0.9, 0.999) == 1
     few, many = (projections.passes_needed(n, 64, 0.9, 0.99) for n in (10**4, 10**8))
     assert 1 < few < many
+
+
+def test_windows_span_tasks_of_few_rows(spark):
+    """A border sees as many tasks on both sides as hold a window."""
+    assert projections._seams([(0, 9)], 4) == []
+    seams = projections._seams([(0, 1), (3, 1), (4, 9)], 4)
+    assert seams == [(0, 0, 0, 0), (3, 1, 0, 0), (4, 1, 0, 1), (3, 0, 1, 0), (0, 0, 1, 1), (4, 1, 1, 0)]
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(60, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(np.vstack([x, x + 0.1 * rng.normal(size=x.shape)]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")  # about two rows a task
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert found(df, window=30, passes_at_once=2) == brute(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_prefixes_are_even_where_vectors_crowd():
+    """No prefix of the fitted hashes holds much more than its share, inside a cone or not."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(30_000, 32))
+    x[:10_000] = 0.06 * x[:10_000] + x[0] / np.linalg.norm(x[0])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    sample = x[rng.permutation(len(x))[:8192]]
+    hashes = projections.fit_hashes(sample, 32, 0, 7)
+    assert len(hashes.cuts) == 9
+    bits = hashes.bits(x)
+    for length in (3, 6, 9):
+        counts = np.unique(np.packbits(bits[:, :length], axis=1), axis=0, return_counts=True)[1]
+        assert counts.max() <= 2.5 * len(x) / 2**length
+    share = hashes.share(bits, np.full(len(x), 6))
+    assert share.min() > 0 and abs(share.mean() - 1 / 64) < 0.002
+    plain = projections.fit_hashes(sample[:0], 32, 0, 7)
+    assert (plain.bits(x) == (x @ plain.planes >= 0)).all()
+
+
+def test_planned_passes_follow_the_sample():
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(4000, 32))
+    cone = 0.1 * x + x[0] / np.linalg.norm(x[0])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    cone /= np.linalg.norm(cone, axis=1, keepdims=True)
+    plan = lambda sample, rows: projections.plan_passes(sample, rows, 64, 0.9, 0.99, 7)
+    assert plan(x, 64) == 1
+    assert 1 < plan(x, 4_000) < plan(x, 400_000)
+    assert plan(cone, 4_000) > plan(x, 4_000)
