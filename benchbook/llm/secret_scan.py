@@ -25,11 +25,18 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # the maximal runs of [0-9a-f]+ that are long enough
 _ANY_HEX = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{32,}(?![0-9A-Fa-f])")
-_BLOCK = re.compile(
-    r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----"
-)
+_BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----")
+#: Line ends as they are, or written out as in a JSON text (once or twice escaped).
+_LINE_END = r"(?:\\{1,2}r)?(?:\\{1,2}n)|\r?\n"
+_ENDS = re.compile(_LINE_END)
+_HEADER = re.compile(r"([A-Za-z][A-Za-z0-9-]*):[ \t]*(.*)")
+_CIPHER = re.compile(r"[A-Z0-9-]+,([0-9A-Fa-f]+)")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
-_SIGNED = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
+_NEXT_LINE = re.compile(rf"[ \t]*(?:{_LINE_END})[ \t]*([A-Za-z0-9+/_-]++={{0,2}})")
+#: The first character of a base64 text of a JSON object, with or without white space before it.
+_SIGNED = re.compile(
+    r"(?<![A-Za-z0-9_-])([eICD][A-Za-z0-9_-]{11,}+)\.([A-Za-z0-9_-]++)\.([A-Za-z0-9_-]*+)"
+)
 
 
 def _decoded(run: str) -> bytes | None:
@@ -135,6 +142,71 @@ def _evidence(value: str) -> str | None:
     return None
 
 
+def block_evidence(body: str) -> str | None:
+    """What stands between the BEGIN and END lines of a private key, or None.
+
+    Line ends may be written out, and header lines may come first. An enciphered body cannot be
+    parsed: its headers must name a cipher and a start value, and its length must be whole blocks.
+    """
+    headers, rest = {}, []
+    for line in _ENDS.split(body):
+        named = _HEADER.fullmatch(line.strip())
+        if named and not rest:
+            headers[named[1].lower()] = named[2].strip()
+        elif line.strip():
+            rest.append(line)
+    data = _decoded("".join("".join(rest).split()))
+    if not data:
+        return None
+    cipher = _CIPHER.fullmatch(headers.get("dek-info", ""))
+    if headers.get("proc-type", "").endswith("ENCRYPTED") and cipher:
+        size = len(cipher[1]) // 2
+        return "encrypted private key" if size in (8, 16) and len(data) % size == 0 else None
+    return key_encoding(data)
+
+
+def _blocks(text: str) -> Iterator[tuple[int, int, str]]:
+    """Start, end and evidence of the key blocks in a text."""
+    for m in _BEGIN.finditer(text):
+        stop = text.find("-----", m.end())
+        last = f"-----END {m[1]}-----"
+        if stop >= 0 and text.startswith(last, stop):
+            if found := block_evidence(text[m.end() : stop]):
+                yield m.start(), stop + len(last), found
+
+
+def _tokens(text: str) -> Iterator[tuple[int, int, str]]:
+    """Start, end and evidence of the signed tokens in a text."""
+    at = 0
+    while m := _SIGNED.search(text, at):
+        found = token_header(m[1])
+        if found:
+            yield m.start(), m.end(), found
+        at = m.end() if found else m.end(1)
+
+
+def _wrapped(text: str) -> Iterator[tuple[int, int, str]]:
+    """Start, end and evidence of base64 texts over several lines of one width."""
+    done = 0
+    for m in _BASE64.finditer(text):
+        if m.start() < done or m[0].endswith("="):
+            continue
+        lines, ends = [m[0]], [m.end()]
+        while len(lines[-1]) == len(m[0]) and not lines[-1].endswith("="):
+            more = _NEXT_LINE.match(text, ends[-1])
+            if more is None or len(more[1]) > len(m[0]):
+                break
+            lines.append(more[1])
+            ends.append(more.end())
+        done = ends[-1]
+        # the last, shorter line may be a word of what follows
+        for n in (len(lines), len(lines) - 1):
+            data = _decoded("".join(lines[:n])) if n > 1 else None
+            if data and (found := key_encoding(data)):
+                yield m.start(), ends[n - 1], found
+                break
+
+
 def scan(text: str) -> list[tuple[str, int, int, bool, str | None]]:
     """Spans ``kind, start, end, confirmed, evidence`` of one text, in order.
 
@@ -154,18 +226,18 @@ def scan(text: str) -> list[tuple[str, int, int, bool, str | None]]:
         found = _evidence(m[0])
         spans.append(("hex", m.start(), m.end(), found is not None, found))
     taken = {(s, e) for _, s, e, _, _ in spans}
-    if "eyJ" in text:
-        for m in _SIGNED.finditer(text):
-            if found := token_header(m[1]):
-                spans.append(("token", m.start(), m.end(), True, found))
-                taken.add((m.start(), m.end()))
+    for start, end, found in _tokens(text):
+        spans.append(("token", start, end, True, found))
+        taken.add((start, end))
     inside = []
     if "-----BEGIN" in text:
-        for m in _BLOCK.finditer(text):
-            data = _decoded("".join(m[2].split()))
-            if data and (found := key_encoding(data)):
-                spans.append(("key", m.start(), m.end(), True, found))
-                inside.append((m.start(), m.end()))
+        for start, end, found in _blocks(text):
+            spans.append(("key", start, end, True, found))
+            inside.append((start, end))
+    for start, end, found in _wrapped(text):
+        if not any(s <= start and end <= e for s, e in inside):
+            spans.append(("key", start, end, True, found))
+            inside.append((start, end))
     for pattern in (_BASE64, _ANY_HEX):
         for m in pattern.finditer(text):
             at = (m.start(), m.end())

@@ -111,3 +111,67 @@ def test_report(spark):
     for r in masked.collect():
         assert r["text"] is None or r["n_chars"] == len(r["text"])
         assert not base_spans(r["text"] or "")
+
+
+def wrapped(data, width=64, end="\n"):
+    body = b64(data)
+    return end.join(body[i : i + width] for i in range(0, len(body), width))
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\\n", "\\\\n", "\\r\\n"])
+def test_key_blocks_with_any_line_ends(end):
+    block = f"-----BEGIN PRIVATE KEY-----{end}{wrapped(PKCS8, end=end)}{end}-----END PRIVATE KEY-----"
+    text = '{"private_key": "' + block + end + '", "client": "x"}'
+    spans = [s for s in S.scan(text) if s[0] == "key"]
+    assert [(text[s[1] : s[2]], s[4]) for s in spans] == [(block, "pkcs8 private key")]
+    assert S.redact(text, spans) == '{"private_key": "[SECRET]' + end + '", "client": "x"}'
+
+
+def test_key_blocks_with_headers():
+    def block(headers, data):
+        return f"-----BEGIN RSA PRIVATE KEY-----\n{headers}\n\n{wrapped(data)}\n-----END RSA PRIVATE KEY-----"
+
+    locked = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC," + "0A" * 16
+    for headers, data, kind in [
+        (locked, bytes(range(160)), "encrypted private key"),
+        (locked, bytes(range(159)), None),  # no whole blocks
+        ("Comment: mine", RSA, "rsa private key"),
+        ("Comment: mine", bytes(range(160)), None),
+        ("Proc-Type: 4,ENCRYPTED", bytes(range(160)), None),
+    ]:
+        text = f"a {block(headers, data)} b"
+        assert [s[4] for s in S.scan(text) if s[0] == "key"] == ([kind] if kind else []), headers
+    begin = "-----BEGIN RSA PRIVATE KEY-----\n"
+    assert S.scan(begin * 50 + "x") == []
+    whole = block("Comment: mine", RSA)
+    assert [s[1] for s in S.scan(begin + whole)] == [len(begin)]
+
+
+@pytest.mark.parametrize("width", [40, 64, 76])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n  "])
+def test_base64_over_lines(width, end):
+    body = wrapped(PKCS8, width, end)
+    for text in (f"key:{end}{body}", f"key {body}{end}-- end", f"{body}\nword\n"):
+        spans = [s for s in S.scan(text) if s[0] == "key"]
+        assert [(text[s[1] : s[2]], s[4]) for s in spans] == [(body, "pkcs8 private key")], text
+    prose = end.join(b64(b"only words here, no key " * 9)[i : i + width] for i in range(0, 240, width))
+    assert [s for s in S.scan(prose) if s[3]] == []
+
+
+def test_key_whose_last_line_is_full():
+    data = der(0x30, der(2, b"\0") + der(2, b"\1" * 89))
+    assert len(b64(data)) % 64 == 0
+    text = f"{wrapped(data)}\nword"
+    assert [text[s[1] : s[2]] for s in S.scan(text) if s[0] == "key"] == [wrapped(data)]
+
+
+def test_tokens_of_any_header():
+    for head in ('{"alg":"ES256"}', '{ "alg" : "ES256" }', '\n{"alg":"ES256"}', '{\r\n "alg":"ES256"}',
+                 ' {"typ":"JWT","alg":"ES256"}'):
+        signed = f"{b64(head.encode(), True).rstrip('=')}.e30.c2ln"
+        # parts before it that look like a header take nothing away
+        for text in (f"auth {signed} end", f"Documentation.{signed}", f"example-host-name.{signed}"):
+            spans = [s for s in S.scan(text) if s[0] == "token"]
+            assert [(text[s[1] : s[2]], s[4]) for s in spans] == [(signed, "signed token ES256")], text
+    for text in ("entertainment.example.org", "Documentation.of.things", b64(b'["alg"]  ' * 3) + ".a.b"):
+        assert S.scan(text) == []
