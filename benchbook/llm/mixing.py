@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from benchbook.llm.common import text_of
+from benchbook.llm.common import text_of, unused
 
 #: Stands for every value that a marginal does not name, null included.
 OTHER = "*"
@@ -48,7 +48,9 @@ def rake(
     """Iterative proportional fitting of ``tokens`` to ``targets`` (shares) times ``total``.
 
     A cell never gets more than it has, as no document is taken twice. What a full cell cannot
-    give is asked of the others in the next sweep.
+    give is asked of the others in the next sweep. Marginals that contradict each other pull to
+    and fro without end; the result is then the mean of what each of them asks for, if that is
+    closer to all.
     """
     ids, wanted = [], []
     for axis, shares in enumerate(targets):
@@ -58,7 +60,15 @@ def rake(
         wanted.append(np.array([shares[name] for name in names]) * total)
     free = tokens * (total / max(tokens.sum(), 1e-300))
     expected, error, sweep = np.minimum(free, tokens), np.inf, 0
+
+    def error_of(values: np.ndarray) -> float:
+        return max(
+            float(np.abs(np.bincount(at, values, len(want)) - want).max()) / max(total, 1e-300)
+            for at, want in zip(ids, wanted)
+        )
+
     for sweep in range(1, sweeps + 1):
+        asked = []
         for at, want in zip(ids, wanted):
             full = expected >= tokens * (1 - 1e-12)
             held = np.bincount(at, np.where(full, expected, 0), len(want))
@@ -69,12 +79,14 @@ def rake(
             share = np.where(now > 0, want / np.maximum(now, 1e-300), 1)
             scale = np.where(over[at], share[at], np.where(full, 1, factor[at]))
             expected = np.minimum(expected * scale, tokens)
-        error = max(
-            float(np.abs(np.bincount(at, expected, len(want)) - want).max()) / max(total, 1e-300)
-            for at, want in zip(ids, wanted)
-        )
+            asked.append(expected)
+        error = error_of(expected)
         if error <= tolerance:
             break
+    else:
+        mean = np.mean(asked, axis=0) if sweeps else expected
+        if error_of(mean) < error:
+            expected, error = mean, error_of(mean)
     return Raked(expected, sweep, error)
 
 
@@ -97,25 +109,42 @@ def shares_of(asked: dict[str, float], observed: dict[str, float]) -> dict[str,
 
 
 def largest_total(cells, tokens, targets, slack: float) -> tuple[float, Raked]:
-    """The most tokens that can be kept with every marginal within ``slack`` of its share."""
+    """The most tokens that can be kept with every marginal within ``slack`` of its share.
+
+    Marginals that contradict each other give way to those of their closest fit, at a total so
+    small that no cell is full; ``error`` stays the difference from the asked ones.
+    """
     low, high = 0.0, float(tokens.sum())
     best = rake(cells, tokens, targets, high)
     if best.error <= slack:
         return high, best
-    total, best = 0.0, Raked(np.zeros(len(tokens)), 0, np.inf)
+    low = total = 1e-6 * high
+    best = closest = rake(cells, tokens, targets, total)
+    met = targets
+    if closest.error > slack:
+        met = [_shares(cells, closest.expected, axis) for axis in range(len(targets))]
     for _ in range(18):
         middle = (low + high) / 2
-        found = rake(cells, tokens, targets, middle)
+        found = rake(cells, tokens, met, middle)
         if found.error <= slack:
             low, total, best = middle, middle, found
         else:
             high = middle
-    if not total:  # marginals that contradict each other: the closest fit to half of the tokens
-        total = float(tokens.sum()) / 2
-        best = rake(cells, tokens, targets, total)
+    if met is not targets:
+        got = [_shares(cells, best.expected, axis) for axis in range(len(targets))]
+        off = max(abs(g.get(k, 0.0) - v) for g, t in zip(got, targets) for k, v in t.items())
+        best = Raked(best.expected, best.sweeps, off)
     return total, best
 
 
+def _shares(cells, values: np.ndarray, axis: int) -> dict[str, float]:
+    out: dict[str, float] = {}
+    for cell, value in zip(cells, values):
+        out[cell[axis]] = out.get(cell[axis], 0.0) + float(value)
+    whole = sum(out.values()) or 1.0
+    return {k: v / whole for k, v in out.items()}
+
+
 def mix_documents(
     docs: DataFrame,
     targets: dict[Column | str, dict[str, float]] | list[tuple[Column, dict[str, float]]],
@@ -126,13 +155,16 @@ def mix_documents(
     text: str = "text",
     doc_id: str = "doc_id",
 ) -> DataFrame:
-    """Add ``tokens, weight, probability, kept`` to every document.
+    """Add ``tokens, weight, probability, kept, mix_error`` to every document.
 
     ``targets`` lists ``(column, {value: share})``. ``weight`` is the raked token weight of the
     document's cell against its plain share, ``probability`` its chance to be kept, ``kept`` the
     draw: a hash of seed, id and text against the probability, so equal tables give equal samples
     and repeated rows share their fate. The sample has ``keep`` of all tokens, or, by default, as
-    many as the marginals allow within ``slack``.
+    many as the marginals allow within ``slack``. ``mix_error``, one number for all rows, is the
+    largest difference that a marginal of the fit has from its target share: above ``slack`` the
+    marginals contradict each other, and the sample is the largest one with the marginals of
+    their closest fit (or ``keep`` asks for more than they allow).
 
     Two passes over the documents without a shuffle of texts: one sums the tokens by cell,
     combined in every task, the other looks the cell up. Cells are at most the product of the
@@ -144,9 +176,10 @@ def mix_documents(
     """
     listed = list(targets.items()) if isinstance(targets, dict) else targets
     listed = [(F.col(c) if isinstance(c, str) else c, shares) for c, shares in listed]
-    results = ("tokens", "weight", "probability", "kept")
+    results = ("tokens", "weight", "probability", "kept", "mix_error")
     names = [c for c in docs.columns if c not in results]
-    keys = [f"_cell{i}" for i in range(len(listed))]
+    keys = [unused(docs, f"_cell{i}") for i in range(len(listed))]
+    own = unused(docs, "_tokens")
     spark = docs.sparkSession
 
     def pooled(value: Column, shares: dict[str, float]) -> Column:
@@ -154,14 +187,14 @@ def mix_documents(
         return F.when(known, value.cast("string")).otherwise(OTHER)
 
     counted = docs.select(
-        *names, tokens.cast("long").alias("_tokens"),
+        *[F.col(f"`{c}`") for c in names], tokens.cast("long").alias(own),
         *[pooled(value, shares).alias(key) for key, (value, shares) in zip(keys, listed)],
     )
-    rows = counted.groupBy(*keys).agg(F.sum("_tokens").alias("n")).filter("n > 0").collect()
+    rows = counted.groupBy(*keys).agg(F.sum(own).alias("_n")).filter("_n > 0").collect()
     rows = sorted(rows, key=lambda r: tuple(r[k] for k in keys))
     cells = [tuple(r[k] for k in keys) for r in rows]
-    sums = np.array([float(r["n"]) for r in rows])
-    fitted = []
+    sums = np.array([float(r["_n"]) for r in rows])
+    fitted, error = [], 0.0
     if cells:
         shares = []
         for axis, (_, asked) in enumerate(listed):
@@ -174,6 +207,7 @@ def mix_documents(
         else:
             total = keep * sums.sum()
             found = rake(cells, sums, shares, total)
+        error = found.error
         chance = np.clip(found.expected / sums, 0, 1)
         weight = chance * sums.sum() / max(total, 1e-300)
         fitted = [(*c, float(w), float(p)) for c, w, p in zip(cells, weight, chance)]
@@ -185,11 +219,12 @@ def mix_documents(
     )
     chance = F.coalesce("probability", F.lit(1.0))
     return counted.join(plan, keys, "left").select(
-        *names,
-        F.col("_tokens").alias("tokens"),
+        *[F.col(f"`{c}`") for c in names],
+        F.col(own).alias("tokens"),
         F.coalesce("weight", F.lit(1.0)).alias("weight"),
         chance.alias("probability"),
         (draw < chance).alias("kept"),
+        F.lit(float(error)).alias("mix_error"),
     )
 
 

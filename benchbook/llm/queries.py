@@ -87,7 +87,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.standard_mix(table(spark, sf_dir, "documents"))
     return found.select(
-        "doc_id", "source", "lang", "tokens", "weight", "probability", "kept"
+        "doc_id", "source", "lang", "tokens", "weight", "probability", "kept", "mix_error"
     )
 
 

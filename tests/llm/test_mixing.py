@@ -100,3 +100,31 @@ def test_topics(spark):
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     topic = mixing.layout_topic("text", mixing.word_count("text"))
     assert [r[0] for r in df.select(topic).collect()] == ["empty", "snippet", "note", "list", "article"]
+
+
+def test_marginals_that_contradict_each_other():
+    """The most that can be kept at the smallest error, not a constant share."""
+    cells, targets = [("a", "x"), ("b", "y")], [{"a": 0.5, "b": 0.5}, {"x": 0.8, "y": 0.2}]
+    for tokens in ([500.0, 500.0], [900.0, 100.0], [100.0, 900.0]):
+        tokens = np.array(tokens)
+        total, found = mixing.largest_total(cells, tokens, targets, 0.002)
+        # shares p and 1 - p: the larger of |p - 0.5| and |p - 0.8| is 0.15 at best
+        assert 0.14 < found.error <= 0.153
+        assert total == pytest.approx(min(tokens[0] / 0.65, tokens[1] / 0.35), rel=0.02)
+
+
+def test_error_is_told_and_names_may_clash(spark):
+    rows = [(i, f"text {i}", "a" if i % 2 else "b") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").select(
+        "*", F.lit("x").alias("_tokens"), F.lit("y").alias("_cell0"), F.lit(1).alias("_cell1"),
+        F.lit(1).alias("n"), F.lit(1).alias("_n"), F.lit(2).alias("mix_error"), F.lit("z").alias("a.b"),
+    )
+    lang = F.when(F.col("source") == "a", "x").otherwise("y")
+    found = mixing.mix_documents(
+        df, [(F.col("source"), {"a": 0.5, "b": 0.5}), (lang, {"x": 0.8, "y": 0.2})], F.lit(10)
+    ).collect()
+    assert len(found) == 400 and {r["mix_error"] for r in found} == {found[0]["mix_error"]}
+    assert 0.14 < found[0]["mix_error"] < 0.16
+    assert {(r["_tokens"], r["_cell0"], r["a.b"]) for r in found} == {("x", "y", "z")}
+    fits = mixing.mix_documents(df, [(F.col("source"), {"a": 0.6, "b": 0.4})], F.lit(10)).collect()
+    assert fits[0]["mix_error"] <= 0.002
