@@ -72,14 +72,26 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_CHARS) -> Iterat
         start, base = stop, ends[stop - 1]
 
 
+def meet(rows: DataFrame, known: DataFrame, key: str, weight: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` with ``known``, which has one row a key.
+
+    ``weight`` in ``known`` is how many rows have the key. Keys of more than a thousandth of all
+    ``total`` rows, which are less than 1,000, meet by a broadcast and never in one task.
+    """
+    often = F.col(weight) > max(100, total // 1000)
+    hot = F.broadcast(known.filter(often))
+    rest = rows.join(F.broadcast(known.filter(often).select(key)), key, "left_anti")
+    return rows.join(hot, key).unionByName(rest.join(known.filter(~often), key))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, root`` of every node with an edge; ``edges`` has ``a, b`` of one ordered type.
 
     The root is the smallest node of the component. Alternating star contraction: every round
     hangs larger neighbours, then smaller ones, on the smallest neighbour seen, until only stars
     are left (a number of rounds that grows with the logarithm of the longest chain). Minima are
-    combined before the shuffle, so a node with very many neighbours is no hot spot. Every round
-    is written to the shared folder; nothing but two counters comes to the driver.
+    combined before the shuffle and nodes of very many neighbours meet theirs by a broadcast, so
+    they are no hot spot. Every round is written to the shared folder; nothing but two counters comes to the driver.
     """
     pair = edges.filter(F.col("a") != F.col("b")).select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
@@ -95,15 +107,15 @@ def components(edges: DataFrame) -> DataFrame:
             )
         before = state
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m"))
-        low = low.select("u", F.least("u", "m").alias("m"))
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        low = low.select("u", F.least("u", "m").alias("m"), "n")
         # larger neighbours to the smallest one
-        large = both.join(low, "u").filter(F.col("v") > F.col("u")).select(
+        large = meet(both, low, "u", "n", 2 * state["n"]).filter(F.col("v") > F.col("u")).select(
             F.col("v").alias("u"), F.col("m").alias("v")
         ).distinct()
         # smaller neighbours, and the node itself, to the smallest one
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = meet(large, least, "u", "n", 2 * state["n"]).select(
             F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
             F.col("m").alias("v"),
         ).union(least.select("u", F.col("m").alias("v")))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from benchbook.llm.blocks import chunk_pairs, count_links
-from benchbook.llm.common import components, ready, slices, stage, text_of, unused
+from benchbook.llm.common import components, meet, ready, slices, stage, text_of, unused
 from benchbook.llm.words import Hashes, mixed, shingles
 
 
@@ -187,22 +187,24 @@ def near_documents(
     classes = stage(classes.withColumnRenamed("root", "class"), "classes")
     lowest = (
         nodes.select("node", "rep").join(classes, "node")
-        .groupBy("class").agg(F.min("rep").alias("class_rep"))
+        .groupBy("class").agg(F.min("rep").alias("class_rep"), F.count("*").alias("n"))
     )
+    total = nodes.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
     # nodes alone in their class are in no table of classes: they never share a join key
-    named = classes.join(lowest, "class").select("node", "class_rep")
+    named = meet(classes, lowest, "class", "n", total).select("node", "class_rep")
     known = (
         nodes.select("node", "copies", "rep")
         .join(named, "node", "left").join(near, "node", "left")
         .select(
-            "node", F.coalesce("class_rep", "rep").alias("chosen"),
+            "node", "copies", F.coalesce("class_rep", "rep").alias("chosen"),
             (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).cast("long").alias("n_links"),
         )
     )
     chosen = F.col("doc_id").eqNullSafe(F.col("chosen.doc_id")) & (
         F.col("copy") == F.col("chosen.copy")
     )
-    return signed.select("doc_id", "copy", "node").join(known, "node").select(
+    every = meet(signed.select("doc_id", "copy", "node"), known, "node", "copies", total)
+    return every.select(
         "doc_id", "copy", F.col("chosen.doc_id").alias("class_id"), "n_links",
         chosen.alias("kept"),
     )

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from benchbook.llm.blocks import chunk_pairs, count_links, groups_of, local_components
-from benchbook.llm.common import components, ready, stage
+from benchbook.llm.common import components, meet, ready, stage
 
 BITS = 64
 
@@ -411,10 +411,10 @@ def near_vectors(
     )
     lowest = (
         roots.join(distinct.select("node", "low_id"), "node")
-        .groupBy("root").agg(F.min("low_id").alias("component"))
+        .groupBy("root").agg(F.min("low_id").alias("component"), F.count("*").alias("n"))
     )
     # vectors without links are in no table of roots: they never share a join key
-    named = roots.join(lowest, "root").select("node", "component")
+    named = meet(roots, lowest, "root", "n", size).select("node", "component")
     known = (
         distinct.select("node", "copies", "low_id")
         .join(named, "node", "left").join(near, "node", "left")
@@ -424,20 +424,12 @@ def near_vectors(
         )
     )
     rows = packed.select("vec_id", "node")
-    # vectors of very many copies, at most 1,000, meet their row by a broadcast
-    often = F.col("copies") > max(100, valid // 1000)
-    hot = F.broadcast(known.filter(often).drop("copies"))
-    rest = rows.filter("node is not null").join(
-        F.broadcast(distinct.filter(often).select("node")), "node", "left_anti"
-    )
     alone = rows.filter("node is null").select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component")
     )
     names = ["vec_id", "n_links", "component"]
-    every = (
-        rows.join(hot, "node").select(*names)
-        .union(rest.join(known.filter(~often), "node").select(*names)).union(alone)
-    )
+    found = meet(rows.filter("node is not null"), known, "node", "copies", valid)
+    every = found.select(*names).union(alone)
     return every.select(
         "vec_id", F.col("n_links").cast("long").alias("n_links"),
         F.coalesce("component", "vec_id").alias("component_id"),
