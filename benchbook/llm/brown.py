@@ -1,10 +1,11 @@
 """Language-model scores from a class-based bigram model with classes found by exchange.
 
-A unit is a frequent word, or the spelling type of all other words; so every word of the corpus
-has a unit, and with it a class. P(w | v) = (c(w) + k) * (share * P(class of w | class of v) /
-mass of the class + (1 - share) / mass of all): the class model mixed with word frequencies. As
-c(w) is a factor of its own, everything but the counts of rare words is known where a text is
-read; those come from one join of the rare words with their counts.
+Exchange finds the classes of units: the most frequent words, and spelling types that stand for all
+other words meanwhile. Then every further word of the corpus gets the class that makes its own
+neighbours most likely, in one grouping of the words by their neighbours' classes; so the clustered
+vocabulary grows with the corpus. Only words never seen have the class of their spelling. P(w | v) = (c(w) + k) * (share * P(class of w | class of v) / mass of the
+class + (1 - share) / mass of all): the class model mixed with word frequencies. Counts and classes
+of frequent words are known where a text is read; those of others come from one join.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from benchbook.llm.common import ready, slices, stage, text_of
+from benchbook.llm.common import lengths, ready, slices, stage, text_of
 from benchbook.llm.words import Spelled
 
 #: Hash of the end of a text. No word has it: words are hashed with xxHash, and 0 is not counted.
@@ -181,24 +182,121 @@ def exchange(counts: np.ndarray, classes: np.ndarray, k: int, order: np.ndarray)
     return classes
 
 
+def word_contexts(texts: DataFrame, units: Units, classes: np.ndarray, k: int) -> DataFrame:
+    """``hash, spelling, code, n``: neighbours of every word that is no frequent one, by class.
+
+    Codes below ``2k`` are what stands before a word, the others what stands after it: in each half
+    first the class of a frequent word or the end, from ``k`` on that of a spelling type.
+    """
+    label = classes + k * (np.arange(units.number) >= len(units.core))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Spelled(units.types, lambda h, s: [units.of(h, s)])
+        for whole in batches:
+            for batch in slices(whole, "text", PART):
+                found, sizes = words.rows(batch.column("text").to_pylist())
+                if not len(found):
+                    continue
+                unit = words.columns[0][found]
+                row = _with_ends(np.where(unit < len(units.core), -1, found), sizes, -1)
+                of = _with_ends(label[unit], sizes, label[units.end])
+                at = np.flatnonzero(row >= 0)
+                start = row[at] * (4 * k)
+                before = start + np.append(label[units.end], of[:-1])[at]
+                # an end follows the last word of every text
+                after = start + 2 * k + of[at + 1]
+                code, n = np.unique(np.concatenate([before, after]), return_counts=True)
+                word = code // (4 * k)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(words.hash[word].view(np.int64)),
+                        pa.array(words.spelling[word].astype(np.int32)),
+                        pa.array((code % (4 * k)).astype(np.int32)), pa.array(n),
+                    ],
+                    names=["hash", "spelling", "code", "n"],
+                )
+
+    return texts.select("text").mapInArrow(run, "hash long, spelling int, code int, n long")
+
+
+def assign(
+    neighbours: DataFrame, of_type: np.ndarray, gains: np.ndarray, own_from: int
+) -> DataFrame:
+    """``hash, n, class, code``: the class of every word of ``word_contexts``, and its count.
+
+    A word seen at least ``own_from`` times goes to the class of the largest sum of ``gains`` (by
+    code and class) over its neighbours, any other to ``of_type`` of its spelling. Rows with a code
+    and no hash add up the neighbours of a class by code; codes after the last one count its words'
+    tokens by the class of their spelling. One task yields a number of these that the model sets.
+
+    A word outside the frequent ones is a small part of all, and has at most one entry a code.
+    """
+    codes, k = gains.shape
+    grouped = (
+        neighbours.repartition("hash")
+        .groupBy("hash", "spelling", "code").agg(F.sum("n").alias("n"))
+        .groupBy("hash", "spelling").agg(F.collect_list(F.struct("code", "n")).alias("l"))
+        .select("hash", "spelling", F.col("l.code").alias("code"), F.col("l.n").alias("n"))
+    )
+    names = ["hash", "n", "class", "code"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((k, codes + k))
+        for whole in batches:
+            for start in range(0, whole.num_rows, 4096):
+                batch = whole.slice(start, 4096)
+                rows = batch.num_rows
+                place = np.repeat(np.arange(rows), lengths(batch.column("code")))
+                code = batch.column("code").flatten().to_numpy()
+                times = batch.column("n").flatten().to_numpy().astype(np.float64)
+                seen = np.bincount(place * codes + code, times, rows * codes).reshape(rows, codes)
+                n = seen[:, : codes // 2].sum(axis=1)
+                spelled = of_type[batch.column("spelling").to_numpy()]
+                found = np.where(n >= own_from, np.argmax(seen @ gains, axis=1), spelled)
+                np.add.at(sums, (found[place], code), times)
+                np.add.at(sums, (found, codes + spelled), n)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("hash"), pa.array(n.astype(np.int64)),
+                        pa.array(found.astype(np.int32)), pa.nulls(rows, pa.int32()),
+                    ],
+                    names=names,
+                )
+        of, code = np.nonzero(sums)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.nulls(len(of), pa.int64()), pa.array(sums[of, code].astype(np.int64)),
+                pa.array(of.astype(np.int32)), pa.array(code.astype(np.int32)),
+            ],
+            names=names,
+        )
+
+    return grouped.mapInArrow(run, "hash long, n long, class int, code int")
+
+
 @dataclass(frozen=True)
 class ClassModel:
-    """All that scoring needs besides the counts of rare words; of a size set by parameters."""
+    """All that scoring needs besides counts and classes of rare words; its size is set by
+    parameters."""
 
-    units: Units
-    classes: np.ndarray  # by unit
+    of_type: np.ndarray  # class by spelling type, for words without one of their own
+    end_class: int
     log_bracket: np.ndarray  # log10 of the factor for class of word after class of word before
-    top: np.ndarray  # sorted hashes of words whose counts are sent along
+    top: np.ndarray  # sorted hashes of words whose counts and classes are sent along
     top_counts: np.ndarray
+    top_classes: np.ndarray
     tokens: int  # N
     distinct: int  # V
     k: float
 
     def columns(self, hashes: np.ndarray, spelling: np.ndarray) -> list[np.ndarray]:
-        """Class, and count (-1: not sent along), of words."""
+        """Class and count (-1: not sent along) of words, and the class of their spelling."""
         at = np.minimum(np.searchsorted(self.top, hashes), len(self.top) - 1)
-        found = np.where(self.top[at] == hashes, self.top_counts[at], -1)
-        return [self.classes[self.units.of(hashes, spelling)], found]
+        sent = self.top[at] == hashes
+        return [
+            np.where(sent, self.top_classes[at], -1), np.where(sent, self.top_counts[at], -1),
+            self.of_type[spelling],
+        ]
 
     @property
     def base_mass(self) -> float:
@@ -228,13 +326,16 @@ def fit_classes(
     classes: int = 64,
     sweeps: int = 5,
     sent_words: int = 400_000,
+    own_from: int = 1,
     share: float = 0.97,
     k: float = 0.1,
-) -> ClassModel:
-    """Cluster the units of the corpus and estimate the class model, from all of ``text``.
+) -> tuple[ClassModel, DataFrame]:
+    """Cluster the words of the corpus and estimate the class model, from all of ``text``.
 
+    Returns the model, and a written table ``hash, n, class`` of all words but the ``core_words``.
     ``counts`` is the written table of ``word_counts``. Sizes that come to the driver are set by
-    the parameters: ``sent_words`` counts, and ``core_words + types`` rows a sweep.
+    the parameters: ``sent_words`` counts and classes, ``core_words + types`` rows a sweep, and
+    sums by class.
     """
     sums = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     tokens, distinct = int(sums["n"] or 0), int(sums["v"])
@@ -265,91 +366,172 @@ def fit_classes(
             found[order] = np.arange(units.number) % classes
             counted = class_contexts(around, units.number, found, classes)
         found = exchange(counted, found, classes, order)
-    counted = class_contexts(around, units.number, found, classes)
+    kind = np.arange(units.number) >= len(core)
+    counted = class_contexts(around, units.number, found + classes * kind, 2 * classes)
+    into, out = counted[0, :, :-1], counted[1, :, :-1]
+    twice = counted[1, :, -1]
 
     follow = np.zeros((classes, classes))
-    np.add.at(follow, found, counted[1, :, :classes])
-    np.add.at(follow, (found, found), counted[1, :, classes])
-    into = follow.sum(axis=0)
-    prior = (into + 1) / (into + 1).sum()
-    moves = (follow + 5 * prior) / (follow.sum(axis=1, keepdims=True) + 5)
-    # words of each class: core words, and all words of its spelling types
-    core_list = counts.sparkSession.createDataFrame(
-        [(int(h),) for h in core.view(np.int64)], "hash long"
+    np.add.at(follow, found, out[:, :classes] + out[:, classes:])
+    np.add.at(follow, (found, found), twice)
+    moves, prior = _moves(follow)
+    # P(class | before) P(after | class) / mass of the class, by neighbour and class
+    before = np.log(moves) - np.log(follow.sum(axis=0) + 1)
+    gains = np.concatenate([before, before, np.log(moves.T), np.log(moves.T)])
+    of_type = found[len(core):]
+    table = stage(
+        assign(word_contexts(texts, units, found, classes), of_type, gains, own_from), "words"
     )
-    spelled = (
-        counts.join(F.broadcast(core_list), "hash", "left_anti")
-        .groupBy("spelling").agg(F.count("*").alias("v"), F.sum("n").alias("n")).collect()
-    )
-    words, mass = np.zeros(units.number), np.zeros(units.number)
+    words = table.filter("code IS NULL").select("hash", "n", "class")
+
+    # what follows what, now by the words' own classes
+    sums = np.zeros((classes, 5 * classes))
+    for r in table.filter("code IS NOT NULL").groupBy("class", "code").agg(F.sum("n")).collect():
+        sums[r[0], r[1]] = r[2]
+    after_core, after_rare = sums[:, 2 * classes:3 * classes], sums[:, 3 * classes:4 * classes]
+    follow = np.zeros((classes, classes))
+    np.add.at(follow, found[: len(core)], out[: len(core), :classes])
+    np.add.at(follow, (found[: len(core)],) * 2, twice[: len(core)])
+    follow += sums[:, :classes].T + after_core
+    # of two rare words in a row the second is known by the class of its spelling: it counts for
+    # the classes that words of such spelling have gone to
+    went = sums[:, 4 * classes:].T
+    follow += after_rare @ (went / np.maximum(went.sum(axis=1, keepdims=True), 1))
+    moves, prior = _moves(follow)
+
     place = np.searchsorted(hashes, core)
-    words[rank], mass[rank] = n[place] > 0, n[place]
-    for r in spelled:
-        words[len(core) + r["spelling"]], mass[len(core) + r["spelling"]] = r["v"], r["n"]
-    held = np.bincount(found, mass, classes) + k * (np.bincount(found, words, classes) + 1)
+    own = found[rank]
+    mass = np.bincount(own, n[place], classes)
+    held_words = np.bincount(own, n[place] > 0, classes)
+    for r in words.groupBy("class").agg(F.count("*"), F.sum("n")).collect():
+        held_words[r[0]] += r[1]
+        mass[r[0]] += r[2]
+    held = mass + k * (held_words + 1)
     # each class has one event for all words never seen, which the share of plain counts shares
     plain = tokens + k * (distinct + classes)
     bracket = share * moves / held[None, :] + (1 - share) / plain
-    return ClassModel(
-        units, found, np.log10(bracket), hashes, n, tokens, distinct, k
+    top_classes = np.zeros(len(hashes), dtype=np.int64)
+    frequent = words.filter(F.col("n") >= least).select("hash", "class").toPandas()
+    at = np.searchsorted(hashes, frequent["hash"].to_numpy(np.int64).view(np.uint64))
+    top_classes[at] = frequent["class"].to_numpy()
+    top_classes[place] = own
+    model = ClassModel(
+        of_type, int(found[units.end]), np.log10(bracket), hashes, n, top_classes, tokens,
+        distinct, k,
     )
+    return model, words
+
+
+def _moves(follow: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Smoothed probabilities of a class after another one, and of a class."""
+    into = follow.sum(axis=0)
+    prior = (into + 1) / (into + 1).sum()
+    return (follow + 5 * prior) / (follow.sum(axis=1, keepdims=True) + 5), prior
 
 
 _SCORED = (
-    "row long, doc_id long, part double, known long, n_tokens long, words array<long>, "
-    "times array<int>, base double"
+    "row long, doc_id long, part double, known long, n_tokens long, base double, "
+    "words array<long>, spelled array<int>, which array<int>, left array<int>, right array<int>"
 )
 
 
 def _scored(texts: DataFrame, model: ClassModel) -> DataFrame:
-    """Per text what can be told without the counts of its rare words, and those words."""
+    """Per text what can be told without its rare words (those that are not sent along).
+
+    ``words`` are its rare words, each once, ``spelled`` the classes of their spelling; ``which`` says
+    for every place of a rare word which of them it is, ``left`` and ``right`` are the classes beside
+    it, -1 for another rare word.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        words = Spelled(model.units.types, model.columns)
-        end_class = model.classes[model.units.end]
+        words = Spelled(len(model.of_type), model.columns)
+        end = model.end_class
         end_count = model.top_counts[np.searchsorted(model.top, np.uint64(END))]
         row = TaskContext.get().partitionId() << 36
         for whole in batches:
             for batch in slices(whole, "text"):
                 n = batch.num_rows
                 found, sizes = words.rows(batch.column("text").to_pylist())
-                own, count = (c[found] for c in words.columns) if len(found) else (found, found)
-                own, count = (_with_ends(v, sizes, e) for v, e in ((own, end_class), (count, end_count)))
-                hashes = _with_ends(words.hash[found].view(np.int64), sizes, END)
-                previous = np.append(end_class, own[:-1])
-                sent = count >= 0
+                own, count, spelled = (
+                    (c[found] for c in words.columns) if len(found) else (found, found, found)
+                )
+                own, count = _with_ends(own, sizes, end), _with_ends(count, sizes, end_count)
+                previous, sent = np.append(end, own[:-1]), count >= 0
                 counted = np.where(sent, np.log10(np.maximum(count, 0) + model.k), 0.0)
+                moved = np.where(sent & (previous >= 0), model.log_bracket[previous, own], 0.0)
                 starts = np.cumsum(sizes + 1) - (sizes + 1)
-                total = sizes + 1
-                base = np.add.reduceat(counted, starts) if n else counted
-                part = np.add.reduceat(model.log_bracket[previous, own], starts) if n else counted
-                known = np.add.reduceat((count > 0).astype(np.int64), starts)
                 rare = np.flatnonzero(~sent)
-                doc = np.repeat(np.arange(n), total)[rare]
-                order = np.lexsort((hashes[rare], doc))
-                doc, word = doc[order], hashes[rare][order]
-                new = np.ones(len(doc), dtype=bool)
-                new[1:] = (doc[1:] != doc[:-1]) | (word[1:] != word[:-1])
-                first = np.flatnonzero(new)
-                times = np.diff(np.append(first, len(doc))).astype(np.int32)
-                cuts = np.searchsorted(doc[first], np.arange(n + 1)).astype(np.int32)
+                doc = np.repeat(np.arange(n), sizes + 1)[rare]
+                word = _with_ends(found, sizes, -1)[rare]
+                # words of a document in any order, each once
+                pair, first, which = np.unique(
+                    doc * max(len(words.hash), 1) + word, return_index=True, return_inverse=True
+                )
+                per = np.searchsorted(doc[first], np.arange(n + 1)).astype(np.int32)
+                cuts = pa.array(per)
+                places = pa.array(np.searchsorted(doc, np.arange(n + 1)).astype(np.int32))
+                lists = [
+                    (cuts, words.hash[word[first]].view(np.int64)),
+                    (cuts, words.columns[2][word[first]].astype(np.int32) if len(first) else per[:0]),
+                    (places, (which - per[doc]).astype(np.int32)),
+                    (places, previous[rare].astype(np.int32)),
+                    (places, own[rare + 1].astype(np.int32)),
+                ]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(row + np.arange(n)), batch.column("doc_id"),
-                        pa.array(part), pa.array(known), pa.array(total),
-                        pa.ListArray.from_arrays(pa.array(cuts), pa.array(word[first])),
-                        pa.ListArray.from_arrays(pa.array(cuts), pa.array(times)),
-                        pa.array(base),
+                        pa.array(np.add.reduceat(moved, starts)),
+                        pa.array(np.add.reduceat((count > 0).astype(np.int64), starts)),
+                        pa.array(sizes + 1), pa.array(np.add.reduceat(counted, starts)),
+                        *(pa.ListArray.from_arrays(c, pa.array(v)) for c, v in lists),
                     ],
-                    names=["row", "doc_id", "part", "known", "n_tokens", "words", "times", "base"],
+                    names=["row", "doc_id", "part", "known", "n_tokens", "base", "words",
+                           "spelled", "which", "left", "right"],
                 )
                 row += n
 
     return texts.select("doc_id", "text").mapInArrow(run, _SCORED)
 
 
+def _finished(scored: DataFrame, model: ClassModel) -> DataFrame:
+    """Add what the rare words of a text bring; ``at, class, n`` are lists of those in the table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.num_rows
+            per, found, places = (lengths(batch.column(c)) for c in ("spelled", "at", "which"))
+            start = np.cumsum(per) - per
+            own = batch.column("spelled").flatten().to_numpy().astype(np.int64)
+            count = np.zeros(len(own), dtype=np.int64)
+            at = np.repeat(start, found) + batch.column("at").flatten().to_numpy()
+            own[at] = batch.column("class").flatten().to_numpy()
+            count[at] = batch.column("n").flatten().to_numpy()
+            which = np.repeat(start, places) + batch.column("which").flatten().to_numpy()
+            doc = np.repeat(np.arange(rows), places)
+            own, count = own[which], count[which]
+            left, right = (batch.column(c).flatten().to_numpy() for c in ("left", "right"))
+            # beside a rare word on the left lies the place before in the list
+            left = np.where(left < 0, np.append(0, own)[:-1], left)
+            moved = model.log_bracket[left, own]
+            moved += np.where(right < 0, 0.0, model.log_bracket[own, right])
+            values = [
+                batch.column("doc_id"), batch.column("n_tokens"),
+                batch.column("known").to_numpy() + np.bincount(doc, count > 0, rows).astype(np.int64),
+                batch.column("base").to_numpy() + np.bincount(doc, np.log10(count + model.k), rows),
+                batch.column("part").to_numpy() + np.bincount(doc, moved, rows),
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v) if isinstance(v, np.ndarray) else v for v in values],
+                names=["doc_id", "n_tokens", "known", "counted", "part"],
+            )
+
+    return scored.mapInArrow(
+        run, "doc_id long, n_tokens long, known long, counted double, part double"
+    )
+
+
 def score_texts(docs: DataFrame, learn: Column, text: str = "text", doc_id: str = "doc_id",
                 **sizes) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` of every document.
@@ -362,8 +544,8 @@ def score_texts(docs: DataFrame, learn: Column, text: str = "text", doc_id: str
     gives no rows; other columns are not read.
 
     Texts are not shuffled. Counts are summed in every task first, so a frequent word is one row
-    a task. Words whose counts are not sent to the tasks (all but ``sent_words``) are joined with
-    the table of counts, one row a document and word.
+    a task. Words whose counts and classes are not sent to the tasks (all but ``sent_words``) are
+    joined with the table of words, one row a document and word.
     """
     ready(docs.sparkSession)
     types = sizes.setdefault("types", 1024)
@@ -373,22 +555,19 @@ def score_texts(docs: DataFrame, learn: Column, text: str = "text", doc_id: str
     )
     learned = body.filter("learned")
     counts = stage(word_counts(learned, types), "counts")
-    model = fit_classes(learned, counts, **sizes)
+    model, words = fit_classes(learned, counts, **sizes)
     scored = stage(_scored(body, model), "scored")
-    rare = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select(
-        "row", F.col("w.words").alias("hash"), F.col("w.times").alias("times")
-    )
-    looked_up = rare.join(counts.select("hash", F.col("n").alias("count")), "hash", "left")
-    rest = looked_up.groupBy("row").agg(
-        F.sum(F.col("times") * F.log10(F.coalesce("count", F.lit(0)) + F.lit(model.k))).alias("more"),
-        F.sum(F.when(F.col("count").isNotNull(), F.col("times")).otherwise(0)).alias("seen"),
+    rare = scored.select("row", F.posexplode("words").alias("at", "hash"))
+    found = F.collect_list(F.struct("at", "class", "n")).alias("l")
+    rest = rare.join(words, "hash").groupBy("row").agg(found).select(
+        "row", "l.at", "l.class", "l.n"
     )
-    counted = F.col("base") + F.coalesce("more", F.lit(0.0))
-    return scored.drop("words", "times").join(rest, "row", "left").select(
-        "doc_id",
-        "n_tokens",
-        (F.col("known") + F.coalesce("seen", F.lit(0))).cast("long").alias("n_known"),
+    done = _finished(scored.drop("words").join(rest, "row", "left").drop("row"), model)
+    return done.select(
+        "doc_id", "n_tokens", F.col("known").alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (counted - F.col("n_tokens") * F.lit(float(np.log10(model.base_mass)))).alias("base_score"),
-        (counted + F.col("part")).alias("score"),
+        (F.col("counted") - F.col("n_tokens") * F.lit(float(np.log10(model.base_mass)))).alias(
+            "base_score"
+        ),
+        (F.col("counted") + F.col("part")).alias("score"),
     )

@@ -72,6 +72,11 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_CHARS) -> Iterat
         start, base = stop, ends[stop - 1]
 
 
+def lengths(lists: pa.Array) -> np.ndarray:
+    """Number of entries of each list; none in a null."""
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def meet(rows: DataFrame, known: DataFrame, key: str, weight: str, total: int) -> DataFrame:
     """Inner join of ``rows`` with ``known``, which has one row a key.
 

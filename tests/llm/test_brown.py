@@ -67,20 +67,28 @@ def test_base_and_score(spark, language):
     assert 0.45 < gain < 0.62
 
 
-def test_probabilities_sum_to_one(spark, language):
+@pytest.mark.parametrize("core", [60, 20])
+def test_probabilities_sum_to_one(spark, language, core):
     """Over all known words, the end, and one event a class for words never seen."""
     df = spark.createDataFrame(language, "doc_id long, text string")
     counts = brown.stage(brown.word_counts(df, 16), "counts").cache()
-    model = brown.fit_classes(df, counts, **{**SIZES, "sent_words": 1000})
+    model, words = brown.fit_classes(df, counts, **{**SIZES, "sent_words": 1000, "core_words": core})
     rows = counts.collect()
     hashes = np.array([r["hash"] for r in rows], dtype=np.int64).view(np.uint64)
     spelling = np.array([r["spelling"] for r in rows])
-    of = model.classes[model.units.of(hashes, spelling)]
+    of, sent, _ = model.columns(hashes, spelling)
+    assert (sent == [r["n"] for r in rows]).all()
+    # words that are not exchanged are in the table, with the same counts and classes
+    assert {(r["hash"], r["n"], r["class"]) for r in words.collect()} <= {
+        (r["hash"], r["n"], c) for r, c in zip(rows, of)
+    } and words.count() == max(0, len(rows) - core)
     bracket = 10.0**model.log_bracket
     k = len(bracket)
     for before in range(k):
         total = sum((r["n"] + 0.1) * bracket[before, c] for r, c in zip(rows, of))
         assert total + 0.1 * bracket[before].sum() == pytest.approx(1.0)
+    if core < len(rows):
+        return
     # a class holds words of one language and kind
     named = {r["hash"]: c for r, c in zip(rows, of)}
     by: dict[int, Counter] = {}
@@ -131,7 +139,67 @@ def test_counts_that_are_not_sent_along(spark, language):
     """The join gives rare words what a larger table at hand would."""
     df = spark.createDataFrame(language, "doc_id long, text string")
     few, many = (
-        {r["doc_id"]: r["score"] for r in scored(df, **{**SIZES, "sent_words": n}).collect()}
+        {r["doc_id"]: r["score"] for r in scored(df, **{**SIZES, "core_words": 1, "sent_words": n}).collect()}
         for n in (5, 10_000)
     )
     assert few.keys() == many.keys()
+    for i, score in few.items():
+        assert score == pytest.approx(many[i], rel=1e-9), i
+
+
+def test_words_beyond_the_core_get_the_class_of_their_neighbours(spark, language):
+    """Of 48 words 20 go through exchange; the others follow them, and it shows held out."""
+    df = spark.createDataFrame(language, "doc_id long, text string")
+
+    def gain(**sizes):
+        rows = scored(df, **{**SIZES, "core_words": 20, "types": 4, **sizes}).collect()
+        out = [r for r in rows if held(r["doc_id"]) and r["n_tokens"] > 20]
+        return sum(r["score"] - r["base_score"] for r in out) / sum(r["n_tokens"] for r in out)
+
+    own, spelled = gain(), gain(own_from=1 << 40)
+    assert own > spelled + 0.1, (own, spelled)
+
+
+def test_classes_of_words_against_brute_force(spark, language):
+    """Neighbours by class, the class of every word, and the sums by class, in plain Python."""
+    k, types = 3, 5
+    texts = [tokens(t) for _, t in language[:60]]
+    count = Counter(w for t in texts for w in t)
+    number = {w: xxhash.xxh64_intdigest(w.encode()) if w else brown.END for w in count}
+    core = [None, *sorted(w for w in count if w)[:9]]
+    by_hash = sorted(core, key=number.get)
+    units = brown.Units(
+        np.array([number[w] for w in by_hash], np.uint64),
+        np.array([core.index(w) for w in by_hash]), types,
+    )
+    rng = np.random.default_rng(2)
+    classes, gains = rng.integers(0, k, len(core) + types), rng.normal(size=(4 * k, k))
+    spelled = {w: zlib.crc32(w.encode()[-3:]) % types for w in count if w}
+
+    def label(w):
+        return classes[core.index(w)] if w in core else k + classes[len(core) + spelled[w]]
+
+    around: dict[str, Counter] = {}
+    for t in texts:
+        for before, w, after in zip([None, *t], t, t[1:]):
+            if w not in core:
+                around.setdefault(w, Counter()).update([label(before), 2 * k + label(after)])
+    of_type = classes[len(core):]
+    want, sums = {}, Counter()
+    for w, near in around.items():
+        gain = sum(n * gains[c] for c, n in near.items())
+        own = int(np.argmax(gain)) if count[w] >= 30 else int(of_type[spelled[w]])
+        want[np.uint64(number[w]).view(np.int64)] = (count[w], own)
+        for c, n in near.items():
+            sums[own, int(c)] += n
+        sums[own, 4 * k + int(of_type[spelled[w]])] += count[w]
+
+    df = spark.createDataFrame(language[:60], "doc_id long, text string").repartition(3)
+    found = brown.word_contexts(df, units, classes, k)
+    rows = brown.assign(found, of_type, gains, own_from=30).collect()
+    assert {r["hash"]: (r["n"], r["class"]) for r in rows if r["code"] is None} == want
+    got = Counter()
+    for r in rows:
+        if r["code"] is not None:
+            got[r["class"], r["code"]] += r["n"]
+    assert got == sums
