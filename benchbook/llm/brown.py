@@ -26,13 +26,15 @@ from benchbook.llm.words import Spelled
 END = 0
 #: Bytes of text counted at once in Python; Spark sums what the parts of a task give.
 PART = 6_000_000
+#: Words a worker remembers at once.
+REMEMBERED = 300_000
 
 
 def word_counts(texts: DataFrame, types: int) -> DataFrame:
     """``hash, spelling, n`` of all words of ``text``, ends of texts among them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Spelled(types)
+        words = Spelled(types, limit=REMEMBERED)
         for whole in batches:
             for batch in slices(whole, "text", PART):
                 found, _ = words.rows(batch.column("text").to_pylist())
@@ -80,7 +82,7 @@ def unit_pairs(texts: DataFrame, units: Units) -> DataFrame:
     """``p, q, n``: how often unit ``q`` follows ``p``; texts begin after an end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Spelled(units.types, lambda h, s: [units.of(h, s)])
+        words = Spelled(units.types, lambda h, s: [units.of(h, s)], REMEMBERED)
         for whole in batches:
             for batch in slices(whole, "text", PART):
                 found, sizes = words.rows(batch.column("text").to_pylist())
@@ -183,15 +185,15 @@ def exchange(counts: np.ndarray, classes: np.ndarray, k: int, order: np.ndarray)
 
 
 def word_contexts(texts: DataFrame, units: Units, classes: np.ndarray, k: int) -> DataFrame:
-    """``hash, spelling, code, n``: neighbours of every word that is no frequent one, by class.
+    """``hash, code, n``: neighbours of every word that is no frequent one, by class.
 
-    Codes below ``2k`` are what stands before a word, the others what stands after it: in each half
-    first the class of a frequent word or the end, from ``k`` on that of a spelling type.
+    A code is the word's spelling type, then what stands before it and what after it, both in base
+    ``2k``: the class of a frequent word or the end, from ``k`` on that of a spelling type.
     """
     label = classes + k * (np.arange(units.number) >= len(units.core))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Spelled(units.types, lambda h, s: [units.of(h, s)])
+        words = Spelled(units.types, lambda h, s: [units.of(h, s)], REMEMBERED)
         for whole in batches:
             for batch in slices(whole, "text", PART):
                 found, sizes = words.rows(batch.column("text").to_pylist())
@@ -201,22 +203,18 @@ def word_contexts(texts: DataFrame, units: Units, classes: np.ndarray, k: int) -
                 row = _with_ends(np.where(unit < len(units.core), -1, found), sizes, -1)
                 of = _with_ends(label[unit], sizes, label[units.end])
                 at = np.flatnonzero(row >= 0)
-                start = row[at] * (4 * k)
-                before = start + np.append(label[units.end], of[:-1])[at]
+                before = np.append(label[units.end], of[:-1])[at]
                 # an end follows the last word of every text
-                after = start + 2 * k + of[at + 1]
-                code, n = np.unique(np.concatenate([before, after]), return_counts=True)
-                word = code // (4 * k)
+                pair = before * (2 * k) + of[at + 1]
+                code, n = np.unique(row[at] * (4 * k * k) + pair, return_counts=True)
+                word = code // (4 * k * k)
+                code += (words.spelling[word] - word) * (4 * k * k)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(words.hash[word].view(np.int64)),
-                        pa.array(words.spelling[word].astype(np.int32)),
-                        pa.array((code % (4 * k)).astype(np.int32)), pa.array(n),
-                    ],
-                    names=["hash", "spelling", "code", "n"],
+                    [pa.array(words.hash[word].view(np.int64)), pa.array(code), pa.array(n)],
+                    names=["hash", "code", "n"],
                 )
 
-    return texts.select("text").mapInArrow(run, "hash long, spelling int, code int, n long")
+    return texts.select("text").mapInArrow(run, "hash long, code long, n long")
 
 
 def assign(
@@ -225,36 +223,44 @@ def assign(
     """``hash, n, class, code``: the class of every word of ``word_contexts``, and its count.
 
     A word seen at least ``own_from`` times goes to the class of the largest sum of ``gains`` (by
-    code and class) over its neighbours, any other to ``of_type`` of its spelling. Rows with a code
-    and no hash add up the neighbours of a class by code; codes after the last one count its words'
-    tokens by the class of their spelling. One task yields a number of these that the model sets.
+    neighbour, those before a word first, and class) over its neighbours, any other to ``of_type``
+    of its spelling. Rows with a code and no hash add up the neighbours of a class; codes after the
+    last one count its words' tokens by the class of their spelling. One task yields a number of
+    these that the model sets.
 
     A word outside the frequent ones is a small part of all, and has at most one entry a code.
     """
     codes, k = gains.shape
+    half, wide = codes // 2, codes + k
     grouped = (
-        neighbours.repartition("hash")
-        .groupBy("hash", "spelling", "code").agg(F.sum("n").alias("n"))
-        .groupBy("hash", "spelling").agg(F.collect_list(F.struct("code", "n")).alias("l"))
-        .select("hash", "spelling", F.col("l.code").alias("code"), F.col("l.n").alias("n"))
+        neighbours.repartition("hash").groupBy("hash", "code").agg(F.sum("n").alias("n"))
+        .groupBy("hash").agg(F.collect_list(F.struct("code", "n")).alias("l"))
+        .select("hash", F.col("l.code").alias("code"), F.col("l.n").alias("n"))
     )
     names = ["hash", "n", "class", "code"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((k, codes + k))
+        sums = np.zeros((k, wide))
         for whole in batches:
             for start in range(0, whole.num_rows, 4096):
                 batch = whole.slice(start, 4096)
                 rows = batch.num_rows
-                place = np.repeat(np.arange(rows), lengths(batch.column("code")))
+                per = lengths(batch.column("code"))
+                place = np.repeat(np.arange(rows), per)
                 code = batch.column("code").flatten().to_numpy()
                 times = batch.column("n").flatten().to_numpy().astype(np.float64)
-                seen = np.bincount(place * codes + code, times, rows * codes).reshape(rows, codes)
-                n = seen[:, : codes // 2].sum(axis=1)
-                spelled = of_type[batch.column("spelling").to_numpy()]
-                found = np.where(n >= own_from, np.argmax(seen @ gains, axis=1), spelled)
-                np.add.at(sums, (found[place], code), times)
-                np.add.at(sums, (found, codes + spelled), n)
+                before, after = code // half % half, half + code % half
+                seen = np.bincount(place * codes + before, times, rows * codes)
+                seen += np.bincount(place * codes + after, times, rows * codes)
+                n = np.bincount(place, times, rows)
+                spelled = of_type[code[np.cumsum(per) - per] // (half * half)]
+                best = np.argmax(seen.reshape(rows, codes) @ gains, axis=1)
+                found = np.where(n >= own_from, best, spelled)
+                for at, times_at in (
+                    (found[place] * wide + before, times), (found[place] * wide + after, times),
+                    (found * wide + codes + spelled, n),
+                ):
+                    sums += np.bincount(at, times_at, k * wide).reshape(k, wide)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("hash"), pa.array(n.astype(np.int64)),
@@ -446,7 +452,7 @@ def _scored(texts: DataFrame, model: ClassModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        words = Spelled(len(model.of_type), model.columns)
+        words = Spelled(len(model.of_type), model.columns, REMEMBERED)
         end = model.end_class
         end_count = model.top_counts[np.searchsorted(model.top, np.uint64(END))]
         row = TaskContext.get().partitionId() << 36
