@@ -26,23 +26,20 @@ from benchbook.llm.words import Spelled
 END = 0
 #: Bytes of text counted at once in Python; Spark sums what the parts of a task give.
 PART = 6_000_000
-#: Words a worker remembers at once.
-REMEMBERED = 300_000
 
 
 def word_counts(texts: DataFrame, types: int) -> DataFrame:
     """``hash, spelling, n`` of all words of ``text``, ends of texts among them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Spelled(types, limit=REMEMBERED)
         for whole in batches:
             for batch in slices(whole, "text", PART):
-                found, _ = words.rows(batch.column("text").to_pylist())
-                rows, n = np.unique(found, return_counts=True)
+                words = Spelled.of(batch.column("text"), types)
+                n = np.bincount(words.at, minlength=len(words.hash))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.append(words.hash[rows].view(np.int64), END)),
-                        pa.array(np.append(words.spelling[rows], 0).astype(np.int32)),
+                        pa.array(np.append(words.hash.view(np.int64), END)),
+                        pa.array(np.append(words.spelling, 0).astype(np.int32)),
                         pa.array(np.append(n, batch.num_rows)),
                     ],
                     names=["hash", "spelling", "n"],
@@ -82,12 +79,11 @@ def unit_pairs(texts: DataFrame, units: Units) -> DataFrame:
     """``p, q, n``: how often unit ``q`` follows ``p``; texts begin after an end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Spelled(units.types, lambda h, s: [units.of(h, s)], REMEMBERED)
         for whole in batches:
             for batch in slices(whole, "text", PART):
-                found, sizes = words.rows(batch.column("text").to_pylist())
-                own = words.columns[0][found] if len(found) else found
-                after = _with_ends(own, sizes, units.end)
+                words = Spelled.of(batch.column("text"), units.types)
+                own = units.of(words.hash, words.spelling)[words.at]
+                after = _with_ends(own, words.sizes, units.end)
                 before = np.append(units.end, after[:-1])
                 code, n = np.unique(before * units.number + after, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
@@ -193,15 +189,12 @@ def word_contexts(texts: DataFrame, units: Units, classes: np.ndarray, k: int) -
     label = classes + k * (np.arange(units.number) >= len(units.core))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Spelled(units.types, lambda h, s: [units.of(h, s)], REMEMBERED)
         for whole in batches:
             for batch in slices(whole, "text", PART):
-                found, sizes = words.rows(batch.column("text").to_pylist())
-                if not len(found):
-                    continue
-                unit = words.columns[0][found]
-                row = _with_ends(np.where(unit < len(units.core), -1, found), sizes, -1)
-                of = _with_ends(label[unit], sizes, label[units.end])
+                words = Spelled.of(batch.column("text"), units.types)
+                unit = units.of(words.hash, words.spelling)[words.at]
+                row = _with_ends(np.where(unit < len(units.core), -1, words.at), words.sizes, -1)
+                of = _with_ends(label[unit], words.sizes, label[units.end])
                 at = np.flatnonzero(row >= 0)
                 before = np.append(label[units.end], of[:-1])[at]
                 # an end follows the last word of every text
@@ -295,13 +288,12 @@ class ClassModel:
     distinct: int  # V
     k: float
 
-    def columns(self, hashes: np.ndarray, spelling: np.ndarray) -> list[np.ndarray]:
-        """Class and count (-1: not sent along) of words, and the class of their spelling."""
+    def columns(self, hashes: np.ndarray) -> list[np.ndarray]:
+        """Class and count of words, -1 where they are not sent along."""
         at = np.minimum(np.searchsorted(self.top, hashes), len(self.top) - 1)
         sent = self.top[at] == hashes
         return [
             np.where(sent, self.top_classes[at], -1), np.where(sent, self.top_counts[at], -1),
-            self.of_type[spelling],
         ]
 
     @property
@@ -452,17 +444,15 @@ def _scored(texts: DataFrame, model: ClassModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        words = Spelled(len(model.of_type), model.columns, REMEMBERED)
         end = model.end_class
         end_count = model.top_counts[np.searchsorted(model.top, np.uint64(END))]
         row = TaskContext.get().partitionId() << 36
         for whole in batches:
             for batch in slices(whole, "text"):
                 n = batch.num_rows
-                found, sizes = words.rows(batch.column("text").to_pylist())
-                own, count, spelled = (
-                    (c[found] for c in words.columns) if len(found) else (found, found, found)
-                )
+                words = Spelled.of(batch.column("text"), len(model.of_type))
+                found, sizes = words.at, words.sizes
+                own, count = (c[found] for c in model.columns(words.hash))
                 own, count = _with_ends(own, sizes, end), _with_ends(count, sizes, end_count)
                 previous, sent = np.append(end, own[:-1]), count >= 0
                 counted = np.where(sent, np.log10(np.maximum(count, 0) + model.k), 0.0)
@@ -480,7 +470,7 @@ def _scored(texts: DataFrame, model: ClassModel) -> DataFrame:
                 places = pa.array(np.searchsorted(doc, np.arange(n + 1)).astype(np.int32))
                 lists = [
                     (cuts, words.hash[word[first]].view(np.int64)),
-                    (cuts, words.columns[2][word[first]].astype(np.int32) if len(first) else per[:0]),
+                    (cuts, model.of_type[words.spelling[word[first]]].astype(np.int32)),
                     (places, (which - per[doc]).astype(np.int32)),
                     (places, previous[rare].astype(np.int32)),
                     (places, own[rare + 1].astype(np.int32)),

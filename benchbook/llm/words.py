@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import itertools
 import zlib
-from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 #: Words that are remembered at once; with more, a worker starts anew.
@@ -63,43 +65,32 @@ def shingles(hashes: np.ndarray, sizes: np.ndarray, width: int) -> tuple[np.ndar
     return mixed(out), counts
 
 
+@dataclass(frozen=True)
 class Spelled:
-    """Words of texts as rows of a growing table: 64-bit hash, spelling type, and what a model
-    adds. Words are runs without ASCII white space, A-Z lower-cased, nothing else changed."""
-
-    def __init__(self, types: int, extra: Callable | None = None, limit: int = LIMIT):
-        self.types, self.extra, self.limit = types, extra, limit
-        self.clear()
-
-    def clear(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.hash, self.spelling = np.empty(0, np.uint64), np.empty(0, np.int64)
-        self.columns: list[np.ndarray] = []
-
-    def _learn(self, words: list[bytes]) -> None:
-        n = len(self.index)
-        self.index.update(zip(words, range(n, n + len(words))))
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    """The words of some texts: runs without ASCII white space, A-Z lower-cased, nothing else
+    changed. Arrow cuts the texts and numbers distinct words, so Python sees each of those once."""
+
+    at: np.ndarray  # number of each word, in the order of the texts
+    sizes: np.ndarray  # words of each text
+    hash: np.ndarray  # 64-bit hash, by number
+    spelling: np.ndarray  # spelling type, by number
+
+    @classmethod
+    def of(cls, texts: pa.Array, types: int) -> Spelled:
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        words, sizes = split.flatten(), pc.list_value_length(split).to_numpy()
+        # white space at the ends of a text leaves empty words there
+        real = pc.greater(pc.binary_length(words), 0)
+        if not pc.all(real, min_count=0).as_py():
+            kept = real.to_numpy(zero_copy_only=False)
+            text = np.repeat(np.arange(len(sizes)), sizes)
+            sizes = np.bincount(text[kept], minlength=len(sizes))
+            words = words.filter(real)
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+        n = len(distinct)
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, distinct), np.uint64, n)
         # the last three bytes say most about the form of a word and its language
-        spelled = np.fromiter((zlib.crc32(w[-3:]) for w in words), np.int64, len(words))
-        spelled %= self.types
-        self.hash = np.concatenate([self.hash, hashes])
-        self.spelling = np.concatenate([self.spelling, spelled])
-        if self.extra:
-            new = self.extra(hashes, spelled)
-            self.columns = (
-                [np.concatenate([a, b]) for a, b in zip(self.columns, new)] if n else list(new)
-            )
-
-    def rows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Row numbers of the words of all texts in order, and the number of words of each."""
-        split = [t.encode().lower().split() for t in texts]
-        words = list(itertools.chain.from_iterable(split))
-        seen = set(words)
-        if new := seen.difference(self.index):
-            if len(self.index) + len(new) > self.limit:
-                self.clear()
-                new = seen
-            self._learn(list(new))
-        found = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        return found, np.fromiter(map(len, split), np.int64, len(split))
+        spelling = np.fromiter((zlib.crc32(w[-3:]) for w in distinct), np.int64, n) % types
+        at = coded.indices.to_numpy().astype(np.int64)
+        return cls(at, sizes.astype(np.int64), hashes, spelling)

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -75,8 +76,7 @@ def test_probabilities_sum_to_one(spark, language, core):
     model, words = brown.fit_classes(df, counts, **{**SIZES, "sent_words": 1000, "core_words": core})
     rows = counts.collect()
     hashes = np.array([r["hash"] for r in rows], dtype=np.int64).view(np.uint64)
-    spelling = np.array([r["spelling"] for r in rows])
-    of, sent, _ = model.columns(hashes, spelling)
+    of, sent = model.columns(hashes)
     assert (sent == [r["n"] for r in rows]).all()
     # words that are not exchanged are in the table, with the same counts and classes
     assert {(r["hash"], r["n"], r["class"]) for r in words.collect()} <= {
@@ -203,3 +203,16 @@ def test_classes_of_words_against_brute_force(spark, language):
         if r["code"] is not None:
             got[r["class"], r["code"]] += r["n"]
     assert got == sums
+
+
+def test_words_of_texts():
+    rng = random.Random(1)
+    signs = [*" \t\n\x0b\x0c\r\x1c\x85\xa0\u2003AbZ\u00c9\u00e9\u0130\u00df\U0001f6000"]
+    texts = ["".join(rng.choices(signs, k=rng.randrange(12))) for _ in range(5000)]
+    for part in (texts + ["", "   ", " a", "a "], ["", " "], []):
+        found = brown.Spelled.of(pa.array(part, pa.string()), 64)
+        plain = [[w.encode() for w in tokens(t)[:-1]] for t in part]
+        words = [w for t in plain for w in t]
+        assert found.sizes.tolist() == [len(t) for t in plain]
+        assert found.hash[found.at].tolist() == [xxhash.xxh64_intdigest(w) for w in words]
+        assert found.spelling[found.at].tolist() == [zlib.crc32(w[-3:]) % 64 for w in words]
