@@ -20,7 +20,7 @@ from benchbook.plans import corpus
 from benchbook.plans.ingest import (
     LOST, ingest, ingest_objects, ingest_pages, ingest_recognised,
 )
-from benchbook.session import fresh_folder, once_per_session, remove, stage
+from benchbook.session import fresh_folder, local_path, once_per_session, remove, stage
 from benchbook.sources import keys, objects, pages
 from benchbook.sources.texts import spread
 from benchbook.streaming.ingest import read_documents, stream_ingest
@@ -192,10 +192,17 @@ def read_objects(spark, sf_dir):
     """Every page of html as an object of its own (with a line end), read back whole."""
     root = fresh_folder(spark, "objects")
     html = corpus.table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("value"))
-    html.write.partitionBy("page_id").text(root)
+    if folder := local_path(spark, root):
+        some = F.concat(F.lit("some="), F.pmod("page_id", F.lit(256)).cast("string"))
+        name = F.concat(F.lit("page_id="), F.col("page_id").cast("string"))
+        objects.write_objects(
+            html.select(some.alias("folder"), name.alias("name"), "value"), folder, together=True
+        )
+    else:
+        html.write.partitionBy("page_id").text(root)
     found = objects.read_objects(spark, root, "*.txt")
     return found.select(
-        F.regexp_extract("path", "/page_id=([0-9]+)/", 1).cast("long").alias("page_id"),
+        F.regexp_extract("path", "/page_id=([0-9]+)[/-]", 1).cast("long").alias("page_id"),
         "length",
         F.sha2("content", 256).alias("content_hash"),
     )
@@ -203,9 +210,19 @@ def read_objects(spark, sf_dir):
 
 def _object_tree(judgments: DataFrame, root: str) -> None:
     """Every raw judgment as an object of its own (with a line end) in the folder of its year."""
-    rows = judgments.select(F.col("raw_text").alias("value"), F.col("key_year").alias("year"))
-    files = spread(rows).write.mode("append").option("maxRecordsPerFile", 1).partitionBy("year")
-    files.text(f"{root}/{V.KEY_ROOT}")
+    rows = spread(judgments.select(F.col("raw_text").alias("value"), F.col("key_year").alias("year")))
+    top = f"{root}/{V.KEY_ROOT}"
+    if folder := local_path(rows.sparkSession, top):
+        year = F.coalesce(F.col("year").cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+        objects.write_objects(
+            rows.select(
+                F.concat(F.lit("year="), year).alias("folder"),
+                F.hex(F.xxhash64("value")).alias("name"), "value",
+            ),
+            folder,
+        )
+    else:
+        rows.write.mode("append").option("maxRecordsPerFile", 1).partitionBy("year").text(top)
 
 
 @query(

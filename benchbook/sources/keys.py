@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from benchbook.functions import fixed_values as V
-from benchbook.session import exists, matches, remove, stage
+from benchbook.session import exists, filled_folders, remove, stage
+from benchbook.sources.texts import gathered
 
 INVENTORY = "key string, length long, modified timestamp, year int"
 
@@ -45,23 +46,25 @@ def list_objects(
     not exist being left out; without ``years`` all are.
     """
     columns = "key string, year int, length long, modified timestamp"
-    top, language = f"{root}/{V.KEY_ROOT}", language or "*"
+    top, below = f"{root}/{V.KEY_ROOT}", f"/{language}" if language else ""
     if years is None:
-        asked = [f"{top}year=*/{language}"]
+        asked = [f"{top}year=*{below}"]
     else:
         there = [y for y in sorted(set(years)) if exists(spark, f"{top}year={y}")]
-        asked = [f"{top}year={y}/{language}" for y in there]
-    listed = [path for path in asked if matches(spark, path)]
+        asked = [f"{top}year={y}{below}" for y in there]
+    # folders, never their files: each path handed to the reader is listed as a root of its own
+    listed = [folder for path in asked for folder in filled_folders(spark, path)]
     if not listed:
         return spark.createDataFrame([], columns)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "false")
     files = reader.option("basePath", top).load(listed)
     if years is not None:
         files = files.filter(F.col("year").isin(*years))
-    return files.select(
+    listed = files.select(
         key_of("path").alias("key"), F.col("year").cast("int").alias("year"), "length",
         F.col("modificationTime").alias("modified"),
     )
+    return gathered(files, listed, contents=False)
 
 
 def inventory(spark: SparkSession, root: str) -> DataFrame:

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +15,7 @@ from benchbook.functions import fixed_values as V
 from benchbook.functions.normalize import clean_text
 from benchbook.session import exists
 from benchbook.sources.keys import key_of
+from benchbook.sources.texts import gathered
 
 
 def read_objects(spark: SparkSession, path: str, glob: str = "*.[pP][dD][fF]") -> DataFrame:
@@ -17,13 +23,63 @@ def read_objects(spark: SparkSession, path: str, glob: str = "*.[pP][dD][fF]") -
 
     ``readable_objects`` goes on past them.
     """
-    return (
+    files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .load(path)
-        .select("path", "length", "content")
     )
+    return gathered(files, files.select("path", "length", "content"))
+
+
+def write_objects(rows: DataFrame, folder: str, together: bool = False) -> None:
+    """``folder, name, value`` as files of text below a mounted ``folder``, each ended by a line end.
+
+    The tasks that have the rows write them, named ``name``, a mark of this call, the number of the
+    task and a count; with ``together`` rows of one name in a task are lines of one object. A
+    task that runs again writes the same names, and a file appears only when it is whole.
+
+    For folders on the file system of the machines only. Spark's writers go through Hadoop's
+    class for those, which without its native library starts a process for every file it makes
+    (``chmod``); hundreds of thousands of small objects then cost minutes that no object asks for.
+    """
+    mark = uuid.uuid4().hex[:12]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import os
+
+        task = TaskContext.get()
+        part, attempt = task.partitionId(), task.taskAttemptId()
+        last, number, lines, made = None, 0, [], set()
+
+        def put() -> None:
+            place = f"{folder}/{last[0]}"
+            if place not in made:
+                os.makedirs(place, exist_ok=True)
+                made.add(place)
+            name = f"{last[1]}-{mark}-{part:05d}-{number}.txt"
+            with open(f"{place}/.{name}.{attempt}", "wb") as file:
+                file.write(b"".join(lines))
+            os.replace(f"{place}/.{name}.{attempt}", f"{place}/{name}")
+
+        written = 0
+        for batch in batches:
+            for *to, value in zip(*(c.to_pylist() for c in batch.columns)):
+                if lines and not (together and to == last):
+                    put()
+                    written += 1
+                    lines = []
+                number = number + 1 if to == last and not lines else 0
+                last = to
+                lines += [value or b"", b"\n"]
+        if lines:
+            put()
+            written += 1
+        yield pa.RecordBatch.from_pydict({"n": [written]})
+
+    columns = rows.select("folder", "name", F.col("value").cast("binary").alias("value"))
+    files = columns.sortWithinPartitions("folder", "name").mapInArrow(run, "n long")
+    files.write.format("noop").mode("overwrite").save()
 
 
 def readable_objects(
@@ -45,7 +101,8 @@ def readable_objects(
     else:
         reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
         reader = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
-        found = reader.load(folders)
+        files = reader.load(folders)
+        found = gathered(files, files.select("path", "content"))
     found = found.select(key_of("path", prefix).alias("key"), "content")
     expected = ["length"] if "length" in listing.columns else []
     both = found.join(listing.select("key", "year", *expected).distinct(), "key")

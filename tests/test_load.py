@@ -14,6 +14,7 @@ from benchbook.operators.record import extract_record
 from benchbook.plans.ingest import (
     LOST, ingest, ingest_objects, ingest_pages, ingest_recognised,
 )
+from benchbook.plans import queries
 from benchbook.session import folders_in, remove
 from benchbook.sources import keys, objects
 from benchbook.sources.texts import spread
@@ -546,6 +547,66 @@ def test_only_asked_years_are_listed(spark, tmp_path):
     assert keys.list_objects(spark, str(tmp_path), [1951], "hindi").count() == 0
 
 
+def test_listing_hands_folders_to_the_reader(spark, tmp_path):
+    """Objects right below their year are not made roots of their own, one by one."""
+    for n in range(40):
+        path = tmp_path / f"data/pdf/year={1950 + n % 2}/{n:05d}.pdf"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(b"x" * (n + 1))
+    (tmp_path / "data/pdf/year=1952").mkdir()
+    for asked in (None, [1950, 1951, 1952, 2040]):
+        listed = keys.list_objects(spark, str(tmp_path), asked)
+        assert sorted((r.length, r.year) for r in listed.collect()) == [(n + 1, 1950 + n % 2) for n in range(40)]
+        assert "InMemoryFileIndex(2 paths)" in listed._jdf.queryExecution().executedPlan().toString()
+    assert keys.list_objects(spark, str(tmp_path), [1952]).count() == 0
+
+
+def test_many_small_objects_are_few_tasks(spark, tmp_path):
+    made = spark.range(6000).select(
+        F.concat(F.lit("data/pdf/year="), F.col("id") % 3 + 1950).alias("folder"),
+        F.col("id").cast("string").alias("name"), F.col("id").cast("string").alias("value"),
+    )
+    objects.write_objects(made, str(tmp_path))
+    listed = keys.list_objects(spark, str(tmp_path))
+    known = spark.createDataFrame(listed.collect(), listed.schema)
+    read = objects.readable_objects(spark, str(tmp_path), known)
+    every = objects.read_objects(spark, str(tmp_path), "*.txt")
+    for found in (listed, read, every):
+        assert found.count() == 6000
+        assert found.rdd.getNumPartitions() <= 8
+    values = read.select(F.btrim(F.col("content").cast("string"), F.lit("\n")).cast("int"))
+    assert sorted(r[0] for r in values.collect()) == list(range(6000))
+
+
+def test_written_objects(spark, tmp_path):
+    rows = [("a=1", "x", "one"), ("a=1", "x", "one"), ("a=1", "y", None), ("a=2", "x", "tw\u00f6\nlines")]
+    rows = spark.createDataFrame(rows, "folder string, name string, value string").coalesce(1)
+    for folder, together in (("apart", False), ("together", True)):
+        for _ in range(2):  # a second call leaves the objects of the first alone
+            objects.write_objects(rows, str(tmp_path / folder), together)
+    def made(folder):
+        files = [p for p in (tmp_path / folder).rglob("*") if p.is_file()]
+        assert all(p.name.endswith(".txt") and p.name[0] in "xy" for p in files)  # nothing beside them
+        return sorted((p.parent.name, p.name[0], p.read_text()) for p in files)
+    other = [("a=1", "y", "\n"), ("a=2", "x", "tw\u00f6\nlines\n")] * 2
+    assert made("apart") == sorted([("a=1", "x", "one\n")] * 4 + other)
+    assert made("together") == sorted([("a=1", "x", "one\none\n")] * 2 + other)
+
+
+def test_object_tree_makes_no_process_a_file(spark, tmp_path):
+    """Hadoop's local files come with a checksum file each and a ``chmod`` for either."""
+    judgments = spark.createDataFrame(
+        [("a", 1950), ("a", 1950), ("b", 1951), (None, None)], "raw_text string, key_year int"
+    )
+    queries._object_tree(judgments, str(tmp_path))
+    files = [p for p in tmp_path.rglob("*") if p.is_file()]
+    made = sorted((p.parent.name, p.read_text()) for p in files)
+    assert made == [
+        ("year=1950", "a\n"), ("year=1950", "a\n"), ("year=1951", "b\n"),
+        ("year=__HIVE_DEFAULT_PARTITION__", "\n"),
+    ]
+
+
 def test_init_store_keeps_rows(spark, tmp_path):
     root = str(tmp_path)
     store.init_store(spark, root)
