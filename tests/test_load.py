@@ -17,7 +17,7 @@ from benchbook.plans.ingest import (
 from benchbook.plans import queries
 from benchbook.session import folders_in, remove
 from benchbook.sources import keys, objects
-from benchbook.sources.texts import spread
+from benchbook.sources.texts import read_texts, spread
 from benchbook.streaming.ingest import read_documents, stream_ingest
 
 LEGAL = (
@@ -547,6 +547,24 @@ def test_only_asked_years_are_listed(spark, tmp_path):
     assert keys.list_objects(spark, str(tmp_path), [1951], "hindi").count() == 0
 
 
+def test_one_row_group_cut_into_many_splits_is_dealt_out(spark, tmp_path):
+    """All rows of a row group come with one split; the others of its file are empty."""
+    path = str(tmp_path / "table")
+    rows = spark.range(2000).select("id", F.sha2(F.col("id").cast("string"), 512).alias("text"))
+    rows.repartition(1).write.parquet(path)
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        table = spark.read.parquet(path)
+        assert table.rdd.getNumPartitions() > 8
+        for dealt in (spread(table), read_texts(spark, path, "id"), spread(table.filter("id < 1000"))):
+            sizes = [n for n in dealt.rdd.glom().map(len).collect() if n]
+            assert len(sizes) == 4 and max(sizes) < 2 * min(sizes)
+        assert spread(table).count() == 2000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+
+
 def test_listing_hands_folders_to_the_reader(spark, tmp_path):
     """Objects right below their year are not made roots of their own, one by one."""
     for n in range(40):
