@@ -11,25 +11,27 @@ from benchbook.functions.regex import (
     all_groups,
     collapse,
     found,
-    halves,
     jvm,
     let,
     replace_all,
     strip,
+    through_first,
 )
 
 
 def _closed_block(window: Column, pattern: str, closer: str) -> Column:
-    def span(parts: Column) -> Column:
+    def span(through: Column) -> Column:
         return F.when(
-            F.size(parts) == 2,
+            through != "",
             F.struct(
-                strip(F.regexp_extract(window, jvm(pattern, "i"), 1)).alias("raw"),
-                (F.length(window) - F.length(F.get(parts, 1))).alias("end"),
+                strip(F.regexp_extract(through, jvm(pattern, "i"), 1)).alias("raw"),
+                F.length(through).alias("end"),
             ),
         )
 
-    return let(F.when(F.contains(window, F.lit(closer)), halves(window, pattern, "i")), span)
+    return let(
+        F.when(F.contains(window, F.lit(closer)), through_first(window, pattern, "i")), span
+    )
 
 
 def _damaged_block(window: Column) -> Column:

@@ -38,7 +38,7 @@ def judgment_date(header: Column) -> Column:
     """Date text as found; the first pattern that occurs anywhere wins."""
     return strip(
         F.coalesce(
-            *[first_group(header, ahead + p, flags="i") for p, ahead in zip(V.DATES, V.DATE_STARTS)]
+            *[first_group(header, pattern, 0, "i") for pattern in V.DATES_FAST]
         )
     )
 

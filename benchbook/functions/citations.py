@@ -22,7 +22,7 @@ def _cites(text: Column, low: Column, kind: str) -> Column:
     pattern, form = V.CITATIONS[kind]
     hits = F.when(
         holds_any(low, V.CITATION_WORDS[kind]),
-        all_groups(text, V.CITATION_STARTS[kind] + pattern, flags="i"),
+        all_groups(text, V.CITATIONS_FAST[kind], flags="i"),
     ).otherwise(F.array().cast("array<string>"))
     return F.transform(hits, lambda hit: replace_all(hit, pattern, form, "i"))
 
@@ -49,6 +49,6 @@ def _provision(hit: Column) -> Column:
 def acts_cited(text: Column, low: Column) -> Column:
     hits = F.when(
         holds_any(low, V.PROVISION_WORDS),
-        all_groups(text, V.PROVISION_START + V.PROVISION, flags="i"),
+        all_groups(text, V.PROVISION_FAST, flags="i"),
     ).otherwise(F.array().cast("array<string>"))
     return _sorted_set(F.transform(hits, _provision))

@@ -2,15 +2,20 @@
 
 The patterns are plain regular expressions with Unicode ``\\s``/``\\w``/``\\b`` and an
 absolute-end ``\\Z``; ``regex.jvm`` spells them for the JVM engine.
+
+The engine tries every position. A look-ahead, ``\\b`` or choice there costs several times a plain
+character class, so the forms named ``..._FAST``, which find the same, take their first
+characters by classes and look back for the rest.
 """
 
 # ---- text normalisation ------------------------------------------------------------
 BANNER = r"in\s+the\s+supreme\s+court\s+of\s+india\s*"
 REPORTABLE = r"not\s+reportable\s*|reportable\s*"
+REPORTABLE_FAST = r"(?-i:[nNrR][oOeE][tTpP])(?:(?<=rep)ortable|(?<=not)\s+reportable)\s*"
 PAGE_NUMBER_LINE = r"\n\s*\d{1,4}\s*\n"
 # a match never begins after another line break of the same blank run, so only the first one is
 # tried; long blank runs would cost the square of their length otherwise
-PAGE_NUMBER_START = r"(?=\n)(?<!\n\s{0,99})"
+PAGE_NUMBER_START = r"(?=\n[\s\d])(?<!\n\s{0,99})"
 MARGIN_LETTER_LINE = r"\n\s*[A-H]\s*\n"
 LONE_LETTERS = r"^(?:\b[a-zA-Z]\b\s*)+"
 EDGE_PUNCTUATION = r"^[^\w]+|[^\w]+$"
@@ -45,7 +50,16 @@ DATES = (
 # how a match of these patterns begins (any case); put before the pattern as a look-ahead it
 # turns most positions down at once
 CASE_NUMBER_START = "(?=[cwstroap][irlpeua][viepasrft])"
-DATE_STARTS = (r"(?=\d)", "(?=[jfmasond][aceopu][bcglnprtvy])", r"(?=\d)", r"(?=\d)")
+DATE_STARTS = (
+    r"(?=\d)", "(?-i:(?=[jfmasondJFMASOND\u017f][aceopuACEOPU][bcglnprtvyBCGLNPRTVY]))", r"(?=\d)",
+    r"(?=\d)",
+)
+DATES_FAST = (
+    r"\d(?<=\b\d)\d?[\s\.,\-]+" + MONTH + r"[\s\.,\-]+\d{4}\b",
+    DATE_STARTS[1] + DATES[1],
+    r"\d(?<=\b\d)\d{3}[\s\.,\-]*" + MONTH + r"[\s\.,\-]*\d{1,2}\b",
+    r"\d(?<=\b\d)\d?[\-\/]\d{1,2}[\-\/]\d{4}\b",
+)
 YEAR_WORD = r"\b(\d{4})\b"
 YEAR_IN_KEY = r"year=(\d{4})|/(\d{4})/"
 
@@ -88,6 +102,12 @@ CITATION_WORDS = {
 }
 
 CITATION_STARTS = {"scc": "", "air": "", "scr": "", "insc": r"(?=\d)"}
+CITATIONS_FAST = {
+    "scc": CITATIONS["scc"][0],
+    "air": r"(?-i:[aA])(?<=\b.)\.?I\.?R\.?\s*\d{4}\s*S\.?C\.?\s*\d+\b",
+    "scr": CITATIONS["scr"][0],
+    "insc": r"\d(?<=\b\d)\d{3}\s*INSC\s*\d+\b",
+}
 
 # ---- statutes ------------------------------------------------------------------------
 ACT_NAMES = (
@@ -103,8 +123,13 @@ PROVISION = (
     r"\b(Section|Sec\.?|Article|Art\.?|Order|Rule)\s+(\d+[\w\(\)\-\/,]*)\s+"
     r"(?:of\s+)?(?:the\s+)?(" + ACT_NAMES + r")\b"
 )
+PROVISION_FAST = (
+    r"(?-i:[saorSAOR\u017f][eruERU][ctdlCTDL])(?<=\b...)"
+    r"(?:(?<=sec)(?:tion|\.)?|(?<=art)(?:icle|\.)?|(?<=ord)er|(?<=rul)e)\s+\d+[\w\(\)\-\/,]*\s+"
+    r"(?:of\s+)?(?:the\s+)?" + ACT_NAMES + r"\b"
+)
 PROVISION_WORDS = ("sec", "art", "order", "rule")
-PROVISION_START = "(?=[saor\u017f])"
+PROVISION_START = "(?-i:(?=[saorSAOR\u017f][eruERU][ctdlCTDL]))"
 # applied in this order
 ACT_SHORT_NAMES = (
     (r"\bI\.?P\.?C\.?\b", "IPC"),
@@ -142,13 +167,14 @@ VERSUS_INLINE = r"\s+\b(?:v|vs|versus|v\.p|v\.s|I'\.)\b\.?\s+"
 SUMMARY_MARKER = (
     r"(?:Issue for consideration|HEADNOTE[S]?|Summary)\s*[:\-]?\s*(.+?)(?=\n\n|\n[A-Z][a-z]+|\Z)"
 )
+SUMMARY_MARKER_START = "(?-i:(?=[ihsIHS\u0130\u0131\u017f][seuSEU\u017f]))"
 SUMMARY_WORDS = ("issue for consideration", "headnote", "summary")
 SUMMARY_MARKER_MIN = 20
 SUMMARY_STOP = (
     r"\b(?:Case Law Reference|CIVIL ORIGINAL JURISDICTION|CRIMINAL APPELLATE JURISDICTION|JUDGMENT|"
     r"O\s*R\s*D\s*E\s*R|J\s*U\s*D\s*G\s*M\s*E\s*N\s*T|For Appellant|For Respondent)\b"
 )
-SUMMARY_STOP_START = "(?=[cjof])"
+SUMMARY_STOP_START = r"(?-i:(?=[cjofCJOF][airuoAIRUO\u0130\u0131\s]))"
 SUMMARY_POST_BENCH_MIN = 30
 KEYWORD_SECTION = r"List of Keywords\s*\n(.*?)\nCase Arising From"
 KEYWORD_WORDS = ("list of keywords",)
@@ -161,6 +187,11 @@ CATCHLINE_LENGTH = (15, 250)  # both ends excluded
 CATCHLINE_TAGS = (2, 8)  # both ends included
 HELD = r"(?:^|[\n\-])\s*Held\s*[:,]\s*(.*?)(?=\n[A-Z][a-z]+:|\Z)"
 HELD_START = r"(?:(?=-)|(?:^|(?=\n))(?:\G|(?<!\n\s{0,99})))"  # as for page numbers; a passage may end inside a run
+# in a text with a line break put before it, which stands for the line that begins the text
+HELD_FAST = (
+    r"[\n\-](?=[\shH])(?:(?<=-)|(?<=\G\n)|(?<!\n\s{0,99}\n))"
+    r"\s*Held\s*[:,]\s*(.*?)(?=\n[A-Z][a-z]+:|\Z)"
+)
 HELD_SIGN = r"held\s*[:,]"  # in the folded text; begins with a fixed word, so it is found fast
 HELD_MIN = 20
 PARA_NOTE = r"\[Para.*?\]"

@@ -14,10 +14,10 @@ from benchbook.functions import fixed_values as V
 from benchbook.functions.normalize import drop_margin_letters, head, strip_lone_letters
 from benchbook.functions.regex import (
     all_groups,
+    before_first,
     collapse,
     folded,
     found,
-    halves,
     holds_all,
     holds_any,
     jvm,
@@ -42,7 +42,7 @@ def summary_from_marker(text: Column, low: Column) -> Column:
     """Text after an issue/headnote/summary marker in the header, if long enough."""
     marked = F.when(
         holds_any(low, V.SUMMARY_WORDS),
-        F.regexp_extract(head(text, V.HEADER_CHARS), jvm(V.SUMMARY_MARKER, "is"), 1),
+        F.regexp_extract(head(text, V.HEADER_CHARS), jvm(V.SUMMARY_MARKER_START + V.SUMMARY_MARKER, "is"), 1),
     )
     return let(
         drop_margin_letters(strip(marked)),
@@ -53,21 +53,14 @@ def summary_from_marker(text: Column, low: Column) -> Column:
 def summary_after_bench(text: Column, bench_end: Column) -> Column:
     """Header text between the bench and the first stop phrase, if long enough."""
 
-    def tidy(parts: Column) -> Column:
-        block = collapse(drop_margin_letters(strip(F.get(parts, F.lit(0)))))
-        return F.when(
-            F.size(parts) == 2,
-            let(
-                block,
-                lambda s: F.when(
-                    F.length(s) > V.SUMMARY_POST_BENCH_MIN,
-                    head(strip_lone_letters(s), V.SUMMARY_MAX),
-                ),
-            ),
-        )
-
     rest = _after(head(text, V.HEADER_CHARS), bench_end, V.HEADER_CHARS)
-    return let(halves(rest, V.SUMMARY_STOP_START + V.SUMMARY_STOP, "i"), tidy)
+    block = before_first(rest, V.SUMMARY_STOP_START + V.SUMMARY_STOP, "i")
+    return let(
+        collapse(drop_margin_letters(strip(block))),
+        lambda s: F.when(
+            F.length(s) > V.SUMMARY_POST_BENCH_MIN, head(strip_lone_letters(s), V.SUMMARY_MAX)
+        ),
+    )
 
 
 def summary(text: Column, low: Column, bench_end: Column) -> Column:
@@ -138,7 +131,7 @@ def holding(text: Column, low: Column) -> Column:
         F.transform(
             F.when(
                 holds_any(low, V.HELD_WORDS) & found(low, V.HELD_SIGN),
-                all_groups(text, V.HELD_START + V.HELD, 1, "ims"),
+                all_groups(F.concat(F.lit("\n"), text), V.HELD_FAST, 1, "is"),
             ),
             strip,
         ),

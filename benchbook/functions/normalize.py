@@ -19,12 +19,11 @@ def _replace_if(c: Column, signs: tuple[str, ...], pattern: str, to: str) -> Col
 def clean_text(c: Column) -> Column:
     """Drop banner, report marks and page-number lines, then settle blank space."""
     c = replace_all(c, V.BANNER, flags="i")
-    c = replace_all(c, V.REPORTABLE, flags="i")
+    c = replace_all(c, V.REPORTABLE_FAST, flags="i")
     c = replace_all(c, V.PAGE_NUMBER_START + V.PAGE_NUMBER_LINE, "\n")
     c = _replace_if(c, ("\n\n\n",), r"\n{3,}", "\n\n")
     c = _replace_if(c, ("  ", "\t"), r"[ \t]{2,}", " ")
-    for mark in ("\x0c", "\x0b"):
-        c = F.replace(c, F.lit(mark), F.lit("\n\n"))
+    c = _replace_if(c, ("\x0c", "\x0b"), r"[\x0c\x0b]", "\n\n")
     return strip(c)
 
 

@@ -26,7 +26,7 @@ def has_min_words(text: Column) -> Column:
 
 def alpha_ratio(text: Column) -> Column:
     others = F.length(F.regexp_replace(text, F.lit(r"\p{L}++"), F.lit("")))
-    return (F.length(text) - others) / F.greatest(F.length(text), F.lit(1))
+    return let(F.length(text), lambda size: (size - others) / F.greatest(size, F.lit(1)))
 
 
 def legal_word_hits(lower: Column) -> Column:

@@ -43,8 +43,9 @@ def jvm(pattern: str, flags: str = "") -> str:
     return f"(?dU{flags})" + "".join(out)
 
 
-# a run of white space that is not already one plain space
-_SPACES = jvm(r"(?:[\s&&[^ ]]| \s)\s*")
+# a run of white space that is not already one plain space; the look-aheads turn printable ASCII
+# and a space before it down at once
+_SPACES = jvm(r"(?![!-~])(?! [!-~])(?: \s|[\s&&[^ ]])\s*")
 
 
 def strip(c: Column) -> Column:
@@ -54,7 +55,7 @@ def strip(c: Column) -> Column:
 
 def collapse(c: Column) -> Column:
     """Every run of white space becomes one space; ends stripped."""
-    return strip(F.regexp_replace(c, F.lit(_SPACES), F.lit(" ")))
+    return F.trim(F.regexp_replace(c, F.lit(_SPACES), F.lit(" ")))
 
 
 def replace_all(c: Column, pattern: str, to: str = "", flags: str = "") -> Column:
@@ -63,10 +64,15 @@ def replace_all(c: Column, pattern: str, to: str = "", flags: str = "") -> Colum
 
 def folded(lower: Column) -> Column:
     """Lower-cased text as case-insensitive patterns see it: long s and special i's included."""
-    c = lower
-    for special, plain in (("\u017f", "s"), ("\u0131", "i"), ("i\u0307", "i")):
-        c = F.replace(c, F.lit(special), F.lit(plain))
-    return c
+
+    def plain(c: Column) -> Column:
+        done = c
+        for special, letter in (("\u017f", "s"), ("\u0131", "i"), ("i\u0307", "i")):
+            done = F.replace(done, F.lit(special), F.lit(letter))
+        # replacing compares at every byte, a search for a rare first byte does not
+        return F.when(holds_any(c, ("\u017f", "\u0131", "\u0307")), done).otherwise(c)
+
+    return let(lower, plain)
 
 
 def holds_any(low: Column, words: tuple[str, ...]) -> Column:
@@ -89,7 +95,10 @@ def found(c: Column, pattern: str, flags: str = "") -> Column:
 
 def first_group(c: Column, pattern: str, group: int = 1, flags: str = "") -> Column:
     """Group of the first match, NULL where nothing (or only an empty group) is found."""
-    return F.nullif(F.regexp_extract(c, jvm(pattern, flags), group), F.lit(""))
+    # nullif names its argument twice, which would search twice
+    return let(
+        F.regexp_extract(c, jvm(pattern, flags), group), lambda hit: F.nullif(hit, F.lit(""))
+    )
 
 
 def all_groups(c: Column, pattern: str, group: int = 0, flags: str = "") -> Column:
@@ -101,6 +110,19 @@ def halves(c: Column, pattern: str, flags: str = "") -> Column:
     return F.split(c, jvm(pattern, flags), 2)
 
 
+def through_first(c: Column, pattern: str, flags: str = "") -> Column:
+    """The text up to the end of the first match, empty where there is none.
+
+    Unlike a split, whose pattern is compiled anew for every row.
+    """
+    return F.regexp_extract(c, jvm(r"(?s:\A.*?)" + pattern, flags), 0)
+
+
+def before_first(c: Column, pattern: str, flags: str = "") -> Column:
+    """The text before the first match, empty where there is none (or nothing before it)."""
+    return F.regexp_extract(c, jvm(r"(?s:\A(.*?))" + pattern, flags), 1)
+
+
 def first_where(items: Column, test: Callable[[Column], Column]) -> Column:
     """Position (from 1) of the first element that passes, 0 if none does."""
     return F.array_position(F.transform(items, test), F.lit(True))
