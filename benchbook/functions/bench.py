@@ -51,10 +51,9 @@ def _damaged_block(window: Column) -> Column:
                 ),
             )
 
+        # a split compiles its pattern anew for every block, so only blocks with a mark are split
         pieces = F.split(block, jvm(V.JUDGE_MARK, "i"), -1)
-        return F.when(
-            F.size(pieces) > 1, let(F.element_at(pieces, -1), cut)
-        )
+        return F.when(found(block, V.JUDGE_MARK_FAST), let(F.element_at(pieces, -1), cut))
 
     rests = all_groups(window, r"[\[\(]\s*(?=([A-Z].*))", 1, "s")
     spans = F.transform(

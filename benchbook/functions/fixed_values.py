@@ -16,6 +16,7 @@ PAGE_NUMBER_LINE = r"\n\s*\d{1,4}\s*\n"
 # a match never begins after another line break of the same blank run, so only the first one is
 # tried; long blank runs would cost the square of their length otherwise
 PAGE_NUMBER_START = r"(?=\n[\s\d])(?<!\n\s{0,99})"
+PAGE_NUMBER_FAST = r"\n(?=[\s\d])(?<!\n\s{0,99}\n)\s*\d{1,4}\s*\n"
 MARGIN_LETTER_LINE = r"\n\s*[A-H]\s*\n"
 LONE_LETTERS = r"^(?:\b[a-zA-Z]\b\s*)+"
 EDGE_PUNCTUATION = r"^[^\w]+|[^\w]+$"
@@ -56,7 +57,10 @@ DATE_STARTS = (
 )
 DATES_FAST = (
     r"\d(?<=\b\d)\d?[\s\.,\-]+" + MONTH + r"[\s\.,\-]+\d{4}\b",
-    DATE_STARTS[1] + DATES[1],
+    # a month's first three letters; the rest of its name is letters like those that may follow
+    r"(?-i:[jfmasondJFMASOND\u017f][aceopuACEOPU][bcglnprtvyBCGLNPRTVY])"
+    r"(?<=\b(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec))"
+    r"[a-z]*[\s\.,\-]*\d{1,2}[\s\.,\-]*\d{4}\b",
     r"\d(?<=\b\d)\d{3}[\s\.,\-]*" + MONTH + r"[\s\.,\-]*\d{1,2}\b",
     r"\d(?<=\b\d)\d?[\-\/]\d{1,2}[\-\/]\d{4}\b",
 )
@@ -67,6 +71,7 @@ YEAR_IN_KEY = r"year=(\d{4})|/(\d{4})/"
 BENCH_SQUARE = r"\[([^\[\]]+?(?:JJ|CJI|J\.?))\s*\]"
 BENCH_ROUND = r"\(([^\(\)]+?(?:JJ|CJI|J\.?))\s*\)"
 JUDGE_MARK = r"(?:JJ\.?|CJI\.?|C\.?J\.?)"
+JUDGE_MARK_FAST = r"[jJ](?:[jJ]|(?<=[cC]\.?[jJ]))"  # tells whether there is a mark, not its extent
 JUDGE_LIST_SIGN = r",|\band\b"
 CORAM = r"\bCORAM\b\s*[:\-]?\s*(.*?)(?=\n\n|\Z)"
 CORAM_MAX = 200
@@ -148,6 +153,11 @@ PARTY_NOISE = (
     r"^.*?\bS\.?C\.?R\.?(?:\s*\d+)?\s*",
     r"^\s*\d{4}\s*INSC\s*\d+\s*",
 )
+PARTY_NOISE_FAST = (
+    *PARTY_NOISE[:2],
+    r"^.*?(?-i:[sS\u017f])(?<=\b.)\.?C\.?R\.?(?:\s*\d+)?\s*",
+    PARTY_NOISE[3],
+)
 PARTY_EDGES = r"""^[^\w\("'\.\s]+|[^\w\)"'\.\s]+$"""
 IN_RE_LINE = r"^\s*(?:IN\s+RE\b|RE\b\s*[\-:]|SUO\s+MOTU\b)"
 IN_RE_LINES = 15
@@ -160,6 +170,7 @@ SHORT_LINE = 2
 VERSUS = (
     "v", "vs", "versus", "v.", "vs.", "v.p", "v.s", "i'.", "i'", "v.p.", "v.r", "v,", "v..",
 )
+VERSUS_START = r"\A[^\w]*+[vViI]"  # the first letter of each of them
 VERSUS_LINES = ("v ..", "I'.", "v.p")
 VERSUS_INLINE = r"\s+\b(?:v|vs|versus|v\.p|v\.s|I'\.)\b\.?\s+"
 

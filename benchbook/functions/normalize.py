@@ -20,7 +20,7 @@ def clean_text(c: Column) -> Column:
     """Drop banner, report marks and page-number lines, then settle blank space."""
     c = replace_all(c, V.BANNER, flags="i")
     c = replace_all(c, V.REPORTABLE_FAST, flags="i")
-    c = replace_all(c, V.PAGE_NUMBER_START + V.PAGE_NUMBER_LINE, "\n")
+    c = replace_all(c, V.PAGE_NUMBER_FAST, "\n")
     c = _replace_if(c, ("\n\n\n",), r"\n{3,}", "\n\n")
     c = _replace_if(c, ("  ", "\t"), r"[ \t]{2,}", " ")
     c = _replace_if(c, ("\x0c", "\x0b"), r"[\x0c\x0b]", "\n\n")
@@ -38,7 +38,7 @@ def strip_lone_letters(c: Column) -> Column:
 
 def clean_party_name(c: Column) -> Column:
     c = strip_lone_letters(F.coalesce(c, F.lit("")))
-    for noise in V.PARTY_NOISE:
+    for noise in V.PARTY_NOISE_FAST:
         c = strip(replace_all(c, noise, flags="i"))
     return collapse(replace_all(c, V.PARTY_EDGES))
 

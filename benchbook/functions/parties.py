@@ -29,7 +29,8 @@ def cleaned(sides: Column) -> Column:
 
 
 def _is_versus(line: Column) -> Column:
-    return edge_word(line).isin(*V.VERSUS) | line.isin(*V.VERSUS_LINES)
+    word = found(line, V.VERSUS_START) & edge_word(line).isin(*V.VERSUS)
+    return word | line.isin(*V.VERSUS_LINES)
 
 
 def in_re(lines: Column) -> Column:
@@ -47,6 +48,10 @@ def in_re(lines: Column) -> Column:
 
 def title_block(lines: Column) -> Column:
     """Lines above the case-number line (or the first few), without margin residue."""
+    return let(lines, _title_block)
+
+
+def _title_block(lines: Column) -> Column:
     block = let(
         first_where(
             F.slice(lines, 1, V.CASE_LINE_LINES), lambda line: found(line, V.CASE_LINE, "i")
@@ -94,17 +99,20 @@ def sides(lines: Column) -> Column:
 
     A strategy that applies decides, even if nothing is left of its names.
     """
-    return cleaned(
-        F.coalesce(
+
+    def by_trust(lines: Column) -> Column:
+        return F.coalesce(
             in_re(lines),
             let(
-                title_block(lines),
+                _title_block(lines),
                 lambda block: F.coalesce(
                     versus_line(block), versus_inline(block), outer_lines(block)
                 ),
             ),
         )
-    )
+
+    # several strategies look at the lines, which are cut once
+    return cleaned(let(lines, by_trust))
 
 
 def petitioner(sides: Column) -> Column:

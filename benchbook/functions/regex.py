@@ -43,9 +43,9 @@ def jvm(pattern: str, flags: str = "") -> str:
     return f"(?dU{flags})" + "".join(out)
 
 
-# a run of white space that is not already one plain space; the look-aheads turn printable ASCII
-# and a space before it down at once
-_SPACES = jvm(r"(?![!-~])(?! [!-~])(?: \s|[\s&&[^ ]])\s*")
+# a run of white space that is not already one plain space; the class turns printable ASCII down at
+# once, the first look-ahead a space before it
+_SPACES = jvm(r"[[^!-~]&&[\s]](?:(?<! )|(?![!-~])(?=\s))\s*")
 
 
 def strip(c: Column) -> Column:

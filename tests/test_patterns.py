@@ -6,7 +6,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from benchbook.functions import citations, narrative, normalize, quality
+from benchbook.functions import citations, narrative, normalize, parties, quality
 from benchbook.functions import fixed_values as V
 from benchbook.functions.regex import (
     WHITESPACE,
@@ -232,3 +232,33 @@ def test_searches_begin_with_a_class(spark):
             many.select(found_in.alias("x")).write.format("noop").mode("overwrite").save()
             taken[name] = min(time.time() - start, taken.get(name, 1e9))
     assert taken["fast"] < 0.7 * taken["plain"], taken
+
+
+def test_heavy_inputs_are_named_once(spark):
+    """Strategies that look at the same lines share them: each would cut the window anew."""
+    sides = parties.sides(normalize.header_lines(F.col("x")))
+    df = spark.createDataFrame([("a v. b",)], "x string").select(sides.alias("s"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("[A-H]") == 1
+    block = parties.title_block(normalize.header_lines(F.col("x")))
+    df = spark.createDataFrame([("a v. b",)], "x string").select(block.alias("s"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("[A-H]") == 1
+
+
+def test_page_numbers_party_noise_and_marks_in_fast_forms(spark):
+    """Class-first forms and guards of headers find what the plain patterns find."""
+    pick = random.Random(31)
+    extra = ["S", "s.", "C", "R.", "\u017f.C.R. 7", "Scr", "j", "cj", "c.j", "C.J.", "cc", "jj", "I'", "v", "V.", "\u0130",
+             "vs.", "i'.", "*v.", "..v..", "Auguſt 3, 1999", "\u017fep 4 1988", "mayx 1,2000", "JUNE-12-2001", "dec"]
+    texts = _texts(800) + ["".join(pick.choices(extra + FRAGMENTS, k=pick.randrange(1, 25))) for _ in range(3000)]
+    texts += ["".join(pick.choices(BLANKS, k=pick.randrange(1, 20))) for _ in range(1500)]
+    texts += [pick.choice(extra) + pick.choice(["", ".", "'", "'.", ".p", ",", " "]) for _ in range(300)] + [""]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "x string").repartition(8).cache()
+    x = F.col("x")
+    pairs = [(replace_all(x, V.PAGE_NUMBER_FAST, "\n"), replace_all(x, V.PAGE_NUMBER_LINE, "\n"))]
+    for fast, plain in zip(V.PARTY_NOISE_FAST, V.PARTY_NOISE):
+        pairs.append((replace_all(x, fast, "<>", "i"), replace_all(x, plain, "<>", "i")))
+    pairs.append((found(x, V.JUDGE_MARK_FAST), found(x, V.JUDGE_MARK, "i")))
+    pairs.append((parties._is_versus(x), normalize.edge_word(x).isin(*V.VERSUS) | x.isin(*V.VERSUS_LINES)))
+    pairs.append((all_groups(x, V.DATES_FAST[1], 0, "i"), all_groups(x, V.DATES[1], 0, "i")))
+    assert _same(df, pairs) == [0] * len(pairs)
