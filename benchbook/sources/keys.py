@@ -1,8 +1,8 @@
 """Object-key listings: pruned by year and language, filtered, limited, sampled.
 
-A listing is any DataFrame with a ``key`` column. ``list_objects`` walks a folder tree and is meant
-for a year or a load at a time, since a file index is held by the driver; ``refresh_inventory``
-keeps what it found, year by year, as a table that all of a very large store is listed from.
+A listing is any DataFrame with a ``key`` column. ``list_objects`` walks a folder tree and returns
+what it found as a table in the shared folder, so the driver holds no entry a file;
+``refresh_inventory`` keeps such listings, year by year, and compares them.
 """
 
 from __future__ import annotations
@@ -11,9 +11,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from benchbook.functions import fixed_values as V
-from benchbook.session import exists, filled_folders, remove, stage
+from benchbook.session import (
+    exists, folders_in, fresh_folder, local_path, matching_folders, remove, stage,
+)
+from benchbook.sources.mounted import files_below
 from benchbook.sources.texts import gathered
 
+#: Value of a folder whose year is NULL.
+NO_YEAR = "__HIVE_DEFAULT_PARTITION__"
 INVENTORY = "key string, length long, modified timestamp, year int"
 
 
@@ -43,9 +48,12 @@ def list_objects(
     """``key, year, length, modified`` of the objects below ``root`` (its part from ``data/``).
 
     Contents are not read. Of the asked years only their own folders are listed, those that do
-    not exist being left out; without ``years`` all are.
+    not exist being left out; without ``years`` all are. The listing is made once, as the store is
+    now, and kept in the shared folder. On a file system that is mounted a task lists a folder
+    of a year; elsewhere Spark's reader does, whose entries of one such folder at a time the
+    driver holds.
     """
-    columns = "key string, year int, length long, modified timestamp"
+    columns = "key string, length long, modified timestamp, year int"
     top, below = f"{root}/{V.KEY_ROOT}", f"/{language}" if language else ""
     if years is None:
         asked = [f"{top}year=*{below}"]
@@ -53,18 +61,38 @@ def list_objects(
         there = [y for y in sorted(set(years)) if exists(spark, f"{top}year={y}")]
         asked = [f"{top}year={y}{below}" for y in there]
     # folders, never their files: each path handed to the reader is listed as a root of its own
-    listed = [folder for path in asked for folder in filled_folders(spark, path)]
-    if not listed:
-        return spark.createDataFrame([], columns)
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "false")
-    files = reader.option("basePath", top).load(listed)
+    listed, place = [], fresh_folder(spark, "listing")
+    for folder in (found for path in asked for found in matching_folders(spark, path)):
+        inside = folder.split("/")[-len(f"year={below}".split("/")):]
+        year = inside[0].removeprefix("year=")
+        listed.append((folder, "/".join(inside), None if year == NO_YEAR else year))
+    if listed and local_path(spark, top):
+        folders = [(local_path(spark, f), f"{V.KEY_ROOT}{i}/", year) for f, i, year in listed]
+        found = files_below(spark, folders)
+        _keep(found.withColumn("modified", F.timestamp_millis("millis")), place)
+    else:
+        for folder, _, year in listed:
+            reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+            files = reader.load(folder)
+            found = files.select(
+                key_of("path").alias("key"), F.lit(year).cast("string").alias("year"), "length",
+                F.col("modificationTime").alias("modified"),
+            )
+            _keep(gathered(files, found, contents=False), place)
+    kept = [f"{place}/{name}" for name in folders_in(spark, place) if name.startswith("year=")]
+    if not kept:
+        return spark.createDataFrame([], columns).select("key", "year", "length", "modified")
+    found = spark.read.schema(columns).option("basePath", place).parquet(*kept)
     if years is not None:
-        files = files.filter(F.col("year").isin(*years))
-    listed = files.select(
-        key_of("path").alias("key"), F.col("year").cast("int").alias("year"), "length",
-        F.col("modificationTime").alias("modified"),
-    )
-    return gathered(files, listed, contents=False)
+        found = found.filter(F.col("year").isin(*years))
+    return found.select("key", "year", "length", "modified")
+
+
+def _keep(found: DataFrame, place: str) -> None:
+    """Add to a listing in folders of years."""
+    year = F.col("year").cast("int").alias("year")
+    rows = found.select("key", "length", "modified", year)
+    rows.write.mode("append").partitionBy("year").parquet(place)
 
 
 def inventory(spark: SparkSession, root: str) -> DataFrame:

@@ -596,6 +596,23 @@ def test_many_small_objects_are_few_tasks(spark, tmp_path):
     assert sorted(r[0] for r in values.collect()) == list(range(6000))
 
 
+def test_listing_has_no_entry_an_object_on_the_driver(spark, tmp_path):
+    """The listing is a table in folders of years; it stays as it was made."""
+    made = spark.range(900).select(
+        F.concat(F.lit("data/pdf/year="), F.col("id") % 3 + 1950).alias("folder"),
+        F.col("id").cast("string").alias("name"), F.col("id").cast("string").alias("value"),
+    )
+    objects.write_objects(made, str(tmp_path))
+    for asked in (None, [1950, 1951, 1952]):
+        listed = keys.list_objects(spark, str(tmp_path), asked)
+        assert listed.columns == ["key", "year", "length", "modified"]
+        assert len(listed.inputFiles()) == 3
+    for file in (tmp_path / "data/pdf/year=1951").iterdir():
+        file.unlink()
+    assert {r.year: r["count"] for r in listed.groupBy("year").count().collect()} == dict.fromkeys((1950, 1951, 1952), 300)
+    assert keys.list_objects(spark, str(tmp_path), [1951]).count() == 0
+
+
 def test_written_objects(spark, tmp_path):
     rows = [("a=1", "x", "one"), ("a=1", "x", "one"), ("a=1", "y", None), ("a=2", "x", "tw\u00f6\nlines")]
     rows = spark.createDataFrame(rows, "folder string, name string, value string").coalesce(1)
