@@ -42,10 +42,14 @@ def ingest_objects(
     """Load the listed objects (``key, year``, and ``length`` if known) that hold UTF-8 text.
 
     An object that vanished, cannot be read, is shorter than listed or holds something else
-    becomes an ``error`` row that says so; all others are loaded.
+    becomes an ``error`` row that says so; all others are loaded. Objects of skipped keys are not
+    read.
     """
-    found = readable_objects(listing.sparkSession, objects_root, listing)
-    return load(found, object_texts, root, batch_id, listed=listing, **options)
+
+    def read(rows: DataFrame) -> DataFrame:
+        return object_texts(readable_objects(rows.sparkSession, objects_root, rows))
+
+    return load(listing, read, root, batch_id, listed=listing, **options)
 
 
 def ingest_recognised(

@@ -13,10 +13,16 @@ from pyspark.sql import functions as F
 from benchbook import schema
 from benchbook.functions import fixed_values as V
 from benchbook.functions.normalize import clean_text
-from benchbook.session import exists
+from benchbook.session import exists, fresh_folder, local_path
 from benchbook.sources.keys import key_of
+from benchbook.sources.mounted import with_content
 from benchbook.sources.texts import gathered
 
+#: Listed objects, and bytes of them, that one task reads.
+TASK_FILES, TASK_BYTES = 4096, 128 << 20
+#: Listed objects whose folders one file index on the driver holds.
+INDEX_FILES = 100_000
+
 
 def read_objects(spark: SparkSession, path: str, glob: str = "*.[pP][dD][fF]") -> DataFrame:
     """Objects below ``path`` as ``path, length, content``; corrupt files raise.
@@ -90,22 +96,30 @@ def readable_objects(
     Nothing raises: an object that vanished or cannot be read gives no row, and the load that was
     handed the listing logs it as lost. One of another length than the listing's (where that has
     a ``length``) gives a row without content that says so. Year folders that nobody listed
-    are not looked at; contents stay in the tasks that read them unless the listing is too large
-    to be broadcast. One year folder each comes to the driver.
+    are not looked at. One row a listed year comes to the driver.
+
+    On a file system that is mounted the tasks that have the rows of the listing read their
+    objects. Elsewhere Spark's reader does, whose entries the driver holds: of a year, or of years
+    of some ``INDEX_FILES`` listed objects together; if these are several lots, what was read is
+    kept in the shared folder.
     """
-    years = sorted(r["year"] for r in listing.select("year").distinct().collect() if r["year"])
-    folders = [f"{root}/{prefix}year={y}" for y in years if exists(spark, f"{root}/{prefix}year={y}")]
-    columns = "path string, modificationTime timestamp, length long, content binary"
-    if not folders:
-        found = spark.createDataFrame([], columns)
-    else:
-        reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        reader = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
-        files = reader.load(folders)
-        found = gathered(files, files.select("path", "content"))
-    found = found.select(key_of("path", prefix).alias("key"), "content")
     expected = ["length"] if "length" in listing.columns else []
-    both = found.join(listing.select("key", "year", *expected).distinct(), "key")
+    size = F.sum("length") if expected else F.lit(None)
+    counted = listing.groupBy("year").agg(F.count("*").alias("n"), size.alias("size")).collect()
+    years = {r["year"]: r for r in sorted((r for r in counted if r["year"]), key=lambda r: r["year"])}
+    wanted = listing.select("key", "year", *expected).distinct()
+    if mounted := local_path(spark, root):
+        n, size = (sum(r[c] or 0 for r in years.values()) for c in ("n", "size"))
+        most = max(spark.sparkContext.defaultParallelism, n // TASK_FILES, size // TASK_BYTES)
+        start = f"{prefix}year="
+        year = F.split_part(F.substr("key", F.lit(len(start) + 1)), F.lit("/"), F.lit(1))
+        listed = F.startswith("key", F.lit(start)) & year.isin([str(y) for y in years])
+        both = with_content(
+            wanted.filter(listed).repartition(max(1, min(n, most)), "key"), mounted, prefix
+        )
+    else:
+        both = _by_index(spark, root, wanted, {y: r["n"] for y, r in years.items()}, prefix)
+    both = both.select("key", "content", "year", *expected)
     if not expected:
         return both.withColumn("error_msg", F.lit(None).cast("string"))
     size = F.octet_length("content")
@@ -116,6 +130,32 @@ def readable_objects(
     return marked.withColumn("content", F.when(F.col("error_msg").isNull(), F.col("content"))).drop("length")
 
 
+def _by_index(
+    spark: SparkSession, root: str, wanted: DataFrame, years: dict[int, int], prefix: str
+) -> DataFrame:
+    """Listed rows with the ``content`` that Spark's reader finds for them, by lots of years."""
+    lots, left = [], 0
+    for year, n in years.items():
+        folder = f"{root}/{prefix}year={year}"
+        if exists(spark, folder):
+            if n > left:
+                lots.append([])
+                left = INDEX_FILES
+            lots[-1].append(folder)
+            left -= n
+    place = fresh_folder(spark, "objects")
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    reader = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
+    both = wanted.withColumn("content", F.lit(None).cast("binary")).limit(0)
+    for folders in lots:
+        files = reader.load(folders)
+        found = gathered(files, files.select("path", "content"))
+        both = found.select(key_of("path", prefix).alias("key"), "content").join(wanted, "key")
+        if len(lots) > 1:
+            both.write.mode("append").parquet(place)
+    return both if len(lots) < 2 else spark.read.schema(both.schema).parquet(place)
+
+
 def object_texts(objects: DataFrame) -> DataFrame:
     """``key, full_text, error_msg`` of objects that hold UTF-8 text: cleaned, or why there is none."""
     valid = F.is_valid_utf8(F.col("content").cast("string"))

@@ -613,6 +613,52 @@ def test_listing_has_no_entry_an_object_on_the_driver(spark, tmp_path):
     assert keys.list_objects(spark, str(tmp_path), [1951]).count() == 0
 
 
+def test_objects_are_read_without_an_index_of_them(spark, tmp_path):
+    source = tmp_path / "objects"
+    files = _tree(source, range(40))
+    listed = keys.list_objects(spark, str(source))
+    read = objects.readable_objects(spark, str(source), listed)
+    assert not any(path.endswith(".pdf") for path in read.inputFiles())
+    contents = {r.key: bytes(r.content) for r in read.collect()}
+    assert contents == {str(p.relative_to(source)): p.read_bytes() for p in files.values()}
+
+
+def test_objects_with_odd_names(spark, tmp_path, monkeypatch):
+    """What the tasks list and read themselves is what Spark's reader lists and reads."""
+    source = tmp_path / "objects"
+    names = [
+        "year=1950/a.pdf", "year=1950/english/b c%20+\u00fc.pdf", "year=1950/english/empty.pdf",
+        "year=1950/english/.hidden.pdf", "year=1950/english/_hidden.pdf", "year=1950/english/_a=1.pdf",
+        "year=1950/.hidden/a.pdf", "year=1950/_hidden/a.pdf", "year=1950/_metadata/a.pdf",
+        "year=1950/english/c.pdf._COPYING_", "year=1950/english/_metadata",
+        "year=__HIVE_DEFAULT_PARTITION__/a.pdf", "year=1951/deep/er/a.pdf", "year=1952/.hidden",
+    ]
+    for name in names:
+        path = source / "data/pdf" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(b"" if "empty" in name else name.encode() + b"\xff")
+    (source / "data/pdf/year=1953").mkdir()
+    top = source / "data/pdf/year=1950"
+    (top / "link").symlink_to(source / "data/pdf/year=1951/deep")
+    (top / "nothing.pdf").symlink_to(source / "nothing")
+    (tmp_path / "secret.pdf").write_bytes(b"outside")
+    odd = [(f"data/pdf/{name}", 1950) for name in (*names, "year=1950/../../../../secret.pdf", "year=1950//a.pdf", "year=1950/\0", "year=1950/english", "year=1950")]
+    odd = spark.createDataFrame([*odd, (None, 1950), ("data/pdf/year=1951/deep/er/a.pdf", None)], "key string, year int")
+
+    def found():
+        listed = [keys.list_objects(spark, str(source), *asked) for asked in ((), ([1950, 1953],), ([1950], "english"))]
+        read = [objects.readable_objects(spark, str(source), rows) for rows in (listed[0], odd)]
+        return [sorted(map(str, df.collect())) for df in (*listed, *(r.select("key", "year", "content", "error_msg") for r in read))]
+
+    by_tasks = found()
+    for module in (keys, objects):
+        monkeypatch.setattr(module, "local_path", lambda *_: None)
+    assert found() == by_tasks
+    monkeypatch.setattr(objects, "INDEX_FILES", 2)  # a lot for each year
+    assert found() == by_tasks
+    assert [len(rows) for rows in by_tasks] == [7, 5, 2, 6, 4]
+
+
 def test_written_objects(spark, tmp_path):
     rows = [("a=1", "x", "one"), ("a=1", "x", "one"), ("a=1", "y", None), ("a=2", "x", "tw\u00f6\nlines")]
     rows = spark.createDataFrame(rows, "folder string, name string, value string").coalesce(1)
